@@ -169,7 +169,8 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
         event(0, "c", 1, none, F.when(key % 3 == 0, pending).otherwise(image)),
         F.when(key % 3 == 0, event(1, "u", 2, pending, image)),
         F.when(key % 33 == 0, event(0, "u", 2, pending, extra)),       # same ts_ms as the update, lower lsn
-        F.when(key % 14 == 0, event(0, "d", 3, image, none)),
+        F.when((key % 14 == 0) & (key % 42 != 0), event(0, "d", 3, image, none)),
+        F.when(key % 42 == 0, event(1, "d", 3, image, none)),
         F.when(key % 28 == 0, event(1, "u", 4, image, image)),          # revived
         F.when(key % 22 == 0, event(1, "u", 0, none, extra)),           # arrives late, older than the creation
         F.when(key % 97 == 0, event(0, "u", 5, none, keyless)),
