@@ -191,7 +191,7 @@ def engagement_pivot(engagement: DataFrame, weeks: list[date]) -> DataFrame:
     weekly = _engagement(engagement, "product_id", week_start(F.col("event_date")).alias("week_start"))
     label = F.date_format("week_start", "'w'yyyyMMdd")
     return (
-        weekly.groupBy("product_id").pivot(label, [f"w{w:%Y%m%d}" for w in weeks])
+        weekly.withColumn("week", label).groupBy("product_id").pivot("week", [f"w{w:%Y%m%d}" for w in weeks])
         .agg(F.max("duration").alias("duration"), F.max("scroll").alias("scroll"), F.max("rate").alias("rate"))
     )
 
