@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from cartwheel.functions import scalars as fn
 from cartwheel.inventory import base
 from cartwheel.inventory.base import Query, h, pct, shown, with_views
-from cartwheel.operators.catalogue import DEFAULT_PRICE, known_codes, mean_positive_price
-from cartwheel.inventory.marts import BEHAVIOUR_SQL, CATALOGUE_ORDER
+from cartwheel.inventory.marts import BEHAVIOUR_SQL
+from cartwheel.operators.catalogue import DEFAULT_PRICE, known_codes, mean_price, seen_attributes
 from cartwheel.operators.rates import with_rate
 from cartwheel.plans import funnel
 from cartwheel.sources import domain
@@ -97,15 +97,12 @@ def _ratios(spark, folder):
 
 
 def _first_last(spark, folder):
-    rows = domain.behaviour_rows(spark, folder)
-    order = [F.col(c) for c in CATALOGUE_ORDER]
-    return known_codes(rows, order)
+    return known_codes(seen_attributes(domain.behaviour_rows(spark, folder)))
 
 
 def _mean_price(spark, folder):
-    rows = domain.behaviour_rows(spark, folder)
-    return rows.filter(F.col("product_id").isNotNull()).groupBy("product_id").agg(
-        mean_positive_price(F.col("price")).alias("avg_price"))
+    seen = seen_attributes(domain.behaviour_rows(spark, folder))
+    return seen.groupBy("product_id").agg(mean_price(F.sum("paid"), F.sum("paid_rows")).alias("avg_price"))
 
 
 def _dates(spark, folder):
@@ -197,10 +194,10 @@ QUERIES = [
     Query("a14_last_known_code", _first_last, with_views(rows=BEHAVIOUR_SQL, body="""
         select category_id, category_code as known_code from rows
         where product_id is not null and category_id is not null and category_code is not null
-        qualify row_number() over (partition by category_id order by event_time desc, user_session desc) = 1""")),
+        qualify row_number() over (partition by category_id order by event_time desc, category_code desc) = 1""")),
     Query("a15_mean_positive_price", _mean_price, with_views(rows=BEHAVIOUR_SQL, body=f"""
         select product_id, coalesce({h("sum(cast(price as decimal(18,4))) filter (price > 0) / cast(count(*) filter (price > 0) as double)")},
-          {DEFAULT_PRICE}) as avg_price from rows where product_id is not null group by 1""")),
+          {DEFAULT_PRICE}) as avg_price from rows where product_id is not null and category_id is not null group by 1""")),
     Query("f1_iso_timestamps", _broken_dates, with_views("d_orders", body="""
         select id, case id % 4 when 0 then epoch_us(t) when 1 then epoch_us(t - interval 7 hour)
           when 2 then epoch_us(t) + 250000 end as us

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,8 +31,8 @@ class Query:
 # --- staged tables ---------------------------------------------------------------------------
 
 
-def orders(spark, folder) -> DataFrame:
-    return staging.stage_orders(domain.orders(spark, folder))
+def orders(spark, folder, since=None) -> DataFrame:
+    return staging.stage_orders(domain.orders(spark, folder), since)
 
 
 def products(spark, folder) -> DataFrame:
@@ -47,29 +47,30 @@ def rates(spark, folder) -> DataFrame:
     return staging.stage_rates(domain.rates(spark, folder))
 
 
-def clicks(spark, folder) -> DataFrame:
-    return staging.stage_clicks(domain.clicks(spark, folder))
+def clicks(spark, folder, since=None) -> DataFrame:
+    return staging.stage_clicks(domain.clicks(spark, folder), since)
 
 
 # --- marts -----------------------------------------------------------------------------------
 
 
 def daily_sales(spark, folder, since=None) -> DataFrame:
-    return sales.daily_sales(orders(spark, folder), products(spark, folder), rates(spark, folder), since,
+    return sales.daily_sales(orders(spark, folder, since), products(spark, folder), rates(spark, folder), since,
                              rates_bound=domain.rates(spark, folder))
 
 
 def product_performance(spark, folder, since=None) -> DataFrame:
-    return sales.product_performance(orders(spark, folder), products(spark, folder), rates(spark, folder), since,
+    return sales.product_performance(orders(spark, folder, since), products(spark, folder), rates(spark, folder), since,
                                      rates_bound=domain.rates(spark, folder))
 
 
 def daily_funnel(spark, folder, since=None) -> DataFrame:
-    return funnel.daily_funnel(clicks(spark, folder), orders(spark, folder), since)
+    edge = since - timedelta(days=1) if since else None  # sessions crossing into the window
+    return funnel.daily_funnel(clicks(spark, folder, edge), orders(spark, folder), since)
 
 
 def product_engagement(spark, folder, since=None) -> DataFrame:
-    return funnel.product_engagement(clicks(spark, folder), products(spark, folder), since)
+    return funnel.product_engagement(clicks(spark, folder, since), products(spark, folder), since)
 
 
 def customer_snapshot(spark, folder, as_of=ORDERS_AS_OF) -> DataFrame:

@@ -34,7 +34,6 @@ def _stg_clicks(spark, folder):
         "purchase_amount", F.col("purchase_amount").cast("double"))
 
 
-CATALOGUE_ORDER = ["event_time", "user_session"]
 BEHAVIOUR_SQL = """
     select strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as event_time,
       case event_type when 'click' then 'cart' when 'purchase' then 'purchase' else 'view' end as event_type,
@@ -54,18 +53,18 @@ def catalogue_sql(rows: str) -> str:
     return f"""
         select product_id, p.category_id, category_code,
           coalesce(category_code, known_code, 'category_' || substr(p.category_id, 1, 8)) as category_fill, brand, avg_price
-        from (select product_id, arg_min(category_id, (event_time, user_session)) as category_id,
-                arg_min(category_code, (event_time, user_session)) filter (category_code is not null) as category_code,
-                coalesce(arg_min(brand, (event_time, user_session)) filter (brand is not null), 'unknown') as brand,
+        from (select product_id, arg_min(category_id, (event_time, category_id)) as category_id,
+                arg_min(category_code, (event_time, category_code)) filter (category_code is not null) as category_code,
+                coalesce(arg_min(brand, (event_time, brand)) filter (brand is not null), 'unknown') as brand,
                 coalesce({h("sum(cast(price as decimal(18,4))) filter (price > 0) / cast(count(*) filter (price > 0) as double)")}, 0.01) as avg_price
               from {rows} where product_id is not null and category_id is not null group by product_id) p
-        left join (select category_id, arg_max(category_code, (event_time, user_session)) as known_code from {rows}
+        left join (select category_id, arg_max(category_code, (event_time, category_code)) as known_code from {rows}
                    where product_id is not null and category_id is not null and category_code is not null
                    group by category_id) k on p.category_id = k.category_id"""
 
 
 def _catalogue(spark, folder):
-    return build_catalogue(domain.behaviour_rows(spark, folder), CATALOGUE_ORDER)
+    return build_catalogue(domain.behaviour_rows(spark, folder))
 
 
 QUERIES = [

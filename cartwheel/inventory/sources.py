@@ -8,7 +8,7 @@ from cartwheel.functions.scalars import file_month
 from cartwheel.inventory import base
 from cartwheel.inventory.base import Query, h, with_views
 from cartwheel.inventory.changes import FEED_COLUMNS, FEED_SQL, feed_columns, landed_feed
-from cartwheel.inventory.marts import BEHAVIOUR_SQL, CATALOGUE_ORDER, catalogue_sql
+from cartwheel.inventory.marts import BEHAVIOUR_SQL, catalogue_sql
 from cartwheel.operators.catalogue import build_catalogue
 from cartwheel.operators.rates import keep_currencies, rates_as_map
 from cartwheel.session import scratch_dir
@@ -82,8 +82,7 @@ def _csv_rows(spark, folder):
 
 
 def _csv_catalogue(spark, folder):
-    columns = ["event_time", "user_session", "product_id", "category_id", "category_code", "brand", "price"]
-    return build_catalogue(files.behaviour_csv(spark, land_behaviour(spark, folder), columns), CATALOGUE_ORDER)
+    return build_catalogue(files.behaviour_csv(spark, land_behaviour(spark, folder)))
 
 
 def _table_scan(spark, folder):

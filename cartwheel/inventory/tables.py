@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.inventory import base
 from cartwheel.inventory.base import Query, h, shown, snapshot_sql, with_views
-from cartwheel.inventory.marts import BEHAVIOUR_SQL, CATALOGUE_ORDER, catalogue_sql
+from cartwheel.inventory.marts import BEHAVIOUR_SQL, catalogue_sql
 from cartwheel.operators.catalogue import build_catalogue
 from cartwheel.operators.quality import content_hash
 from cartwheel.plans.windows import recompute_since
@@ -88,7 +88,7 @@ def _insert_absent(spark, folder):
     rows = domain.behaviour_rows(spark, folder)
     early = rows.filter(F.col("event_time") < "2024-01-02")
     for part in (early, rows, rows):
-        tables.insert_absent(build_catalogue(part, CATALOGUE_ORDER), path, "product_id")
+        tables.insert_absent(build_catalogue(part), path, "product_id")
     return spark.read.parquet(path)
 
 

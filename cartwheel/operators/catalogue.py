@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import category_placeholder, half_up
 from cartwheel.operators.joins import lookup_join
+from cartwheel.session import materialise
 
 DEFAULT_BRAND = "unknown"
 DEFAULT_PRICE = 0.01
@@ -16,47 +17,59 @@ def _present(c: str) -> Column:
     return F.nullif(F.col(c), F.lit(""))
 
 
-def _first(value: Column, order: list[Column]) -> Column:
-    return F.min_by(value, F.when(value.isNotNull(), F.struct(*order)))
+def seen_attributes(rows: DataFrame, ts: str = "event_time") -> DataFrame:
+    """One row per combination of product, category, code and brand: when first and last seen, and its paid prices.
+
+    The history repeats a product's attributes on every event, so this shrinks it to little more
+    than one row per product, in one hash aggregation with map-side combine: numbers are its only
+    buffers. Rows without a product or category id are skipped.
+    """
+    us = F.unix_micros(F.try_to_timestamp(ts))
+    paid = F.when(F.col("price") > 0, F.col("price").try_cast("decimal(18,4)"))
+    return (
+        rows.select(_present("product_id").alias("product_id"), _present("category_id").alias("category_id"),
+                    _present("category_code").alias("code"), _present("brand").alias("brand"),
+                    us.alias("us"), paid.alias("paid"))
+        .filter(F.col("product_id").isNotNull() & F.col("category_id").isNotNull())
+        .groupBy("product_id", "category_id", "code", "brand")
+        .agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"),
+             F.sum("paid").alias("paid"), F.count("paid").alias("paid_rows"))
+    )
 
 
-def _last(value: Column, order: list[Column]) -> Column:
-    return F.max_by(value, F.when(value.isNotNull(), F.struct(*order)))
+def _first(c: str) -> Column:
+    """Value seen first; of several at the same instant the smallest."""
+    return F.min_by(c, F.when(F.col(c).isNotNull(), F.struct("first_us", c)))
 
 
-def known_codes(rows: DataFrame, order: list[Column]) -> DataFrame:
-    """category_id → the code seen last with it."""
-    coded = rows.filter(_present("category_code").isNotNull() & _present("product_id").isNotNull()
-                        & _present("category_id").isNotNull())
-    return coded.groupBy("category_id").agg(_last(F.col("category_code"), order).alias("known_code"))
+def known_codes(seen: DataFrame) -> DataFrame:
+    """category_id → the code seen last with it; of several at the same instant the greatest."""
+    coded = seen.filter(F.col("code").isNotNull())
+    return coded.groupBy("category_id").agg(F.max_by("code", F.struct("last_us", "code")).alias("known_code"))
 
 
-def mean_positive_price(price: Column) -> Column:
-    """Mean of the positive prices, to the cent; summed as decimals so that the order does not matter."""
-    paid = F.when(price > 0, price.try_cast("decimal(18,4)"))
-    mean = F.sum(paid).cast("double") / F.nullif(F.count(paid), F.lit(0)).cast("double")
-    return F.coalesce(half_up(mean), F.lit(DEFAULT_PRICE))
+def mean_price(paid: Column, rows: Column) -> Column:
+    """Mean of the positive prices to the cent; the sum is a decimal, so the order does not matter."""
+    return F.coalesce(half_up(paid.cast("double") / F.nullif(rows, F.lit(0)).cast("double")), F.lit(DEFAULT_PRICE))
 
 
-def build_catalogue(rows: DataFrame, order: list[str], max_products: int | None = None) -> DataFrame:
+def build_catalogue(rows: DataFrame, ts: str = "event_time", max_products: int | None = None) -> DataFrame:
     """One row per product id.
 
-    ``order`` columns say which row comes first (file, then event time). Each attribute is the first
-    value seen, the category falls back to the code last seen with its id, then to a placeholder.
-    ``max_products`` keeps the products that appear first (for trial catalogues).
+    Each attribute is the first value seen, the category falls back to the code last seen with its
+    id, then to a placeholder. ``max_products`` keeps the products that appear first (for trial
+    catalogues). The history is read once.
     """
-    by = [F.col(c) for c in order]
-    usable = rows.filter(_present("product_id").isNotNull() & _present("category_id").isNotNull())
-    products = usable.groupBy("product_id").agg(
-        _first(F.col("category_id"), by).alias("category_id"),
-        _first(_present("category_code"), by).alias("category_code"),
-        F.coalesce(_first(_present("brand"), by), F.lit(DEFAULT_BRAND)).alias("brand"),
-        mean_positive_price(F.col("price")).alias("avg_price"),
-        F.min(F.struct(*by)).alias("_seen"),
+    seen = materialise(seen_attributes(rows, ts), "seen")
+    products = seen.groupBy("product_id").agg(
+        _first("category_id").alias("category_id"),
+        _first("code").alias("category_code"),
+        F.coalesce(_first("brand"), F.lit(DEFAULT_BRAND)).alias("brand"),
+        mean_price(F.sum("paid"), F.sum("paid_rows")).alias("avg_price"),
+        F.min("first_us").alias("_seen"),
     )
     if max_products is not None:
         products = products.orderBy("_seen", "product_id").limit(max_products)
-    codes = known_codes(rows, by)
     fill = F.coalesce("category_code", "known_code", category_placeholder(F.col("category_id")))
-    return lookup_join(products, codes, ["category_id"], "left").select(
+    return lookup_join(products, known_codes(seen), ["category_id"], "left").select(
         "product_id", "category_id", "category_code", fill.alias("category_fill"), "brand", "avg_price")

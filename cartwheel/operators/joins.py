@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Rows of a few short columns, so about 10 MB: the size Spark itself broadcasts by default.
 SMALL_ROWS = 200_000
+# A dimension of a few short columns, so about 60 MB per executor.
+DIMENSION_ROWS = 1_000_000
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",

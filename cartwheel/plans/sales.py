@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import cents, half_up, pct, ratio, week_start
+from cartwheel.operators.joins import DIMENSION_ROWS, lookup_join
 from cartwheel.operators.ranking import with_ranks
 from cartwheel.operators.rates import with_rate, with_usd
 from cartwheel.session import materialise
@@ -21,6 +22,8 @@ def daily_sales(orders: DataFrame, products: DataFrame, rates: DataFrame, since:
                 rates_bound: DataFrame | None = None) -> DataFrame:
     """Per date × category × brand × payment method × currency: completed, cancelled and pending orders.
 
+    A catalogue counted to be small is broadcast, so the orders are not shuffled before they are
+    combined; a larger one is joined by shuffle, where adaptive execution splits a best-seller.
     Amounts are summed as exact decimals in their own currency; since a group has one date and one
     currency, the rate is joined to the finished groups and divides each sum once.
     """
@@ -32,10 +35,10 @@ def daily_sales(orders: DataFrame, products: DataFrame, rates: DataFrame, since:
     def n(status: str) -> Column:
         return F.count_if(F.col("status") == status)
 
+    named = lookup_join(_since(orders, "order_date", since), products.select("product_id", "category", "brand"),
+                        ["product_id"], "inner", max_rows=DIMENSION_ROWS)
     groups = (
-        _since(orders, "order_date", since)
-        .join(products.select("product_id", "category", "brand"), "product_id", "inner")
-        .groupBy(*keys)
+        named.groupBy(*keys)
         .agg(
             n("COMPLETED").alias("order_count"),
             amount("COMPLETED").alias("completed_amount"),

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.functions.scalars import iso_timestamp, referrer_category
 from cartwheel.operators.changes import live
@@ -14,7 +17,20 @@ def _or_unknown(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit("Unknown"))
 
 
-def stage_orders(orders: DataFrame) -> DataFrame:
+def _recent(rows: DataFrame, column: str, since: date | None) -> DataFrame:
+    """Drop rows surely older than ``since`` by a plain comparison the scan can use to skip row groups and partitions.
+
+    ISO text sorts by time; one day of slack covers UTC offsets. The exact filter stays with the mart.
+    """
+    if since is None or column not in rows.columns:
+        return rows
+    bound = since - timedelta(days=1)
+    is_text = isinstance(rows.schema[column].dataType, T.StringType)
+    return rows.filter(F.col(column) >= (F.lit(bound.isoformat()) if is_text else F.lit(bound)))
+
+
+def stage_orders(orders: DataFrame, since: date | None = None) -> DataFrame:
+    orders = _recent(orders, "created_at", since)
     created = iso_timestamp(F.col("created_at"))
     return live(orders).select(
         F.col("id").alias("order_id"), "user_id", "product_id", "quantity", "unit_price", "total_amount",
@@ -64,7 +80,9 @@ CLICK_COLUMNS = (
 )
 
 
-def stage_clicks(clicks: DataFrame) -> DataFrame:
+def stage_clicks(clicks: DataFrame, since: date | None = None) -> DataFrame:
+    """``event_date`` of silver files is their partition column, so filtering on it skips whole folders."""
+    clicks = _recent(clicks, "event_date" if "event_date" in clicks.columns else "event_timestamp", since)
     ts = F.col("event_timestamp").cast("timestamp")
     return clicks.select(
         *CLICK_COLUMNS, ts.alias("event_timestamp"), F.to_date(ts).alias("event_date"),

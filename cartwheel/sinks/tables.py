@@ -67,8 +67,8 @@ def insert_absent(new: DataFrame, path: str, key: str) -> None:
     spark = new.sparkSession
     if files.exists(spark, path):
         new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
-    # written aside first: the append must not read the folder it adds files to
-    materialise(new, "absent").write.mode("append").parquet(path)
+    # the files read for the anti join were listed above, the appended ones are not among them
+    new.write.mode("append").parquet(path)
 
 
 # --- keyed upsert ---------------------------------------------------------------------------

@@ -99,14 +99,17 @@ def expired_objects(objects: DataFrame, as_of: Column, rules: dict[str, int] | N
 
 
 def apply_retention(spark: SparkSession, root: str, as_of: date, rules: dict[str, int] | None = None) -> int:
-    """Delete files below ``root`` that are past retention. Returns the number deleted.
+    """Delete what is past retention below ``root``; returns the number of folders and files deleted.
 
-    The list of files is fetched one partition at a time, so it is never held whole.
+    A folder whose objects are all expired goes at once (landing folders are dated, so that is the
+    usual case); single expired files of other folders follow one partition of the list at a time.
     """
     marker = root.rstrip("/") + "/"
     listed = list_files(spark, root, "*").select(
-        "path", F.substring_index("path", marker, -1).alias("key"), F.col("modificationTime").alias("written"))
-    deleted = 0
-    for row in expired_objects(listed, F.lit(as_of), rules).select("path").toLocalIterator():
-        deleted += bool(files.delete(spark, row.path))
-    return deleted
+        "path", "folder", F.substring_index("path", marker, -1).alias("key"), F.col("modificationTime").alias("written"))
+    expired = materialise(expired_objects(listed, F.lit(as_of), rules), "expired")
+    kept = listed.join(expired.select("path"), "path", "left_anti").select("folder").distinct()
+    whole = expired.join(kept, "folder", "left_anti").select(F.col("folder").alias("target")).distinct()
+    single = expired.join(kept, "folder", "left_semi").select(F.col("path").alias("target"))
+    targets = materialise(whole.unionByName(single), "targets")
+    return sum(bool(files.delete(spark, row.target)) for row in targets.toLocalIterator())
