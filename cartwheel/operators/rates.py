@@ -32,22 +32,19 @@ def rates_as_map(documents: DataFrame, keep_nulls: bool = True) -> Column:
     return F.from_json(text, _RATE_MAP)
 
 
-def latest_documents(rows: DataFrame) -> DataFrame:
-    """One row per (date, base, target): the one ingested last."""
-    newest = F.max(F.struct("_ingested_at", "exchange_rate")).alias("newest")
-    return rows.groupBy("exchange_date", "base_currency", "target_currency").agg(newest).select(
-        "exchange_date", "base_currency", "target_currency", F.col("newest.exchange_rate").alias("exchange_rate"))
-
-
 def rate_rows(documents: DataFrame, keep_nulls: bool = True) -> DataFrame:
-    """FX documents → silver rows, one per (date, base, target)."""
+    """FX documents → silver rows, one per (date, base, target).
+
+    Of several documents on a day the one ingested last counts; a currency it has no rate for keeps
+    the rate of an earlier document of that day.
+    """
+    at = F.try_to_timestamp("_ingested_at")
     rows = documents.select(
-        F.to_date(F.try_to_timestamp("_ingested_at")).alias("exchange_date"),
-        F.col("base_code").alias("base_currency"),
-        "_ingested_at",
-        F.explode(rates_as_map(documents, keep_nulls)).alias("target_currency", "exchange_rate"),
-    )
-    return latest_documents(rows)
+        F.to_date(at).alias("exchange_date"), F.col("base_code").alias("base_currency"), at.alias("at"),
+        F.explode(rates_as_map(documents, keep_nulls)).alias("target_currency", "rate"))
+    newest = F.max(F.struct(F.col("rate").isNotNull().alias("known"), "at", "rate")).alias("newest")
+    return rows.groupBy("exchange_date", "base_currency", "target_currency").agg(newest).select(
+        "exchange_date", "base_currency", "target_currency", F.col("newest.rate").alias("exchange_rate"))
 
 
 def forward_fill(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
