@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.operators.changes import initial_rows, merge_changes
-from cartwheel.session import materialise
+from cartwheel.session import materialise, scratch_dir
 from cartwheel.sinks import files
 
 
@@ -88,6 +88,11 @@ def read_keyed(spark: SparkSession, path: str) -> DataFrame:
     return stored.drop(*[c for c in stored.columns if c.startswith("bucket_")])
 
 
+def _publish(stage: DataFrame, path: str, bucket: str) -> None:
+    """Replace the buckets of the stage. Its files hold one bucket each already, so nothing is shuffled again."""
+    (stage.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path))
+
+
 def upsert(changes: DataFrame, path: str, pk: str, buckets: int = 64, guard: bool = True,
            stage: str | None = None) -> None:
     """Merge one change per key into the table at ``path``, which is partitioned by a hash bucket of the key.
@@ -100,8 +105,10 @@ def upsert(changes: DataFrame, path: str, pk: str, buckets: int = 64, guard: boo
     spark = changes.sparkSession
     bucket = bucket_column(buckets)
     if stage and files.exists(spark, f"{stage}/_SUCCESS"):
-        overwrite_partitions(spark.read.parquet(stage), path, [bucket])
+        if files.subfolders(spark, stage):
+            _publish(spark.read.parquet(stage), path, bucket)
         return
+    stage = stage or scratch_dir(spark, "merged")
     changes = changes.withColumn(bucket, bucket_of(pk, buckets))
     if files.exists(spark, path):
         stored = spark.read.parquet(path)
@@ -111,12 +118,11 @@ def upsert(changes: DataFrame, path: str, pk: str, buckets: int = 64, guard: boo
         merged = merge_changes(stored.filter(F.col(bucket).isin(touched)), changes, pk, guard)
     else:
         merged = initial_rows(changes)
-    if stage:
-        merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(stage)
-        staged = spark.read.schema(merged.schema).parquet(stage)
-    else:
-        staged = materialise(merged, "merged")
-    overwrite_partitions(staged, path, [bucket])
+    (merged.hint("rebalance", bucket).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(bucket).parquet(stage))
+    if not files.subfolders(spark, stage):
+        return  # deletes of unknown keys only: nothing to store
+    _publish(spark.read.schema(merged.schema).parquet(stage), path, bucket)
 
 
 # --- tables that are always rebuilt whole ---------------------------------------------------

@@ -125,3 +125,12 @@ def test_key_without_before_image(spark):
 def test_every_captured_table_has_a_schema(spark):
     for name in ("orders", "products", "users"):
         assert spark.createDataFrame([], change_schema(name)).columns[0] == "before"
+
+
+def test_deletes_of_unknown_keys_only(spark, tmp_path):
+    path, stage = str(tmp_path / "t"), str(tmp_path / "s")
+    for _ in range(2):
+        upsert(table(spark, ("d", 1, 1, None)), path, "id", buckets=4, stage=stage)
+    assert not files.exists(spark, path)
+    upsert(table(spark, ("c", 2, 1, "a")), path, "id", buckets=4)
+    assert state(read_keyed(spark, path)) == {1: ("c", 2, "a", False)}
