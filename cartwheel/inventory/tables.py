@@ -131,7 +131,7 @@ def _versioned(spark, folder):
     """Two rebuilds of a table; readers see the second, expiry removes the first."""
     path = scratch_dir(spark, "versions")
     rows = domain.products(spark, folder).select("product_id", "brand")
-    tables.write_version(rows.limit(1), path)
+    tables.write_version(rows.withColumn("brand", F.lit("before")), path)
     tables.write_version(rows, path)
     upkeep.expire_versions(spark, path, date.today() + timedelta(days=30))
     kept = len(tables.complete_versions(spark, path))

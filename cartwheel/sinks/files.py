@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder holds anything besides markers; an empty result leaves only those."""
+    fs, where = _located(spark, path)
+    return fs.exists(where) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(where))
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, where = _located(spark, path)
     return fs.delete(where, True)

@@ -40,7 +40,7 @@ def refresh_window(df: DataFrame, path: str, date_col: str, since: date | None =
     """
     spark = df.sparkSession
     fresh = materialise(df, "refresh")
-    if since is not None and files.exists(spark, path):
+    if since is not None and files.has_data(spark, path):
         old = spark.read.parquet(path).filter(F.col(date_col) >= F.lit(since)).select(date_col).distinct()
         # dates only: the length of the window bounds this list
         for row in old.join(fresh.select(date_col).distinct(), date_col, "left_anti").collect():
@@ -54,7 +54,7 @@ def refresh_window(df: DataFrame, path: str, date_col: str, since: date | None =
 def append_snapshot(df: DataFrame, path: str, date_col: str, day: date) -> bool:
     """Add the snapshot of ``day`` unless it is there already. Returns whether it was written."""
     spark = df.sparkSession
-    if files.exists(spark, path):
+    if files.has_data(spark, path):
         stored = spark.read.parquet(path)
         if not stored.filter(F.col(date_col) == F.lit(day)).isEmpty():
             return False
@@ -65,7 +65,7 @@ def append_snapshot(df: DataFrame, path: str, date_col: str, day: date) -> bool:
 def insert_absent(new: DataFrame, path: str, key: str) -> None:
     """Append the rows whose key is not stored yet; stored rows stay as they are."""
     spark = new.sparkSession
-    if files.exists(spark, path):
+    if files.has_data(spark, path):
         new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
     # the files read for the anti join were listed above, the appended ones are not among them
     new.write.mode("append").parquet(path)
@@ -110,7 +110,7 @@ def upsert(changes: DataFrame, path: str, pk: str, buckets: int = 64, guard: boo
         return
     stage = stage or scratch_dir(spark, "merged")
     changes = changes.withColumn(bucket, bucket_of(pk, buckets))
-    if files.exists(spark, path):
+    if files.has_data(spark, path):
         stored = spark.read.parquet(path)
         if bucket not in stored.columns:
             raise ValueError(f"{path} was not written with {buckets} buckets")
@@ -161,7 +161,7 @@ def register_tables(spark: SparkSession, database: str, location: str, tables: d
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
     for name, path in tables.items():
         full = f"{database}.{name}"
-        if files.exists(spark, path) and not spark.catalog.tableExists(full):
+        if files.has_data(spark, path) and not spark.catalog.tableExists(full):
             spark.catalog.createTable(full, path=path, source="parquet")
             if any("=" in f for f in files.subfolders(spark, path)):
                 spark.catalog.recoverPartitions(full)

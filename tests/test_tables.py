@@ -165,3 +165,17 @@ def test_content_hash_sees_changes_but_not_order(spark):
     a = days(spark, (1, "a", 1), (2, "b", 2))
     assert content_hash(a).first() == content_hash(days(spark, (2, "b", 2), (1, "a", 1))).first()
     assert content_hash(a).first() != content_hash(days(spark, (2, "b", 3), (1, "a", 1))).first()
+
+
+def test_empty_tables(spark, tmp_path):
+    """An empty result leaves a table that the next refresh and append can build on."""
+    path = str(tmp_path / "e")
+    full = days(spark, (1, "a", 1))
+    for since in (None, date(2024, 1, 1)):
+        tables.refresh_window(full.filter("k = 'z'"), path, "day", since)
+        assert spark.read.schema(full.schema).parquet(path).count() == 0 and not files.has_data(spark, path)
+    tables.refresh_window(full, path, "day", date(2024, 1, 1))
+    assert spark.read.parquet(path).count() == 1
+    tables.refresh_window(full.filter("k = 'z'"), path, "day", date(2024, 1, 1))
+    assert not files.has_data(spark, path)
+    assert tables.append_snapshot(full, path, "day", date(2024, 1, 1))
