@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,22 +34,41 @@ def crowded_folders(listed: DataFrame, target_bytes: int = TARGET_FILE_BYTES) ->
         "needed", F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(1))).filter("files > needed")
 
 
+def _replace_partitions(rows: DataFrame, path: str, by: list[str], target_bytes: int) -> None:
+    spark = rows.sparkSession
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, str(target_bytes))
+    try:
+        overwrite_partitions(rows, path, by)
+    finally:
+        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+
+
 def compact(spark: SparkSession, path: str, by: list[str], target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Rewrite the crowded partitions of a partitioned table with files of about ``target_bytes``.
 
     Returns the number of partitions rewritten. The partition list is bounded by the table's folders.
+    The rows are copied to ``_compact`` inside the table (hidden from readers) before partitions are
+    replaced. If a run dies while replacing, run it again before the next write: partitions that are
+    gone come back from the copy, those still there are left alone.
     """
+    copy = f"{path}/_compact"
+    if files.exists(spark, f"{copy}/_SUCCESS"):
+        saved = spark.read.parquet(copy)
+        if files.has_data(spark, path):
+            there = spark.read.parquet(path).select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
+            same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
+            saved = saved.join(there, same, "left_anti")
+        _replace_partitions(saved, path, by, target_bytes)
+    files.delete(spark, copy)
     folders = [r.folder for r in crowded_folders(list_files(spark, path), target_bytes).select("folder").collect()]
     if not folders:
         return 0
-    rows = materialise(spark.read.option("basePath", path).parquet(*folders), "compact")
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, str(target_bytes))
-    try:
-        overwrite_partitions(rows, path, by)
-    finally:
-        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+    rows = spark.read.option("basePath", path).parquet(*folders)
+    rows.write.parquet(copy)
+    _replace_partitions(spark.read.schema(rows.schema).parquet(copy), path, by, target_bytes)
+    files.delete(spark, copy)
     return len(folders)
 
 

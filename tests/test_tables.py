@@ -72,6 +72,12 @@ def test_compaction_keeps_every_row(spark, tmp_path):
     assert upkeep.compact(spark, path, ["part"]) == 0
     assert content_hash(spark.read.parquet(path)).first() == before
     assert upkeep.list_files(spark, path).count() == 3
+    # a run that died while replacing partitions: one is gone, the copy is complete
+    spark.read.parquet(path).filter("part > 0").withColumn(
+        "id", F.when(F.col("part") == 2, -1).otherwise(F.col("id"))).write.parquet(f"{path}/_compact")
+    files.delete(spark, f"{path}/part=1")
+    assert upkeep.compact(spark, path, ["part"]) == 0
+    assert content_hash(spark.read.parquet(path)).first() == before and not files.exists(spark, f"{path}/_compact")
 
 
 def test_retention(spark, tmp_path):
