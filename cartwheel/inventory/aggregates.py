@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions import scalars as fn
 from cartwheel.inventory import base
-from cartwheel.inventory.base import Query, h, pct, shown, with_views
+from cartwheel.inventory.base import Query, h, pct, with_views
 from cartwheel.inventory.marts import BEHAVIOUR_SQL
 from cartwheel.operators.catalogue import DEFAULT_PRICE, known_codes, mean_price, seen_attributes
 from cartwheel.operators.rates import with_rate

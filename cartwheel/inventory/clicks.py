@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import referrer_category
-from cartwheel.inventory import base
 from cartwheel.inventory.base import Query, with_views
 from cartwheel.operators import events as ops
 from cartwheel.operators.hygiene import harmonise_events, mask_people, quarantine, reject_reason, with_surrogate_key

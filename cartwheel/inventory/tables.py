@@ -13,7 +13,7 @@ from cartwheel.operators.catalogue import build_catalogue
 from cartwheel.operators.quality import content_hash
 from cartwheel.plans.windows import recompute_since
 from cartwheel.session import scratch_dir
-from cartwheel.sinks import files, tables, upkeep
+from cartwheel.sinks import tables, upkeep
 from cartwheel.sources import domain
 
 SHOWN_SALES = f"""

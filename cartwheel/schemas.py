@@ -27,10 +27,9 @@ CLICK_EVENT = ("event_id STRING, user_id INT, session_id STRING, event_type STRI
                "item_id STRING, page_url STRING, duration_ms INT, scroll_depth_pct INT, search_query STRING, "
                "result_count INT, click_target STRING, quantity INT, cart_total FLOAT, step STRING, "
                "pseudo_order_id STRING, real_order_id INT, purchase_amount FLOAT")
-# --- fixed values: historical behaviour CSV; the last column collects rows that do not fit ---
+# --- fixed values: historical behaviour CSV ---
 BEHAVIOUR_CSV = ("event_time STRING, event_type STRING, product_id STRING, category_id STRING, "
                  "category_code STRING, brand STRING, price DOUBLE, user_id STRING, user_session STRING")
-FX_DOCUMENT = "base_code STRING, rates MAP<STRING, DOUBLE>, _ingested_at STRING"
 
 
 def ddl(text: str) -> T.StructType:

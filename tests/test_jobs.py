@@ -5,7 +5,6 @@ from datetime import date
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from cartwheel import jobs
 from cartwheel.operators.quality import content_hash

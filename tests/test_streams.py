@@ -1,9 +1,7 @@
 import json
-from datetime import datetime, timezone
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from cartwheel.operators.events import late_tolerant, parse_messages, with_event_day
 from cartwheel.streaming.clicks import broker_stream, land_clicks, refine_clicks
