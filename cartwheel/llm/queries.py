@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "quality_rules", "packing", "token_rollup", "simhash", "vptree")
+MODULES = ("mixing", "quality_rules", "packing", "token_rollup", "simhash", "vptree", "toxicity", "katz")
 
 
 def registered() -> dict:
