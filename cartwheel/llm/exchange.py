@@ -95,7 +95,7 @@ def answered(requested: DataFrame, merge: Merge, extra_type: Callable[[int], typ
     """
     partitions = int(requested.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = requested.repartition(partitions, "kind", "range").sortWithinPartitions("kind", "range", "block")
-    schema = f"{ANSWER}, " + ", ".join(f"{t} long" for t in totals)
+    schema = ", ".join([ANSWER, *[f"{t} long" for t in totals]])
 
     def solve(kind: int, number: int, part: list[tuple]) -> pa.RecordBatch:
         blocks, sizes, keys, extra = zip(*part)
@@ -123,7 +123,7 @@ def answered(requested: DataFrame, merge: Merge, extra_type: Callable[[int], typ
             yield solve(*at, part)
 
     stored = materialise(dealt.mapInArrow(run, schema), label)
-    summed = stored.groupBy("kind").agg(*[F.sum(t).alias(t) for t in totals])
+    summed = stored.groupBy("kind").agg(F.count("*").alias("ranges"), *[F.sum(t).alias(t) for t in totals])
     return stored.select("kind", "range", "block", "answer"), summed
 
 

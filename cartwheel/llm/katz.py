@@ -295,7 +295,7 @@ def score(docs: DataFrame, block_bytes: int = exchange.BLOCK_BYTES) -> DataFrame
     model = Model.of({r.kind: r.asDict() for r in totals.collect()})  # a row of sums per kind
     counted = exchange.with_answers(table, counts=counts)
     weights, _ = exchange.answered(exchange.sent(counted, lambda row: _context_requests(row, model, edges)), _merge_contexts,
-                                   lambda kind: _SUMS, ["none"], "katz-weights")
+                                   lambda kind: _SUMS, [], "katz-weights")
     taught = docs.filter(~held_out()).count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

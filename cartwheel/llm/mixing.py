@@ -108,6 +108,29 @@ def first_words(text: Column, n: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), n.cast("int")), "")
 
 
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, source and others) as the mix takes them: as often as it takes them whole, and
+    once more up to their last taken word. n_chars, if there, follows a cut text. Rows alike in id, source and text
+    share what their document is taken, in whole words.
+    """
+    digest = F.md5("text")
+    names = docs.columns
+    thin = materialise(docs.select("doc_id", "source", digest.alias("digest"), word_count(F.col("text")).alias("each")), "mix-rows")
+    thin = thin.groupBy("doc_id", "source", "digest", "each").agg(F.count("*").alias("copies"))
+    takes = mix(thin.withColumn("size", F.col("each") * F.col("copies")), ties=("digest",), **how)
+    takes = takes.select(F.col("doc_id").alias("_id"), F.col("source").alias("_of"), F.col("digest").alias("_digest"), F.col("each").alias("_each"),
+                         F.floor(F.col("taken") / F.col("copies")).cast("bigint").alias("_taken")).filter("_taken > 0")
+    rows = docs.join(takes.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_of"))
+                     & digest.eqNullSafe(F.col("_digest")))
+    parts = F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("_taken") / F.col("_each")))
+    rows = rows.withColumn("_part", F.explode(parts)).withColumn("_words", F.col("_taken") - (F.col("_part") - 1) * F.col("_each"))
+    cut = F.col("_words") < F.col("_each")
+    rows = rows.withColumn("text", F.when(cut, first_words(F.col("text"), F.col("_words"))).otherwise(F.col("text")))
+    if "n_chars" in names:
+        rows = rows.withColumn("n_chars", F.when(cut, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return rows.select(*[F.col(f"`{c}`") for c in names])
+
+
 def sizes(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
 

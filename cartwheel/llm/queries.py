@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("mixing", "quality_rules", "packing", "token_rollup", "simhash", "vptree", "toxicity", "katz")
+MODULES = ("suffix_dedup", "packing", "mixing", "token_rollup", "katz", "simhash", "quality_rules", "toxicity", "phrase_dedup", "vptree")
 
 
 def registered() -> dict:

@@ -9,6 +9,9 @@ corpus, so they are not broadcast. A shard gives links that span its groups, nev
 ``TREE_NODES`` is split into pieces, and every pair of pieces is a shard of its own. The links then shrink to stars in
 rounds, each written to the shared folder.
 
+For near copies in the pipeline (Jaccard similarity of 0.8 and more, far beyond a radius of four) the fingerprints are
+four words wide and the shards share sampled bits.
+
 Defined results: a null, empty or blank text has fingerprint zero and is linked like any other; fewer words than a
 shingle needs are one shingle; repeated rows and ids each get their row; a null id is in the component of its
 fingerprint and never names it; an empty table gives no rows; other columns are not read.
@@ -16,6 +19,7 @@ fingerprint and never names it; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -26,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm.tables import materialise
+from cartwheel.llm.textops import mix
 
 SHINGLE = 4
 RADIUS = 4
@@ -35,49 +40,67 @@ SEED = 42
 MAX_ROUNDS = 60
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """SimHash of one text: bytes lower-cased A-Z, split at the six ASCII spaces, shingles joined by a space."""
+def fingerprint(text: str | None, shingle: int = SHINGLE, words: int = 1) -> np.ndarray:
+    """SimHash of one text, 64 bits per word: bytes lower-cased A-Z, split at the six ASCII spaces, shingles joined by a
+    space. The first word is of the shingles' hashes, the others of further hashes of those."""
     parts = (text or "").encode().lower().split()
     if not parts:
-        return 0
+        return np.zeros(words, np.uint64)
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     size = min(shingle, len(parts))
     digest = xxhash.xxh64_intdigest
     hashes = [digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[size - 1:].tolist())]
-    ones = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 1 << 15):
-        part = np.array(hashes[i: i + (1 << 15)], "<u8")
-        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
+    ones = np.zeros((words, 64), np.int64)
+    for i in range(0, len(hashes), 1 << 14):
+        part = np.array(hashes[i: i + (1 << 14)], "<u8")
+        for word in range(words):
+            mine = mix(part + np.uint64(word) * np.uint64(0x9E3779B97F4A7C15)) if word else part
+            ones[word] += np.unpackbits(mine.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), axis=1, bitorder="little").view("<u8").ravel()
+
 
+def columns_of(words: int) -> list[str]:
+    return [f"fp{i}" for i in range(words)]
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp: the fingerprint as a signed number."""
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, words: int = 1) -> DataFrame:
+    """doc_id, digest (of the text) and the fingerprint as signed numbers fp0, fp1, ..."""
+    names = ["doc_id", "digest", *columns_of(words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(t.as_py(), shingle, words) for t in batch.column(2)], np.uint64).reshape(-1, words).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *[pa.array(np.ascontiguousarray(found[:, i])) for i in range(words)]], names=names)
+
+    schema = "doc_id long, digest string, " + ", ".join(f"{c} long" for c in columns_of(words))
+    return (docs.select(F.col("doc_id").cast("bigint"), F.md5("text").alias("digest"), F.col("text").cast("string"))
+            .mapInArrow(run, schema))
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+
+def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distance of fingerprints, one per row."""
+    return np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+
+
+_EDGES = 1 << 16
 
 
 class BKTree:
     """Levels of nodes; all items are inserted together, and many queries descend together."""
 
     def __init__(self, items: np.ndarray):
-        self.items = items.astype(np.uint64)
+        self.items = items
         n = len(items)
         self.child_parent, self.child_distance, self.child = [], [], []
         left, parent = np.arange(1, n), np.zeros(max(n - 1, 0), np.int64)
         while len(left):
-            distance = np.bitwise_count(self.items[left] ^ self.items[parent]).astype(np.int64)
+            apart = distance(self.items[left], self.items[parent])
             # the first item at each distance of each parent is a child, the others go below it
-            edge, first, belongs = np.unique(parent * 65 + distance, return_index=True, return_inverse=True)
-            self.child_parent.append(edge // 65)
-            self.child_distance.append(edge % 65)
+            edge, first, belongs = np.unique(parent * _EDGES + apart, return_index=True, return_inverse=True)
+            self.child_parent.append(edge // _EDGES)
+            self.child_distance.append(edge % _EDGES)
             self.child.append(left[first])
             rest = np.ones(len(left), bool)
             rest[first] = False
@@ -94,9 +117,8 @@ class BKTree:
         """(query number, item number) of every pair within the radius."""
         q, node = np.arange(len(queries)), np.zeros(len(queries), np.int64)
         found_q, found_i = [], []
-        queries = queries.astype(np.uint64)
         while len(q):
-            d = np.bitwise_count(queries[q] ^ self.items[node]).astype(np.int64)
+            d = distance(queries[q], self.items[node])
             near = d <= radius
             found_q.append(q[near])
             found_i.append(node[near])
@@ -109,7 +131,7 @@ class BKTree:
 
 
 def spanning_links(items: np.ndarray, radius: int, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect exactly what the pairs within the radius connect; fewer than items."""
+    """Numbers of the items of links that connect exactly what the pairs within the radius connect; fewer than items."""
     tree = BKTree(items)
     root = np.arange(len(items))
     out_a, out_b = [], []
@@ -134,61 +156,76 @@ def spanning_links(items: np.ndarray, radius: int, block: int = 256) -> tuple[np
                 root[max(ra, rb)] = min(ra, rb)
                 out_a.append(a)
                 out_b.append(b)
-    return items[np.array(out_a, np.int64)], items[np.array(out_b, np.int64)]
+    return np.array(out_a, np.int64), np.array(out_b, np.int64)
 
 
-def shard_keys(radius: int = RADIUS, blocks: int = BLOCKS) -> list[tuple[int, int]]:
-    """(number of the choice, mask) of every choice of blocks - radius blocks."""
+def block_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[list[int]]:
+    """One mask per choice of blocks - radius blocks of a 64-bit fingerprint: links within the radius share all bits of one."""
     if blocks <= radius:
         raise ValueError("more blocks than the radius are needed")
     edges = np.linspace(0, 64, blocks + 1).astype(int).tolist()
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
-    return [(n, sum(chosen)) for n, chosen in enumerate(combinations(masks, blocks - radius))]
+    return [[sum(chosen)] for chosen in combinations(masks, blocks - radius)]
+
 
+def sampled_masks(nodes: int, radius: int, words: int, miss: float = 0.03) -> list[list[int]]:
+    """Masks of random bits for radii at which blocks would be too short: links at the radius share all bits of one but
+    for a share ``miss``. More fingerprints take more bits, so shards stay small, and more masks, so the share stays."""
+    bits = max(12, math.ceil(math.log2(max(nodes, 2))) - 1)
+    ways = math.ceil(math.log(miss) / math.log1p(-((1 - radius / (64 * words)) ** bits)))
+    random = np.random.default_rng(11)
+    out = []
+    for _ in range(ways):
+        chosen = random.choice(64 * words, bits, replace=False).tolist()
+        out.append([sum(1 << (c % 64) for c in chosen if c // 64 == w) for w in range(words)])
+    return out
 
-def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """Spanning links (a, b) of distinct fingerprints ``fp``."""
+
+def links(fps: DataFrame, masks: list[list[int]], radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
+    """Spanning links (a, b) between the numbers ``node`` of distinct fingerprints fp0, ..."""
+    words = len(masks[0])
+    columns = columns_of(words)
 
     def signed(mask: int) -> Column:
         return F.lit(mask - (1 << 64) if mask >= 1 << 63 else mask)
 
-    ways = F.array(*[F.struct(F.lit(n).alias("way"), F.col("fp").bitwiseAND(signed(m)).alias("bits")) for n, m in shard_keys(radius, blocks)])
-    dealt = fps.select("fp", F.explode(ways).alias("w")).select("fp", "w.way", "w.bits")
-    sizes = dealt.groupBy("way", "bits").agg(F.count("*").alias("n")).filter("n > 1")
-    dealt = dealt.join(sizes, ["way", "bits"])
-    pieces = F.ceil(F.col("n") / F.lit(tree_nodes))
-    own = F.pmod(F.xxhash64("fp"), pieces)
-    dealt = (dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
-             .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")))
-    shard = ["way", "bits", "low", "high"]
-    # the hash of the shard is enough to tell the shards of a task apart: a clash only makes one tree of two
-    rows = dealt.select(F.xxhash64(*shard).alias("shard"), "fp").repartition("shard").sortWithinPartitions("shard", "fp")
+    # a clash of two shards' hashes only makes one tree of two
+    keys = F.array(*[F.xxhash64(F.lit(n), *[F.col(c).bitwiseAND(signed(m)) for c, m in zip(columns, mask)]) for n, mask in enumerate(masks)])
+    dealt = fps.select("node", *columns, F.explode(keys).alias("shard"))
+    large = materialise(dealt.groupBy("shard").agg(F.count("*").alias("n")).filter(F.col("n") > tree_nodes), "large-shards")
+    if not large.isEmpty():
+        dealt = dealt.join(large, "shard", "left")
+        pieces = F.coalesce(F.ceil(F.col("n") / F.lit(tree_nodes)), F.lit(1))
+        dealt = (dealt.withColumn("own", F.pmod(F.xxhash64("node"), pieces))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), pieces - 1)))
+                 .withColumn("shard", F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other"))))
+    rows = dealt.select("shard", "node", *columns).repartition("shard").sortWithinPartitions("shard", "node")
+
+    def solve(shard: np.ndarray, node: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(shard):
+            return
+        begin = np.concatenate([[0], np.flatnonzero(shard[1:] != shard[:-1]) + 1])
+        size = np.diff(np.append(begin, len(shard)))
+        two = begin[size == 2]
+        near = two[distance(fp[two], fp[two + 1]) <= radius]
+        a, b = [node[near]], [node[near + 1]]
+        for start, n in zip(begin[size > 2].tolist(), size[size > 2].tolist()):
+            x, y = spanning_links(fp[start: start + n], radius)
+            a.append(node[start + x])
+            b.append(node[start + y])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_s, kept_f = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def solve(s: np.ndarray, f: np.ndarray) -> Iterator[pa.RecordBatch]:
-            if not len(s):
-                return
-            begin = np.concatenate([[0], np.flatnonzero(s[1:] != s[:-1]) + 1])
-            size = np.diff(np.append(begin, len(s)))
-            two = begin[size == 2]
-            near = np.bitwise_count((f[two] ^ f[two + 1]).view(np.uint64)) <= radius
-            a, b = [f[two][near]], [f[two + 1][near]]
-            for start, n in zip(begin[size > 2].tolist(), size[size > 2].tolist()):
-                x, y = spanning_links(f[start: start + n].view(np.uint64), radius)
-                a.append(x.view(np.int64))
-                b.append(y.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, words), np.uint64)]
         for batch in batches:
-            s = np.concatenate([kept_s, batch.column(0).to_numpy()])
-            f = np.concatenate([kept_f, batch.column(1).to_numpy()])
+            new = [c.to_numpy() for c in batch.columns]
+            fresh = new[0], new[1], np.column_stack(new[2:]).astype(np.int64).view(np.uint64).reshape(-1, words)
+            held = [np.concatenate(x) for x in zip(held, fresh)]
             # the last shard of the batch may go on in the next
-            cut = int(np.searchsorted(s, s[-1])) if len(s) else 0
-            yield from solve(s[:cut], f[:cut])
-            kept_s, kept_f = s[cut:], f[cut:]
-        yield from solve(kept_s, kept_f)
+            cut = int(np.flatnonzero(held[0] == held[0][-1])[0]) if len(held[0]) else 0
+            yield from solve(*[h[:cut] for h in held])
+            held = [h[cut:] for h in held]
+        yield from solve(*held)
 
     return rows.mapInArrow(run, "a long, b long")
 
@@ -221,21 +258,45 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, **how) -> DataFrame:
-    """doc_id, fp, component_id (smallest document id reachable over links)."""
-    rows = materialise(fingerprints(docs, shingle), "fingerprints")
-    nodes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    found = components(links(nodes.select("fp"), radius, **how))
-    rooted = nodes.join(found, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_node = rooted.select(F.col("fp").alias("_fp"), "root").join(named, "root").drop("root")
+def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1, tree_nodes: int = TREE_NODES) -> DataFrame:
+    """doc_id, digest, the fingerprint, component (a number) and component_id (smallest document id reachable over links).
+
+    One word and a radius below ``BLOCKS`` find every link; otherwise the shards share sampled bits (``sampled_masks``).
+    """
+    columns = columns_of(words)
+    rows = materialise(fingerprints(docs, shingle, words), "fingerprints")
+    number = F.col("fp0") if words == 1 else F.xxhash64(*columns)
+    nodes = materialise(rows.groupBy(*columns).agg(F.min("doc_id").alias("first")).withColumn("node", number), "nodes")
+    exact = words == 1 and radius < BLOCKS
+    masks = block_masks(radius) if exact else sampled_masks(nodes.count(), radius, words)
+    found = components(links(nodes, masks, radius, tree_nodes))
+    rooted = nodes.drop(*columns).join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
+    named = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
+    by_node = rooted.select("node", "component").join(named, "component")
     # few nodes hold many rows when there are many copies: adaptive execution splits them on the side of the rows
-    return rows.join(by_node, F.col("fp") == F.col("_fp")).drop("_fp")
+    return rows.withColumn("node", number).join(by_node, "node").drop("node")
+
+
+# Near copies: fingerprints of this many words, and the share of their bits that texts with a Jaccard similarity of 0.8
+# differ in (the angle of their shingle sets is acos(2 * 0.8 / 1.8) = 0.151 pi).
+WIDE_WORDS = 4
+WIDE_RADIUS = round(0.151 * 64 * WIDE_WORDS)
+
+
+def keep_first(docs: DataFrame, shingle: int, radius: int = WIDE_RADIUS, words: int = WIDE_WORDS) -> DataFrame:
+    """One row of every group of near copies: the smallest id, a null id last; of rows with that id, one text."""
+    found = materialise(grouped(docs, shingle, radius, words), "groups")
+    best = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    kept = found.groupBy("component").agg(F.min(best).alias("k"))
+    kept = materialise(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest")).distinct(), "kept-ids")
+    rows = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & F.md5("text").eqNullSafe(F.col("_digest")))
+    repeated = found.groupBy("doc_id", "digest").count().filter("count > 1").isEmpty()
+    return (rows if repeated else rows.dropDuplicates(["_id", "_digest"])).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = grouped(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    digits = F.lower(F.lpad(F.hex("fp0"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 

@@ -68,3 +68,24 @@ def test_no_python_in_the_plan(spark):
     df = mixing.mix(mixing.sizes(edge_docs(spark)))
     df.collect()
     assert "Python" not in plan_of(df) and "Arrow" not in plan_of(df) and "CartesianProduct" not in plan_of(df)
+
+
+def test_documents_of_the_mix(spark):
+    docs = edge_docs(spark, extra=True)
+    docs = docs.unionByName(docs.filter("doc_id in (20, 21)"))
+    got: dict = {}
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.columns == docs.columns
+    for r in mixed.collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+    once = docs.dropDuplicates(["doc_id"])
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    # a repeated row weighs twice in its source, so the targets are those of all rows
+    for i, parts in got.items():
+        n = len(re.findall(mixing.WORD, texts[i]))
+        taken = sum(len(re.findall(mixing.WORD, p)) for p in parts)
+        assert taken <= 2 * n * (2 if i in (20, 21) else 1) and all(texts[i].startswith(p) for p in parts)
+    total = sum(len(re.findall(mixing.WORD, t or "")) for t in [*texts.values(), texts[20], texts[21]])
+    words = sum(len(re.findall(mixing.WORD, p)) for parts in got.values() for p in parts)
+    assert once.count() < docs.count() and abs(words - 1.5 * total) <= 20
+    assert mixing.mixed_documents(spark.createDataFrame([], DOCS)).count() == 0

@@ -4,7 +4,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
-from cases import DOCS, edge_docs, stored
+from cases import DOCS, edge_docs, sentence, stored
 
 from cartwheel.llm import simhash
 from cartwheel.llm.textops import WORD_RE
@@ -65,8 +65,8 @@ def test_links_connect_what_pairs_connect(spark, tree_nodes):
     rng = random.Random(2)
     seeds = [rng.getrandbits(64) for _ in range(20)]
     fps = {i: f for i, f in enumerate({s ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(4))) & (2**64 - 1) for s in seeds for _ in range(12)})}
-    signed = [(int(np.uint64(f).astype(np.int64)),) for f in fps.values()]
-    found = simhash.links(spark.createDataFrame(signed, "fp long"), tree_nodes=tree_nodes)
+    signed = [(int(np.uint64(f).astype(np.int64)),) * 2 for f in fps.values()]
+    found = simhash.links(spark.createDataFrame(signed, "node long, fp0 long"), simhash.block_masks(), tree_nodes=tree_nodes)
     roots = {r.node: r.root for r in simhash.components(found).collect()}
     number = {s[0]: i for i, s in zip(fps, signed)}
     want = brute_groups(fps)
@@ -81,7 +81,7 @@ def test_links_connect_what_pairs_connect(spark, tree_nodes):
 def test_bk_tree_finds_all_pairs():
     rng = np.random.default_rng(1)
     items = np.unique(rng.integers(0, 2**10, 300, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    q, i = simhash.BKTree(items).within(items, 18)
+    q, i = simhash.BKTree(items[:, None]).within(items[:, None], 18)
     want = np.bitwise_count(items[:, None] ^ items[None, :]) <= 18
     got = np.zeros_like(want)
     got[q, i] = True
@@ -97,3 +97,32 @@ def test_no_rows_repeated_rows_null_ids(spark):
     assert simhash.grouped(spark.createDataFrame([], DOCS)).count() == 0
     docs = spark.createDataFrame([(5, "a b c d e", None, None, 0), (5, "a b c d e", None, None, 0), (None, "a b c d e", None, None, 0)], DOCS)
     assert [r.component_id for r in simhash.grouped(docs).collect()] == [5, 5, 5]
+
+
+def test_near_copies_at_a_similarity_of_four_fifths(spark):
+    """One document of each group of near copies stays, and documents like no other all stay."""
+    rng = random.Random(9)
+    rows, similar = [], []
+    for group in range(40):
+        base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        rows.append((len(rows), " ".join(base), "en", "s", 0))
+        copy = list(base)
+        for k in rng.sample(range(300), 4):  # twenty of 296 shingles
+            copy[k] = f"x{rng.randrange(5000)}"
+        rows.append((len(rows), " ".join(copy), "en", "s", 0))
+        similar.append(rows[-1][0])
+    alone = [(1000 + i, sentence(rng, 300, [f"w{k}" for k in range(5000)]), "en", "s", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows + alone, DOCS)
+    kept = {r.doc_id for r in simhash.keep_first(docs, 5).collect()}
+    assert {i for i, *_ in alone} <= kept and {r[0] for r in rows} - set(similar) <= kept
+    assert len(kept & set(similar)) <= 4
+
+
+def test_keep_first_of_repeated_rows(spark):
+    docs = edge_docs(spark, extra=True)
+    docs = docs.unionByName(docs).unionByName(docs.limit(1).selectExpr("cast(null as bigint) as doc_id", *[f"`{c}`" for c in docs.columns[1:]]))
+    kept = simhash.keep_first(docs, 5)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert len(ids) == len(set(ids)) and None not in ids and 0 in ids and 1 not in ids
+    assert simhash.keep_first(spark.createDataFrame([], DOCS), 5).count() == 0
