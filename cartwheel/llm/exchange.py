@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.tables import materialise
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Ranges per shuffle partition: several, so that partitions get about the same number of keys.
 RANGES_PER_PARTITION = 6
 

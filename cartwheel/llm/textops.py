@@ -45,7 +45,8 @@ class _Powers:
     @classmethod
     def need(cls, n: int) -> None:
         if len(cls.up) < n:
-            cls.up, cls.down = _powers(_BASE, 2 * n), _powers(_INVERSE, 2 * n)
+            n += n // 4
+            cls.up, cls.down = _powers(_BASE, n), _powers(_INVERSE, n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -64,8 +65,12 @@ class RollingHash:
 
     def __init__(self, buffer: np.ndarray, which: int = 0):
         _Powers.need(len(buffer) + 1)
+        # in place: eight bytes per byte of text are the most that is held
         self.sums = np.zeros(len(buffer) + 1, np.uint64)
-        np.cumsum(_BYTE[which][buffer] * _Powers.down[: len(buffer)], out=self.sums[1:])
+        part = self.sums[1:]
+        np.take(_BYTE[which], buffer, out=part)
+        part *= _Powers.down[: len(buffer)]
+        np.cumsum(part, out=part)
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         value = (self.sums[ends] - self.sums[starts]) * _Powers.up[starts]
