@@ -3,12 +3,12 @@ import zlib
 import numpy as np
 import pytest
 from cases import DOCS, edge_docs, stored
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cartwheel.llm import packing
-from cartwheel.llm.tokenize import CachedTokenizer, default_path
+from cartwheel.llm.tokenize import Encoder, default_path
 
 
 @pytest.fixture(scope="module")
@@ -18,12 +18,14 @@ def model():
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.characters(), st.sampled_from(" \n\t\x0b\x0c\r\x1c\x1f\x85  　'sdabc1!.é"))))
-def test_cached_ids_are_the_tokenizers(text):
-    model, mine = test_cached_ids_are_the_tokenizers.both
+@example("a <|endoftext|>b  <|endoftext|>  c <|endoftext|>")
+@example("é" * 3000 + " " * 700 + "a" * 3000)
+def test_ids_are_those_of_tokenizers(text):
+    model, mine = test_ids_are_those_of_tokenizers.both
     assert np.frombuffer(mine.encode([text])[0], "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
 
 
-test_cached_ids_are_the_tokenizers.both = (Tokenizer.from_file(default_path()), CachedTokenizer(default_path()))
+test_ids_are_those_of_tokenizers.both = (Tokenizer.from_file(default_path()), Encoder(default_path()))
 
 
 @pytest.mark.parametrize("extra", [False, True])
