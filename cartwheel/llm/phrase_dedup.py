@@ -3,8 +3,7 @@
 Confirming: blocks of documents send their distinct window hashes to the key ranges (``exchange``) and learn which
 recur; those they send again under a second, independent hash, and learn the smallest document id of each. Locating:
 the recurring phrases of a block are compiled into Aho-Corasick automata, in shards of at most ``SHARD_PHRASES``, and
-all documents of the block are streamed through them. A word is one character of an automaton, so matches fall on word
-borders. A block gets only the phrases that occur in it, so each document meets the automata it needs and no others.
+all documents of the block are streamed through them. Words are numbers of as many digits, so matches fall on word borders. A block gets only the phrases that occur in it, so each document meets the automata it needs and no others.
 
 Defined results: a null or blank text has no words; documents shorter than a window keep everything; rows that repeat
 an id do not remove each other's words; a null id counts as greater than any other; an empty table gives no rows; other
@@ -29,7 +28,8 @@ from cartwheel.llm.tables import bucketed
 from cartwheel.llm.textops import RollingHash, chunks, text_buffer, window_keys, words
 
 WINDOW = 13
-SHARD_PHRASES = 30_000
+SHARD_PHRASES = 20_000
+_LETTERS = 64
 RECURS, CONFIRMED = 1, 2
 BLOCK = "block long, carried binary, doc_ids binary, lengths binary, vocabulary binary, word_lengths binary, tokens binary"
 _CONFIRM = np.dtype([("key", "<u8"), ("doc", "<i8")])
@@ -159,9 +159,14 @@ def _confirm_requests(row: dict, window: int, edges: np.ndarray) -> Iterator[tup
     yield from exchange.requests(CONFIRMED, row["block"], found.second, extra, edges)
 
 
-def _characters(codes: np.ndarray) -> str:
-    """One character per code; the range that is no text is stepped over."""
-    return (codes + np.where(codes >= 0xD800, 0x800, 0)).astype("<u4").tobytes().decode("utf-32-le")
+def _characters(codes: np.ndarray, digits: int) -> str:
+    """Every code as ``digits`` characters. Each digit has letters of its own, so a match begins with a first digit; few
+    letters per digit keep the nodes of an automaton small."""
+    out = np.empty((len(codes), digits), "<u4")
+    for d in reversed(range(digits)):
+        out[:, d] = codes % _LETTERS + d * _LETTERS + 1
+        codes = codes // _LETTERS
+    return out.tobytes().decode("utf-32-le")
 
 
 def locate(tokens: np.ndarray, phrases: np.ndarray, shard: int = SHARD_PHRASES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -170,15 +175,19 @@ def locate(tokens: np.ndarray, phrases: np.ndarray, shard: int = SHARD_PHRASES)
     for a in range(0, len(phrases), shard):
         part = phrases[a: a + shard]
         known, code = np.unique(part, return_inverse=True)
-        text = _characters(code.reshape(-1) + 1)
+        digits = 1
+        while _LETTERS**digits <= len(known):
+            digits += 1
+        width = window * digits
+        text = _characters(code.reshape(-1) + 1, digits)
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i in range(len(part)):
-            automaton.add_word(text[i * window: (i + 1) * window], i)
+            automaton.add_word(text[i * width: (i + 1) * width], i)
         automaton.make_automaton()
         place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-        stream = _characters(np.where(known[place] == tokens, place + 1, 0))
+        stream = _characters(np.where(known[place] == tokens, place + 1, 0), digits)
         hits = np.fromiter((x for hit in automaton.iter(stream) for x in hit), np.int64).reshape(-1, 2)
-        yield hits[:, 0] - window + 1, hits[:, 1] + a
+        yield hits[:, 0] // digits - window + 1, hits[:, 1] + a
 
 
 def _removed(row: dict, window: int, shard: int) -> tuple[Block, np.ndarray]:

@@ -67,9 +67,11 @@ def test_automata_find_every_occurrence():
     assert got == want
 
 
-def test_characters_skip_what_is_no_text():
-    codes = np.array([0, 0xD7FF, 0xD800, 0xDFFF, 0x10F7FF])
-    assert len(set(phrase_dedup._characters(codes))) == 5
+def test_characters_tell_codes_and_digits_apart():
+    codes = np.arange(70_000)
+    text = phrase_dedup._characters(codes, 3)
+    assert len({text[3 * i: 3 * i + 3] for i in codes}) == len(codes)
+    assert not set(text[0::3]) & set(text[1::3]) and not set(text[1::3]) & set(text[2::3])
 
 
 def test_no_rows(spark):
