@@ -32,14 +32,16 @@ def week_start(day: Column) -> Column:
 
 
 def half_up(c: Column, digits: int = 2) -> Column:
-    """Round half up. The 1e-7 guard keeps binary noise (1.005 stored as 1.00499…) from rounding down."""
+    """Round, halves away from zero. The 1e-7 guard keeps binary noise (1.005 stored as 1.00499…) from rounding down."""
     scale = 10 ** digits
-    return F.floor(c.cast("double") * scale + F.lit(0.5) + F.lit(1e-7)) / F.lit(scale)
+    x = c.cast("double")
+    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5) + F.lit(1e-7)) / F.lit(scale)
 
 
 def cents(c: Column) -> Column:
-    """Amount as whole cents; an integer is the same whatever order the summands came in."""
-    return F.floor(c.cast("double") * 100 + F.lit(0.5) + F.lit(1e-7)).cast("bigint")
+    """Amount as whole cents, halves away from zero; an integer is the same whatever order the summands came in."""
+    x = c.cast("double")
+    return (F.signum(x) * F.floor(F.abs(x) * 100 + F.lit(0.5) + F.lit(1e-7))).cast("bigint")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -96,6 +98,8 @@ def rfm_segment(recency_days: Column, orders: Column, revenue: Column) -> Column
 
 
 def category_placeholder(category_id: Column) -> Column:
+    """Label of a category without a code. The published rule takes eight characters of the id, so ids that begin alike
+    share a label; the id itself stays in its own column."""
     return F.concat(F.lit("category_"), F.substring(category_id, 1, 8))
 
 
@@ -114,8 +118,8 @@ def file_month(name: Column) -> Column:
 
 
 def mask_email(email: Column) -> Column:
-    """Hash of the mailbox, domain kept: joins still work, the person is not readable."""
-    return F.concat(F.substring(F.sha2(F.lower(email), 256), 1, 16), F.lit("@"), F.substring_index(email, "@", -1))
+    """Whole hash of the address, domain kept: joins still work at any size, the person is not readable."""
+    return F.concat(F.sha2(F.lower(email), 256), F.lit("@"), F.substring_index(email, "@", -1))
 
 
 def mask_phone(phone: Column) -> Column:

@@ -74,8 +74,7 @@ def product_engagement(spark, folder, since=None) -> DataFrame:
 
 
 def customer_snapshot(spark, folder, as_of=ORDERS_AS_OF) -> DataFrame:
-    placed = orders(spark, folder).filter(F.col("order_date") <= F.lit(as_of))
-    return customers.customer_snapshot(users(spark, folder), placed, rates(spark, folder), as_of,
+    return customers.customer_snapshot(users(spark, folder), orders(spark, folder), rates(spark, folder), as_of,
                                        rates_bound=domain.rates(spark, folder))
 
 
@@ -101,7 +100,7 @@ def micros(c: str) -> Column:
 
 def h(x: str, digits: int = 2) -> str:
     scale = 10 ** digits
-    return f"(floor(cast({x} as double) * {scale} + 0.5 + 1e-7) / {scale}.0)"
+    return f"(sign(cast({x} as double)) * floor(abs(cast({x} as double)) * {scale} + 0.5 + 1e-7) / {scale}.0)"
 
 
 def pct(a: str, b: str) -> str:
@@ -148,7 +147,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
           (['mobile','desktop','tablet'])[event_id % 3 + 1] as device,
           (['google.com','bing.com','facebook.com','tiktok.com','email','direct',null,'','partner.example',
             'www.youtube.com'])[event_id % 10 + 1] as referrer,
-          case when event_type in ('view','click','purchase') then cast(event_id % 200 as varchar) end as item_id,
+          case when event_type in ('view','click','purchase') then cast(event_id % (select count(*) from part) as varchar) end as item_id,
           case when event_type in ('view','error') then cast(floor(value * 1000) as int) end as duration_ms,
           case when event_type in ('view','error') then cast(json_extract_string(props, '$.k') as int) end
             as scroll_depth_pct,
@@ -212,13 +211,17 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "m_products": (("o_usd", "s_products"), f"""
         select week_start, product_id, product_name, category, brand, units_sold, order_count,
           {h("revenue")} as revenue_usd, {h("mean")} as avg_order_value_usd,
-          rank() over (partition by week_start order by {h("revenue")} desc) as revenue_rank_in_week,
+          rank() over (partition by week_start order by revenue desc nulls last) as revenue_rank_in_week,
           rank() over (partition by week_start order by units_sold desc) as units_rank_in_week,
           count(*) over (partition by week_start) as total_products_in_week
         from (select cast(date_trunc('week', order_date) as date) as week_start, product_id, product_name, category,
-                brand, cast(sum(quantity) as bigint) as units_sold, count(distinct order_id) as order_count,
-                sum(usd) as revenue, avg(usd) as mean
-              from o_usd join s_products using (product_id) where status = 'COMPLETED' group by all)"""),
+                brand, cast(sum(units) as bigint) as units_sold, cast(sum(orders) as bigint) as order_count,
+                sum(usd) as revenue, cast(sum(usd) as double) / nullif(sum(priced), 0) as mean
+              from (select order_date, product_id, sum(quantity) as units, count(distinct order_id) as orders,
+                      count(total_amount) as priced,
+                      cast(cast(sum(total_amount) as double) / coalesce(any_value(rate), 1.0) as decimal(28,6)) as usd
+                    from o_usd where status = 'COMPLETED' group by order_date, product_id, currency)
+              join s_products using (product_id) group by all)"""),
     "m_products_flagged": (("m_products",), """
         select *, revenue_rank_in_week <= ceil(total_products_in_week * 0.10) as is_top_10_pct_revenue,
           revenue_rank_in_week <= 3 as is_top_3_revenue from m_products"""),

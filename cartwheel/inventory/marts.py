@@ -45,7 +45,7 @@ BEHAVIOUR_SQL = """
       case when event_id % 13 = 0 then 0.0 when event_id % 17 = 0 then -1.0
         when p_partkey % 19 <> 0 then value end as price,
       cast(user_id as varchar) as user_id, 's' || event_id as user_session
-    from events join part on event_id % 200 = p_partkey"""
+    from (select *, event_id % (select count(*) from part) as part_of from events) join part on part_of = p_partkey"""
 
 
 def catalogue_sql(rows: str) -> str:

@@ -71,10 +71,10 @@ def refine(lake: Lake) -> bool:
                          lake.path("checkpoints", "clickstream"))
 
 
-def seed_catalogue(lake: Lake, csv: str, max_products: int | None = None) -> None:
+def seed_catalogue(lake: Lake, csv: str) -> None:
     """Historical CSV → product catalogue; products already there stay."""
     rows = behaviour_csv(lake.spark, csv, ["event_time", "product_id", "category_id", "category_code", "brand", "price"])
-    tables.insert_absent(build_catalogue(rows, max_products=max_products), lake.path("silver", "catalogue"), "product_id")
+    tables.insert_absent(build_catalogue(rows), lake.path("silver", "catalogue"), "product_id")
 
 
 def _mart_plans(lake: Lake, as_of: date) -> dict[str, Callable[[date | None], DataFrame]]:
@@ -146,7 +146,6 @@ def main(argv: list[str] | None = None) -> None:
     jobs.add_parser("rates")
     catalogue = jobs.add_parser("catalogue")
     catalogue.add_argument("--csv", required=True)
-    catalogue.add_argument("--max-products", type=int)
     for name in ("marts", "maintain"):
         dated = jobs.add_parser(name)
         dated.add_argument("--as-of", type=date.fromisoformat, default=date.today())
@@ -165,7 +164,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "rates":
         load_rates(lake)
     elif args.job == "catalogue":
-        seed_catalogue(lake, args.csv, args.max_products)
+        seed_catalogue(lake, args.csv)
     elif args.job == "marts":
         refresh_marts(lake, args.as_of, args.full).show(100, truncate=False)
     else:

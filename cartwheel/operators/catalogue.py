@@ -53,12 +53,11 @@ def mean_price(paid: Column, rows: Column) -> Column:
     return F.coalesce(half_up(paid.cast("double") / F.nullif(rows, F.lit(0)).cast("double")), F.lit(DEFAULT_PRICE))
 
 
-def build_catalogue(rows: DataFrame, ts: str = "event_time", max_products: int | None = None) -> DataFrame:
+def build_catalogue(rows: DataFrame, ts: str = "event_time") -> DataFrame:
     """One row per product id.
 
     Each attribute is the first value seen, the category falls back to the code last seen with its
-    id, then to a placeholder. ``max_products`` keeps the products that appear first (for trial
-    catalogues). The history is read once.
+    id, then to a placeholder. The history is read once.
     """
     seen = materialise(seen_attributes(rows, ts), "seen")
     products = seen.groupBy("product_id").agg(
@@ -66,10 +65,7 @@ def build_catalogue(rows: DataFrame, ts: str = "event_time", max_products: int |
         _first("code").alias("category_code"),
         F.coalesce(_first("brand"), F.lit(DEFAULT_BRAND)).alias("brand"),
         mean_price(F.sum("paid"), F.sum("paid_rows")).alias("avg_price"),
-        F.min("first_us").alias("_seen"),
     )
-    if max_products is not None:
-        products = products.orderBy("_seen", "product_id").limit(max_products)
     fill = F.coalesce("category_code", "known_code", category_placeholder(F.col("category_id")))
     return lookup_join(products, known_codes(seen), ["category_id"], "left").select(
         "product_id", "category_id", "category_code", fill.alias("category_fill"), "brand", "avg_price")

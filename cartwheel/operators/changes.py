@@ -55,7 +55,10 @@ def merge_changes(target: DataFrame, changes: DataFrame, pk: str, guard: bool =
     known = F.col("_old_key").isNotNull()
     current = F.lit(True)
     if guard:
-        current = F.coalesce(F.col("new.ts_ms") >= F.col("old.ts_ms"), F.lit(True))
+        newer, same = F.col("new.ts_ms") > F.col("old.ts_ms"), F.col("new.ts_ms") == F.col("old.ts_ms")
+        if "lsn" in target.columns and "lsn" in changes.columns:  # the log position decides ties, in whatever batch they come
+            same = same & F.coalesce(F.col("new.lsn") >= F.col("old.lsn"), F.lit(True))
+        current = F.coalesce(newer | same, F.lit(True))
     op = F.col("new.op")
     replaced = F.coalesce((op != "d") & (~known | current), F.lit(False))
     deleted = F.coalesce((op == "d") & known & current, F.lit(False))
@@ -64,8 +67,8 @@ def merge_changes(target: DataFrame, changes: DataFrame, pk: str, guard: bool =
         kept = F.col(f"old.{column}")
         if column == "is_deleted":
             kept = F.when(deleted, F.lit(True)).otherwise(kept)
-        if column == "ts_ms":
-            kept = F.when(deleted, F.col("new.ts_ms")).otherwise(kept)
+        if column in ("ts_ms", "lsn"):
+            kept = F.when(deleted, F.col(f"new.{column}")).otherwise(kept)
         return F.when(replaced, F.col(f"new.{column}")).otherwise(kept).alias(column)
 
     return both.filter(known | replaced).select(*[merged(c) for c in target.columns])

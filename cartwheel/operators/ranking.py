@@ -16,7 +16,7 @@ BINS_PER_DOUBLING = 12
 
 
 def value_bin(value: Column) -> Column:
-    """Integer that never decreases as the value grows; symmetric around zero."""
+    """Integer that never decreases as the value grows; symmetric around zero, NULL for NULL."""
     size = F.floor(F.log2(F.abs(value.cast("double")) + 1.0) * BINS_PER_DOUBLING)
     return F.when(value < 0, -size - 1).otherwise(size).cast("int")
 
@@ -39,7 +39,7 @@ def value_positions(df: DataFrame, group: list[str], value: str, descending: boo
          - F.col("_in_bin")).alias("_ahead"),
         F.sum("_in_bin").over(over_bins).alias("total"),
     )
-    same_bin = F.col("_bin") == F.col("_b")
+    same_bin = F.col("_bin").eqNullSafe(F.col("_b"))
     for i, c in enumerate(group):
         same_bin = same_bin & F.col(c).eqNullSafe(F.col(f"_g{i}"))
     inside = Window.partitionBy(*group, "_bin").orderBy(ordered(value)).rowsBetween(Window.unboundedPreceding, 0)
@@ -53,7 +53,7 @@ def value_positions(df: DataFrame, group: list[str], value: str, descending: boo
 def with_ranks(df: DataFrame, group: list[str], ranks: dict[str, str], total: str | None = None) -> DataFrame:
     """Add ranks of each row in its group: ``ranks`` maps a value column to the name of its rank column.
 
-    Descending, ties share a rank and gaps follow. Values must be non-NULL and exact (integer or
+    Descending, ties share a rank and gaps follow; NULL comes last. Values must be exact (integer or
     decimal). ``total`` names an optional column for the number of rows in the group. Every value
     column reads ``df`` once more, so pass a stored table (see ``session.materialise``), not a long plan.
     """
@@ -64,7 +64,7 @@ def with_ranks(df: DataFrame, group: list[str], ranks: dict[str, str], total: st
         columns += [F.col(value).alias("_v"), (F.col("before") + 1).alias(name)]
         if total and i == 0:
             columns.append(F.col("total").alias(total))
-        on = F.col(value) == F.col("_v")
+        on = F.col(value).eqNullSafe(F.col("_v"))
         for j, c in enumerate(group):
             on = on & F.col(c).eqNullSafe(F.col(f"_k{j}"))
         out = out.join(positions.select(*columns), on, "inner").drop("_v", *[f"_k{j}" for j in range(len(group))])

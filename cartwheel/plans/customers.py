@@ -28,9 +28,9 @@ def order_stats(orders: DataFrame, rates: DataFrame, rates_bound: DataFrame | No
 
 def customer_snapshot(users: DataFrame, orders: DataFrame, rates: DataFrame, as_of: date,
                       rates_bound: DataFrame | None = None) -> DataFrame:
-    """Recency, frequency, revenue, segment and VIP flag of every user on ``as_of``."""
+    """Recency, frequency, revenue, segment and VIP flag of every user on ``as_of``; later orders do not count."""
     today = F.lit(as_of)
-    stats = order_stats(orders, rates, rates_bound)
+    stats = order_stats(orders.filter(F.col("order_date") <= today), rates, rates_bound)
     recency = F.datediff(today, F.col("last_order_date"))
     revenue = F.coalesce("revenue", F.lit(0.0))
     people = users.select("user_id", "city", "country", "registration_date")

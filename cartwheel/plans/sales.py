@@ -7,13 +7,17 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.scalars import cents, half_up, pct, ratio, week_start
+from cartwheel.functions.scalars import half_up, pct, ratio, week_start
 from cartwheel.operators.joins import DIMENSION_ROWS, lookup_join
 from cartwheel.operators.ranking import with_ranks
 from cartwheel.operators.rates import with_rate, with_usd
 from cartwheel.session import materialise
 
 
+# Converted amounts as exact numbers, so that sums and ranks do not depend on the order of the rows.
+EXACT = "decimal(28,6)"
+
+
 def _since(df: DataFrame, column: str, since: date | None) -> DataFrame:
     return df if since is None else df.filter(F.col(column) >= F.lit(since))
 
@@ -42,6 +46,7 @@ def daily_sales(orders: DataFrame, products: DataFrame, rates: DataFrame, since:
         .agg(
             n("COMPLETED").alias("order_count"),
             amount("COMPLETED").alias("completed_amount"),
+            F.count(F.when(F.col("status") == "COMPLETED", F.col("total_amount"))).alias("priced_count"),
             F.sum(F.when(F.col("status") == "COMPLETED", F.col("quantity"))).alias("completed_quantity"),
             n("CANCELLED").alias("cancelled_count"),
             n("PENDING").alias("pending_count"),
@@ -54,7 +59,7 @@ def daily_sales(orders: DataFrame, products: DataFrame, rates: DataFrame, since:
         "order_date", "category", "brand", "payment_method", F.col("currency").alias("currency_group"),
         "order_count",
         F.coalesce(revenue, F.lit(0.0)).alias("total_revenue_usd"),
-        ratio(revenue, F.col("order_count")).alias("avg_order_value_usd"),
+        ratio(revenue, F.col("priced_count")).alias("avg_order_value_usd"),
         F.coalesce("completed_quantity", F.lit(0).cast("bigint")).alias("total_quantity_sold"),
         "cancelled_count",
         pct(F.col("cancelled_count"), F.col("order_count") + F.col("cancelled_count")).alias("cancellation_rate_pct"),
@@ -79,7 +84,7 @@ def weekly_revenue(orders: DataFrame, products: DataFrame, rates: DataFrame, sin
              F.count("total_amount").alias("priced"), F.sum("total_amount").alias("amount"))
     )
     weekly = (
-        with_usd(daily, rates, "amount", "usd", rates_bound)
+        with_usd(daily, rates, "amount", "usd", rates_bound).withColumn("usd", F.col("usd").cast(EXACT))
         .groupBy(week_start(F.col("order_date")).alias("week_start"), "product_id")
         .agg(F.sum("units").cast("bigint").alias("units_sold"), F.sum("orders").alias("order_count"),
              F.sum("priced").alias("priced"), F.sum("usd").alias("revenue"))
@@ -90,11 +95,11 @@ def weekly_revenue(orders: DataFrame, products: DataFrame, rates: DataFrame, sin
 
 def product_performance(orders: DataFrame, products: DataFrame, rates: DataFrame, since: date | None = None,
                         rates_bound: DataFrame | None = None) -> DataFrame:
-    """Per week × product: sales, ranks by revenue (in cents) and units, top flags."""
-    weekly = weekly_revenue(orders, products, rates, since, rates_bound).withColumn("cents", cents(F.col("revenue")))
+    """Per week × product: sales, ranks by unrounded revenue and units, top flags. Unknown revenue ranks last."""
+    weekly = weekly_revenue(orders, products, rates, since, rates_bound)
     ranked = with_ranks(
         materialise(weekly, "weekly_revenue"), ["week_start"],
-        {"cents": "revenue_rank_in_week", "units_sold": "units_rank_in_week"}, total="total_products_in_week")
+        {"revenue": "revenue_rank_in_week", "units_sold": "units_rank_in_week"}, total="total_products_in_week")
     top_tenth = F.ceil(F.col("total_products_in_week") * F.lit(0.10))
     return ranked.select(
         "week_start", "product_id", "product_name", "category", "brand", "units_sold", "order_count",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +11,12 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # streamed sessions of one user are merged in every task before they are shuffled
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
-_fallback_scratch: dict[str, str] = {}
+
+_marked: set[str] = set()
 
 
 def build_session(app_name: str, master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -38,27 +39,21 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    A local session without that setting (tests) gets a temporary folder; on a cluster a
-    machine-local folder would be invisible to the other machines, so that is an error.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which is shared too."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback_scratch:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.sparkContext.setCheckpointDir(folder)
-        _fallback_scratch[app] = folder
-    return _fallback_scratch[app]
+    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused folder below the scratch root."""
-    return os.path.join(scratch_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    """A new, unused path below the folder of this application, which is deleted when the driver's JVM ends."""
+    own = f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    if own not in _marked:
+        where = spark._jvm.org.apache.hadoop.fs.Path(own)
+        fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+        _marked.add(own)
+    return f"{own}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

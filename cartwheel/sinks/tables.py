@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cartwheel.operators.changes import initial_rows, merge_changes
@@ -62,9 +62,19 @@ def append_snapshot(df: DataFrame, path: str, date_col: str, day: date) -> bool:
     return True
 
 
-def insert_absent(new: DataFrame, path: str, key: str) -> None:
-    """Append the rows whose key is not stored yet; stored rows stay as they are."""
+def insert_absent(new: DataFrame, path: str, key: str, order: list[str] | None = None, rejects: str | None = None) -> None:
+    """Append the rows whose key is not stored yet; stored rows stay as they are.
+
+    Of several new rows with one key the first by ``order`` (default: all columns) is kept. Rows
+    without a key go to ``rejects`` if that is given and are never stored.
+    """
     spark = new.sparkSession
+    if rejects:
+        (new.filter(F.col(key).isNull()).withColumn("reject_reason", F.lit(f"missing {key}"))
+         .write.mode("append").parquet(rejects))
+    ranked = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order or new.columns])
+    new = (new.filter(F.col(key).isNotNull()).withColumn("_n", F.row_number().over(ranked))
+           .filter(F.col("_n") == 1).drop("_n"))
     if files.has_data(spark, path):
         new = new.join(spark.read.parquet(path).select(key), key, "left_anti")
     # the files read for the anti join were listed above, the appended ones are not among them
@@ -84,8 +94,9 @@ def bucket_of(pk: str, buckets: int) -> Column:
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    """The rows without the columns that only the merge needs."""
     stored = spark.read.parquet(path)
-    return stored.drop(*[c for c in stored.columns if c.startswith("bucket_")])
+    return stored.drop(*[c for c in stored.columns if c.startswith("bucket_") or c == "lsn"])
 
 
 def _publish(stage: DataFrame, path: str, bucket: str) -> None:

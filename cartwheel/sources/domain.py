@@ -129,7 +129,7 @@ def raw_clicks(spark: SparkSession, folder: str) -> DataFrame:
         _pick(eid % 3, {0: "mobile", 1: "desktop"}, "tablet").alias("device"),
         _pick(eid % 10, {0: "google.com", 1: "bing.com", 2: "facebook.com", 3: "tiktok.com", 4: "email",
                          5: "direct", 6: None, 7: "", 8: "partner.example"}, "www.youtube.com").alias("referrer"),
-        F.when(kind.isin("view", "click", "purchase"), (eid % 200).cast("string")).alias("item_id"),
+        F.when(kind.isin("view", "click", "purchase"), (eid % part_count(spark, folder)).cast("string")).alias("item_id"),
         F.when(timed, F.floor(F.col("value") * 1000).cast("int")).alias("duration_ms"),
         F.when(timed, F.get_json_object("props", "$.k").cast("int")).alias("scroll_depth_pct"),
         F.when(kind == "signup", F.concat(F.lit("query "), (eid % 25).cast("string"))).alias("search_query"),
@@ -212,6 +212,11 @@ def fx_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def part_count(spark: SparkSession, folder: str) -> int:
+    """Number of parts: events refer to all of them in turn."""
+    return max(1, table(spark, folder, "part").count())
+
+
 def behaviour_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Historical shop behaviour: events on parts, with missing codes, brands, ids and prices."""
     part = table(spark, folder, "part").select(F.col("p_partkey").alias("part"), "p_type", "p_brand")
@@ -220,7 +225,7 @@ def behaviour_rows(spark: SparkSession, folder: str) -> DataFrame:
     code = F.concat_ws(".", F.lower("p_type"), category.cast("string"))
     return (
         table(spark, folder, "events")
-        .withColumn("part", eid % 200)
+        .withColumn("part", eid % part_count(spark, folder))
         .join(part, "part")
         .select(
             F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),

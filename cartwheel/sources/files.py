@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.schemas import BEHAVIOUR_CSV, change_schema, ddl, landed_click_schema
 
 # year / month / day folders below a landing folder
 LANDED_JSON = "*/*/*/*.json"
 LANDING_ZONE = "Asia/Ho_Chi_Minh"
+# column of a line that could not be read
+BROKEN_LINE = "broken_line"
 
 
 def missing_ok(read: Callable[[], DataFrame]) -> DataFrame | None:
@@ -26,8 +29,10 @@ def missing_ok(read: Callable[[], DataFrame]) -> DataFrame | None:
 
 
 def change_stream(spark: SparkSession, table: str, landing: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Change events of a table from its dated JSON landing folder; lines that do not fit the schema are dropped."""
-    reader = spark.readStream.schema(change_schema(table)).option("mode", "DROPMALFORMED")
+    """Change events of a table from its dated JSON landing folder; lines that do not fit the schema are in ``BROKEN_LINE``."""
+    schema = T.StructType([*change_schema(table).fields, T.StructField(BROKEN_LINE, T.StringType())])
+    reader = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", BROKEN_LINE))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(f"{landing}/{LANDED_JSON}")

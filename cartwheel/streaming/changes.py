@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable
 
@@ -11,32 +12,44 @@ from pyspark.sql import functions as F
 from cartwheel.operators.changes import flatten, latest_per_key, split_keyless
 from cartwheel.sinks import files
 from cartwheel.sinks.tables import upsert
-from cartwheel.sources.files import change_stream, missing_ok
+from cartwheel.sources.files import BROKEN_LINE, change_stream, missing_ok
 
 log = logging.getLogger(__name__)
 
 
+def offsets_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives to a query when its offsets begin."""
+    return json.loads(spark.read.text(f"{checkpoint}/offsets/metadata").first()[0])["id"]
+
+
 def merge_batches(table: str, silver: str, checkpoint: str, pk: str, buckets: int, guard: bool,
                   rejects: str | None, applied: dict[int, int]) -> Callable[[DataFrame, int], None]:
-    """foreachBatch function: one change per key is merged into the table, rows without a key are set aside.
+    """foreachBatch function: one change per key is merged into the table; rows without a key and lines that could not be
+    read are set aside below ``rejects`` (default: in the checkpoint folder).
 
     ``applied`` receives the number of changes per batch. Replaying a batch gives the same table.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read for the changes and for the rejects
         if batch.isEmpty():
+            batch.unpersist()
             return
-        keyed, keyless = split_keyless(flatten(batch, pk), pk)
-        if rejects:
-            keyless.withColumn("reject_reason", F.lit(f"missing {pk}")).write.mode("overwrite").parquet(
-                f"{rejects}/batch={batch_id}")
-        latest = latest_per_key(keyed, pk).drop("lsn").persist()
+        broken = F.col(BROKEN_LINE).isNotNull()
+        keyed, keyless = split_keyless(flatten(batch.filter(~broken), pk), pk)
+        lines = batch.filter(broken).select(BROKEN_LINE, F.lit("malformed").alias("reject_reason"))
+        set_aside = keyless.withColumn("reject_reason", F.lit(f"missing {pk}")).unionByName(lines, allowMissingColumns=True)
+        set_aside.write.mode("overwrite").parquet(f"{rejects or checkpoint + '/rejects'}/batch={batch_id}")
+        latest = latest_per_key(keyed, pk).persist()
         try:
-            upsert(latest, silver, pk, buckets, guard, stage=f"{checkpoint}/stage/{batch_id}")
+            # batch numbers start again when the offsets are reset, so the stage bears the identity of the offsets too
+            stage = f"{checkpoint}/stage/{offsets_identity(batch.sparkSession, checkpoint)}-{batch_id}"
+            upsert(latest, silver, pk, buckets, guard, stage=stage)
             applied[batch_id] = latest.count()
         finally:
             latest.unpersist()
-        # the stage of the batch before cannot be replayed any more
-        files.delete(batch.sparkSession, f"{checkpoint}/stage/{batch_id - 1}")
+            batch.unpersist()
+        # published: a repetition of the batch merges again, which changes nothing
+        files.delete(batch.sparkSession, stage)
         log.info("%s: batch %s merged, %s changes", table, batch_id, applied[batch_id])
 
     return merge

@@ -108,7 +108,29 @@ def test_incremental_job(spark, tmp_path):
     assert state(silver) == {1: ("u", 3, "tie wins", False), 2: ("c", 4, "a", True), 3: ("c", 1, "a", False)}
     assert float(silver.first().total_amount) == 12.35              # doubles become cents, half up
     rejected = spark.read.parquet(where["rejects"])
-    assert [r.reject_reason for r in rejected.collect()] == ["missing id"]
+    assert sorted(r.reject_reason for r in rejected.collect()) == ["malformed", "missing id"]
+
+
+def test_offsets_that_begin_again(spark, tmp_path):
+    """Batch numbers repeat after a reset; the changes of the new batches must still be merged."""
+    where = dict(landing=str(tmp_path / "landing"), silver=str(tmp_path / "silver"), checkpoint=str(tmp_path / "cp"), buckets=4)
+    land(tmp_path, "a.json", [event("c", 1, 1, "a"), event("c", 1, 2, "a")])
+    run_change_feed(spark, "orders", **where)
+    (tmp_path / "cp" / "offsets").rename(tmp_path / "old-offsets")
+    land(tmp_path, "b.json", [event("u", 5, 1, "b"), event("c", 5, 3, "b")])
+    run_change_feed(spark, "orders", **where)
+    assert state(read_keyed(spark, where["silver"])) == {1: ("u", 5, "b", False), 2: ("c", 1, "a", False), 3: ("c", 5, "b", False)}
+
+
+def test_the_log_position_decides_ties_across_batches(spark, tmp_path):
+    where = dict(landing=str(tmp_path / "landing"), silver=str(tmp_path / "silver"), checkpoint=str(tmp_path / "cp"), buckets=4)
+    land(tmp_path, "a.json", [event("u", 7, 1, "later in the log", lsn=9)])
+    run_change_feed(spark, "orders", **where)
+    land(tmp_path, "b.json", [event("u", 7, 1, "earlier in the log", lsn=8), event("c", 1, 3_000_000_000, "id too large")])
+    run_change_feed(spark, "orders", **where)
+    assert state(read_keyed(spark, where["silver"])) == {1: ("u", 7, "later in the log", False)}
+    rejected = spark.read.parquet(str(tmp_path / "cp" / "rejects"))
+    assert [r.reject_reason for r in rejected.collect()] == ["malformed"]
 
 
 def test_nothing_landed_is_no_error(spark, tmp_path):

@@ -38,7 +38,7 @@ def test_file_month(spark, name, parts):
     assert (tuple(got) if got else None) == parts
 
 
-@pytest.mark.parametrize("x, want", [(1.005, 1.01), (2.675, 2.68), (0.125, 0.13), (33.333, 33.33), (None, None)])
+@pytest.mark.parametrize("x, want", [(1.005, 1.01), (2.675, 2.68), (0.125, 0.13), (33.333, 33.33), (-0.125, -0.13), (-1.005, -1.01), (0.0, 0.0), (None, None)])
 def test_half_up(spark, x, want):
     assert one(spark, fn.half_up(F.lit(x).cast("double"))) == want
 

@@ -170,3 +170,11 @@ def test_quadrants_have_all_corners(spark):
                               "users_added_to_cart INT, avg_view_duration_sec DOUBLE, avg_scroll_depth_pct DOUBLE")
     got = {r.product_id: r.quadrant for r in reports.product_quadrants(e).collect()}
     assert got == {"0": "ignore", "1": "hidden gem", "2": "leaking traffic", "3": "star", "4": "star"}
+
+
+def test_unknown_revenue_ranks_last(spark):
+    from cartwheel.operators.ranking import with_ranks
+
+    df = spark.createDataFrame([("w", 1, 5), ("w", 2, None), ("w", 3, 7), ("w", 4, None)], "week STRING, id INT, v INT")
+    ranked = with_ranks(df, ["week"], {"v": "rank"}, total="total").select("id", "rank", "total")
+    assert rows(ranked) == [(1, 2, 4), (2, 3, 4), (3, 1, 4), (4, 3, 4)]
