@@ -22,7 +22,7 @@ from cartwheel.llm.textops import WORD
 WEIGHTS = (5, 2, 1)
 TOTAL_PERCENT = 150
 MAX_EPOCHS = 2
-SLICE_DOCS = 20_000
+SLICE_DOCS = 2_000
 SEED = "mix-1"
 KEY_BITS = 60
 WIDE = "decimal(20,0)"
