@@ -263,7 +263,7 @@ def _scores(row: dict, model: Model) -> pa.RecordBatch:
     if model.tokens:
         counts = np.append(seen.word_counts, row["train_docs"])[b.context]
         pair = seen.pair_counts[b.pair]
-        with np.errstate(divide="ignore"):
+        with np.errstate(divide="ignore", invalid="ignore"):
             known = np.log10(seen.kept[b.pair]) - np.log10(counts + (weight[b.context] < 0))
             backed = np.log10(np.abs(weight[b.context])) + np.log10(seen.alone[b.word])
         p = np.where(pair > 0, known, backed)
