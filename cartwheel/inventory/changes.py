@@ -41,11 +41,11 @@ def _state_sql(guard: bool) -> str:
     """Table after part 0 as the first load and part 1 as one merge."""
     return with_views("d_orders", feed=FEED_SQL, flat=FLAT_SQL,
                       a="select * from (select *, row_number() over (partition by id order by ts_ms desc, lsn desc) as n"
-                        " from flat where id is not null and part = 0) where n = 1 and op <> 'd'",
+                        f" from flat where id is not null and part = 0) where n = 1 and {'true' if guard else "op <> 'd'"}",
                       b="select * from (select *, row_number() over (partition by id order by ts_ms desc, lsn desc) as n"
                         " from flat where id is not null and part = 1) where n = 1",
                       body=f"""
-        select id,
+        select * from (select id,
           case when upd then b.op else a.op end as op,
           case when upd or del then b.ts_ms else a.ts_ms end as ts_ms,
           case when upd then b.status else a.status end as status,
@@ -56,7 +56,7 @@ def _state_sql(guard: bool) -> str:
                 coalesce(b.op <> 'd' and (a.id is null or {'b.ts_ms >= a.ts_ms' if guard else 'true'}), false) as upd,
                 coalesce(b.op = 'd' and a.id is not null and {'b.ts_ms >= a.ts_ms' if guard else 'true'}, false) as del
               from a full join b on a.id = b.id)
-        where a.id is not null or upd""")
+        where a.id is not null or upd) where op <> 'd'""")
 
 
 def feed_columns(feed):
@@ -102,7 +102,7 @@ def _parts(spark, folder):
 def _merged(guard):
     def plan(spark, folder):
         first, second = _parts(spark, folder)
-        return _state(ops.merge_changes(ops.initial_rows(first), second, "id", guard))
+        return _state(ops.without_tombstones(ops.merge_changes(ops.initial_rows(first, guard), second, "id", guard)))
     return plan
 
 

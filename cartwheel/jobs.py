@@ -28,6 +28,8 @@ from cartwheel.streaming.changes import run_change_feed
 from cartwheel.streaming.clicks import broker_stream, land_clicks, refine_clicks
 
 PRIMARY_KEYS = {"orders": "id", "products": "product_id", "users": "id"}
+# the column by which incremental runs read a keyed table
+SORT_COLUMNS = {"orders": "created_at"}
 MART_DATES = {"daily_sales": "order_date", "product_performance": "week_start", "daily_funnel": "event_date",
               "product_engagement": "event_date", "customer_snapshot": "snapshot_date"}
 
@@ -52,7 +54,7 @@ def merge_changes(lake: Lake, table: str, pk: str | None = None, buckets: int =
     return run_change_feed(
         lake.spark, table, lake.path("bronze", "cdc", table), lake.path("silver", table),
         lake.path("checkpoints", f"cdc_{table}"), pk or PRIMARY_KEYS.get(table, "id"), buckets,
-        rejects=lake.path("silver", "rejects", table))
+        rejects=lake.path("silver", "rejects", table), sort_by=SORT_COLUMNS.get(table))
 
 
 def load_rates(lake: Lake) -> bool:

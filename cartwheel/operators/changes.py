@@ -44,9 +44,11 @@ def merge_changes(target: DataFrame, changes: DataFrame, pk: str, guard: bool =
     """Target after applying one change per key.
 
     delete on a known key: flag it and take the event time; other change on a known key: replace
-    all columns (a deleted row comes back); change on an unknown key: insert; delete on an unknown
-    key: nothing. ``guard`` ignores changes older than the row they would replace; without it
-    whatever arrives last wins.
+    all columns (a deleted row comes back); change on an unknown key: insert. ``guard`` ignores
+    changes older than the row they would replace, and keeps a delete of an unknown key as a
+    tombstone (op 'd'), so that an older change that arrives after it is ignored too: which rows are
+    live, and what they hold, does not depend on how the feed is cut into batches. Without it
+    whatever arrives last wins and such a delete leaves nothing.
     """
     old = target.select(F.struct("*").alias("old"), F.col(pk).alias("_old_key"))
     new = changes.select(F.struct("*").alias("new"), F.col(pk).alias("_new_key"))
@@ -62,6 +64,8 @@ def merge_changes(target: DataFrame, changes: DataFrame, pk: str, guard: bool =
     op = F.col("new.op")
     replaced = F.coalesce((op != "d") & (~known | current), F.lit(False))
     deleted = F.coalesce((op == "d") & known & current, F.lit(False))
+    if guard:
+        replaced = replaced | (~known & op.eqNullSafe("d"))
 
     def merged(column: str) -> Column:
         kept = F.col(f"old.{column}")
@@ -74,9 +78,14 @@ def merge_changes(target: DataFrame, changes: DataFrame, pk: str, guard: bool =
     return both.filter(known | replaced).select(*[merged(c) for c in target.columns])
 
 
-def initial_rows(changes: DataFrame) -> DataFrame:
-    """Rows of a table that does not exist yet: every change but deletes."""
-    return changes.filter(F.col("op") != "d")
+def initial_rows(changes: DataFrame, guard: bool = True) -> DataFrame:
+    """Rows of a table that does not exist yet: every change; deletes are tombstones, or left out without ``guard``."""
+    return changes.filter(F.col("op").isNotNull() if guard else F.col("op") != "d")
+
+
+def without_tombstones(rows: DataFrame) -> DataFrame:
+    """Rows that once held something; a row deleted after it was known keeps the op of its last image."""
+    return rows.filter(~F.col("op").eqNullSafe("d"))
 
 
 def live(rows: DataFrame) -> DataFrame:

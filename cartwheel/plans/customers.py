@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,18 +12,31 @@ from cartwheel.functions.scalars import ratio_or_zero, rfm_segment
 from cartwheel.operators.rates import with_usd
 
 VIP_REVENUE = 500
+# above every 64-bit order id
+ID_RANGE = Decimal(10) ** 19
+YEAR_ONE = -62_135_596_800_000_000
 
 
 def order_stats(orders: DataFrame, rates: DataFrame, rates_bound: DataFrame | None = None) -> DataFrame:
     """Completed orders per user. ``order_id`` is unique, so counting rows counts orders; the attributes
-    of the newest order win, ties going to the higher order id."""
+    of the newest order win, ties going to the higher order id.
+
+    Time and id are ranked as one number, so the orders are only hashed into a row per user, currency
+    and payment method; the few rows left are what the greatest rank is picked from.
+    """
     done = orders.filter(F.col("status") == "COMPLETED")
-    newest = F.max_by(F.struct("currency", "payment_method"), F.struct("created_at", "order_id"))
+    at = F.coalesce(F.unix_micros("created_at"), F.lit(YEAR_ONE)).cast("decimal(18,0)")
+    rank = at * F.lit(ID_RANGE) + F.col("order_id").cast("decimal(20,0)")
+    attributes = ["currency", "payment_method"]
     return (
         with_usd(done, rates, "total_amount", "usd", rates_bound)
+        .groupBy("user_id", *attributes)
+        .agg(F.count("order_id").alias("orders"), F.min("order_date").alias("first"), F.max("order_date").alias("last"),
+             F.sum("usd").alias("usd"), F.max(rank).alias("rank"))
         .groupBy("user_id")
-        .agg(F.count("order_id").alias("total_orders"), F.min("order_date").alias("first_order_date"),
-             F.max("order_date").alias("last_order_date"), F.sum("usd").alias("revenue"), newest.alias("newest"))
+        .agg(F.sum("orders").alias("total_orders"), F.min("first").alias("first_order_date"),
+             F.max("last").alias("last_order_date"), F.sum("usd").alias("revenue"),
+             F.max_by(F.struct(*attributes), "rank").alias("newest"))
     )
 
 

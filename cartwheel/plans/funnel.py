@@ -14,7 +14,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import flag, half_up, pct, ratio
-from cartwheel.operators.joins import DIMENSION_ROWS, lookup_join
 
 FUNNEL_KEYS = ["event_date", "device", "referrer_category"]
 
@@ -26,13 +25,11 @@ def _seen(condition: Column) -> Column:
 def completed_buyers(events: DataFrame, orders: DataFrame) -> DataFrame:
     """(date, user) with a confirmation whose order really was completed; each pair once, so joins do not multiply rows.
 
-    The orders are first cut to those confirmed in these events. Within an incremental window their
-    ids are few enough to broadcast, and the orders table is scanned without being shuffled.
+    Of the orders only the ids of the completed ones are read. Nothing is counted while planning:
+    adaptive execution sees the sizes after the shuffle and broadcasts the smaller side if it may.
     """
     confirmations = events.filter((F.col("step") == "confirmation") & F.col("real_order_id").isNotNull())
-    confirmed = confirmations.select("real_order_id").distinct()
     done = orders.filter(F.col("status") == "COMPLETED").select(F.col("order_id").alias("real_order_id"))
-    done = lookup_join(done, confirmed, ["real_order_id"], "left_semi", max_rows=DIMENSION_ROWS)
     return confirmations.join(done, "real_order_id", "left_semi").select("event_date", "user_id").distinct()
 
 

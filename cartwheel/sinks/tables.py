@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cartwheel.operators.changes import initial_rows, merge_changes
+from cartwheel.operators.changes import initial_rows, merge_changes, without_tombstones
 from cartwheel.session import materialise, scratch_dir
 from cartwheel.sinks import files
 
@@ -94,30 +94,38 @@ def bucket_of(pk: str, buckets: int) -> Column:
 
 
 def read_keyed(spark: SparkSession, path: str) -> DataFrame:
-    """The rows without the columns that only the merge needs."""
+    """The table without the columns and the tombstones that only the merge needs."""
     stored = spark.read.parquet(path)
+    if "op" in stored.columns:
+        stored = without_tombstones(stored)
     return stored.drop(*[c for c in stored.columns if c.startswith("bucket_") or c == "lsn"])
 
 
-def _publish(stage: DataFrame, path: str, bucket: str) -> None:
+def _publish(stage: DataFrame, path: str, bucket: str, sort_by: str | None) -> None:
     """Replace the buckets of the stage. Its files hold one bucket each already, so nothing is shuffled again."""
-    (stage.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path))
+    (_sorted(stage, bucket, sort_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(bucket).parquet(path))
+
+
+def _sorted(rows: DataFrame, bucket: str, sort_by: str | None) -> DataFrame:
+    return rows.sortWithinPartitions(bucket, sort_by) if sort_by else rows
 
 
 def upsert(changes: DataFrame, path: str, pk: str, buckets: int = 64, guard: bool = True,
-           stage: str | None = None) -> None:
+           stage: str | None = None, sort_by: str | None = None) -> None:
     """Merge one change per key into the table at ``path``, which is partitioned by a hash bucket of the key.
 
     Only the buckets that have changes are read and rewritten. The merged buckets are written to
     ``stage`` before they replace the old ones. If the job dies while replacing them, running it
     again with the same ``stage`` finds the finished stage and only repeats the replacement.
     One writer per table; readers may see some buckets replaced before others.
+
+    Rows are sorted by ``sort_by`` within the files, so that a filter on it skips row groups.
     """
     spark = changes.sparkSession
     bucket = bucket_column(buckets)
     if stage and files.exists(spark, f"{stage}/_SUCCESS"):
         if files.subfolders(spark, stage):
-            _publish(spark.read.parquet(stage), path, bucket)
+            _publish(spark.read.parquet(stage), path, bucket, sort_by)
         return
     stage = stage or scratch_dir(spark, "merged")
     changes = changes.withColumn(bucket, bucket_of(pk, buckets))
@@ -128,12 +136,12 @@ def upsert(changes: DataFrame, path: str, pk: str, buckets: int = 64, guard: boo
         touched = [r[0] for r in changes.select(bucket).distinct().collect()]  # at most ``buckets`` numbers
         merged = merge_changes(stored.filter(F.col(bucket).isin(touched)), changes, pk, guard)
     else:
-        merged = initial_rows(changes)
-    (merged.hint("rebalance", bucket).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        merged = initial_rows(changes, guard)
+    (_sorted(merged.hint("rebalance", bucket), bucket, sort_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
      .partitionBy(bucket).parquet(stage))
     if not files.subfolders(spark, stage):
-        return  # deletes of unknown keys only: nothing to store
-    _publish(spark.read.schema(merged.schema).parquet(stage), path, bucket)
+        return  # nothing to store
+    _publish(spark.read.schema(merged.schema).parquet(stage), path, bucket, sort_by)
 
 
 # --- tables that are always rebuilt whole ---------------------------------------------------

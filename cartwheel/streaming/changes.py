@@ -23,7 +23,7 @@ def offsets_identity(spark: SparkSession, checkpoint: str) -> str:
 
 
 def merge_batches(table: str, silver: str, checkpoint: str, pk: str, buckets: int, guard: bool,
-                  rejects: str | None, applied: dict[int, int]) -> Callable[[DataFrame, int], None]:
+                  rejects: str | None, applied: dict[int, int], sort_by: str | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: one change per key is merged into the table; rows without a key and lines that could not be
     read are set aside below ``rejects`` (default: in the checkpoint folder).
 
@@ -43,7 +43,7 @@ def merge_batches(table: str, silver: str, checkpoint: str, pk: str, buckets: in
         try:
             # batch numbers start again when the offsets are reset, so the stage bears the identity of the offsets too
             stage = f"{checkpoint}/stage/{offsets_identity(batch.sparkSession, checkpoint)}-{batch_id}"
-            upsert(latest, silver, pk, buckets, guard, stage=stage)
+            upsert(latest, silver, pk, buckets, guard, stage=stage, sort_by=sort_by)
             applied[batch_id] = latest.count()
         finally:
             latest.unpersist()
@@ -57,7 +57,7 @@ def merge_batches(table: str, silver: str, checkpoint: str, pk: str, buckets: in
 
 def run_change_feed(spark: SparkSession, table: str, landing: str, silver: str, checkpoint: str, pk: str = "id",
                     buckets: int = 64, guard: bool = True, rejects: str | None = None,
-                    files_per_trigger: int | None = None) -> dict[int, int]:
+                    files_per_trigger: int | None = None, sort_by: str | None = None) -> dict[int, int]:
     """Merge all feed files not seen yet, then stop. Returns changes applied per batch; nothing to read is no error."""
     reader = missing_ok(lambda: change_stream(spark, table, landing, files_per_trigger))
     if reader is None:
@@ -66,7 +66,7 @@ def run_change_feed(spark: SparkSession, table: str, landing: str, silver: str,
     applied: dict[int, int] = {}
     query = (
         reader.writeStream
-        .foreachBatch(merge_batches(table, silver, checkpoint, pk, buckets, guard, rejects, applied))
+        .foreachBatch(merge_batches(table, silver, checkpoint, pk, buckets, guard, rejects, applied, sort_by))
         .option("checkpointLocation", f"{checkpoint}/offsets")
         .trigger(availableNow=True)
         .start()

@@ -29,8 +29,12 @@ def test_merge_rules(spark):
     merged = ops.merge_changes(target, batch, "id")
     assert state(merged) == {
         1: ("u", 20, "new", False), 2: ("c", 20, "old", True), 3: ("c", 10, "old", False), 4: ("c", 10, "old", False),
-        5: ("c", 20, "born", False)}
-    assert state(ops.merge_changes(target, batch, "id", guard=False))[3] == ("u", 5, "late", False)
+        5: ("c", 20, "born", False), 6: ("d", 20, None, True)}
+    unguarded = state(ops.merge_changes(target, batch, "id", guard=False))
+    assert unguarded[3] == ("u", 5, "late", False) and 6 not in unguarded
+    assert sorted(state(ops.without_tombstones(merged))) == [1, 2, 3, 4, 5]
+    late = ops.merge_changes(merged, table(spark, ("c", 15, 6, "before its delete")), "id")
+    assert state(late)[6] == ("d", 20, None, True)
     revived = ops.merge_changes(merged, table(spark, ("u", 30, 2, "back")), "id")
     assert state(revived)[2] == ("u", 30, "back", False)
     assert rows(ops.live(merged).select("id")) == [(1,), (3,), (4,), (5,)]
@@ -153,6 +157,32 @@ def test_deletes_of_unknown_keys_only(spark, tmp_path):
     path, stage = str(tmp_path / "t"), str(tmp_path / "s")
     for _ in range(2):
         upsert(table(spark, ("d", 1, 1, None)), path, "id", buckets=4, stage=stage)
-    assert not files.exists(spark, path)
+    assert state(read_keyed(spark, path)) == {}
+    upsert(table(spark, ("c", 0, 1, "before its delete")), path, "id", buckets=4)
+    assert state(read_keyed(spark, path)) == {}
     upsert(table(spark, ("c", 2, 1, "a")), path, "id", buckets=4)
     assert state(read_keyed(spark, path)) == {1: ("c", 2, "a", False)}
+    upsert(table(spark, ("d", 1, 9, None)), str(tmp_path / "u"), "id", buckets=4, guard=False)
+    assert not files.exists(spark, str(tmp_path / "u"))
+
+
+def test_live_rows_do_not_depend_on_the_batches(spark, tmp_path):
+    rng = random.Random(8)
+    events = [(rng.choice("cuudd"), ts, rng.randrange(12), f"s{ts}") for ts in range(60)]
+    rng.shuffle(events)                                             # they arrive in any order
+    states = []
+    for size in (60, 25, 9):
+        path = str(tmp_path / str(size))
+        for at in range(0, len(events), size):
+            upsert(ops.latest_per_key(table(spark, *events[at:at + size]), "id", ("ts_ms",)), path, "id", buckets=2)
+        states.append(state(ops.live(read_keyed(spark, path))))
+    assert states[0] and states[0] == states[1] == states[2]
+
+
+def test_buckets_are_sorted_by_the_chosen_column(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(table(spark, *[("c", 1, i, f"{i * 37 % 100:02d}") for i in range(100)]), path, "id", buckets=2, sort_by="status")
+    upsert(table(spark, *[("u", 2, i, f"{i * 53 % 100:02d}") for i in range(0, 100, 3)]), path, "id", buckets=2, sort_by="status")
+    for file in files_of(spark, path):
+        stored = [r.status for r in spark.read.parquet(file.path).collect()]
+        assert stored == sorted(stored) and len(stored) > 10

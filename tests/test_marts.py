@@ -178,3 +178,17 @@ def test_unknown_revenue_ranks_last(spark):
     df = spark.createDataFrame([("w", 1, 5), ("w", 2, None), ("w", 3, 7), ("w", 4, None)], "week STRING, id INT, v INT")
     ranked = with_ranks(df, ["week"], {"v": "rank"}, total="total").select("id", "rank", "total")
     assert rows(ranked) == [(1, 2, 4), (2, 3, 4), (3, 1, 4), (4, 3, 4)]
+
+
+def test_orders_are_hashed_before_the_newest_is_picked(spark):
+    """No sort over the raw orders: what is sorted is a row per user, currency and payment method."""
+    o = spark.range(100).select(
+        F.col("id").alias("order_id"), (F.col("id") % 5).alias("user_id"), F.lit("USD").alias("currency"),
+        F.when(F.col("id") >= 95, "cash").otherwise("card").alias("payment_method"), F.lit("COMPLETED").alias("status"),
+        F.lit(2.0).alias("total_amount"), F.lit("2024-01-05 10:00:00").cast("timestamp").alias("created_at"),
+        F.lit("2024-01-05").cast("date").alias("order_date"))
+    stats = customers.order_stats(o, rates(spark, *RATES))
+    assert {(r.user_id, r.total_orders, r.revenue, r.newest.payment_method) for r in stats.collect()} == {
+        (u, 20, 40.0, "cash") for u in range(5)}
+    plan = plan_of(stats)
+    assert plan.count("HashAggregate(keys=[user_id") >= 2
