@@ -11,19 +11,20 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.operators.catalogue import build_catalogue
 from cartwheel.operators.quality import SUITES, check_table, run_suite
-from cartwheel.operators.rates import rate_rows
+from cartwheel.operators.rates import keep_currencies, rate_rows
 from cartwheel.plans import customers, funnel, sales, staging
 from cartwheel.plans.windows import recompute_since
 from cartwheel.session import build_session, pin
 from cartwheel.sinks import files, tables, upkeep
-from cartwheel.sources.files import behaviour_csv, fx_documents, missing_ok
+from cartwheel.sources.files import audited, behaviour_csv, fx_documents, land_json, missing_ok, with_landing_parts
 from cartwheel.streaming.changes import run_change_feed
 from cartwheel.streaming.clicks import broker_stream, land_clicks, refine_clicks
 
@@ -57,6 +58,13 @@ def merge_changes(lake: Lake, table: str, pk: str | None = None, buckets: int =
         rejects=lake.path("silver", "rejects", table), sort_by=SORT_COLUMNS.get(table))
 
 
+def land_rates(lake: Lake, documents: DataFrame, at: datetime) -> None:
+    """FX documents (base_code, rates as a map) → the landing folder of the day, stamped with their ingestion time."""
+    when = F.lit(at)
+    stamped = with_landing_parts(audited(keep_currencies(documents), when), when)
+    land_json(stamped, lake.path("bronze", "exchange_rates"), per_file=1)
+
+
 def load_rates(lake: Lake) -> bool:
     """All landed FX documents → silver rates; days that have documents are replaced. False if there is nothing."""
     documents = missing_ok(lambda: fx_documents(lake.spark, lake.path("bronze", "exchange_rates")))

@@ -87,9 +87,9 @@ def changes_only(messages: DataFrame) -> DataFrame:
     return messages.filter(F.col("value").isNotNull())
 
 
-def land_json(df: DataFrame, path: str) -> None:
-    """Append rows with year / month / day columns as JSON lines below dated folders."""
-    df.write.mode("append").partitionBy("year", "month", "day").json(path)
+def land_json(df: DataFrame, path: str, per_file: int = 0) -> None:
+    """Append rows with year / month / day columns as JSON lines below dated folders, at most ``per_file`` in a file if given."""
+    df.write.mode("append").option("maxRecordsPerFile", per_file).partitionBy("year", "month", "day").json(path)
 
 
 class Catalog:

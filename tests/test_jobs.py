@@ -1,7 +1,7 @@
 """The whole way on small data: landed files → silver → marts, run again and again."""
 
 import json
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pytest
 from conftest import rows
@@ -109,6 +109,18 @@ def test_catalogue_job(lake, tmp_path):
     assert rows(lake.silver("catalogue")) == [("p1", "c1", "toys", "toys", "acme", 2.0)]
 
 
+def test_landed_rates_can_be_loaded(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path))
+    for day, rate in ((3, 0.5), (4, 0.25)):
+        documents = spark.createDataFrame([("USD", {"EUR": rate, "XAU": 9.0}), ("GBP", {"EUR": 2.0, "VND": None})],
+                                          "base_code STRING, rates MAP<STRING, DOUBLE>").coalesce(1)
+        jobs.land_rates(lake, documents, datetime(2024, 1, day, 8, tzinfo=timezone.utc))
+    assert jobs.load_rates(lake)
+    got = {(r.exchange_date.day, r.base_currency, r.target_currency): r.exchange_rate
+           for r in lake.silver("exchange_rates").filter("exchange_rate is not null").collect()}
+    assert got == {(3, "USD", "EUR"): 0.5, (4, "USD", "EUR"): 0.25, (3, "GBP", "EUR"): 2.0, (4, "GBP", "EUR"): 2.0}
+
+
 def test_nothing_to_load(spark, tmp_path):
     empty = jobs.Lake(spark, str(tmp_path))
     assert jobs.load_rates(empty) is False and jobs.refine(empty) is False and jobs.merge_changes(empty, "orders") == {}
