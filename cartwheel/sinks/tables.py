@@ -36,16 +36,17 @@ def refresh_window(df: DataFrame, path: str, date_col: str, since: date | None =
     """Make the table equal to ``df`` from ``since`` on; earlier dates are not touched.
 
     The new rows are written aside first, so ``df`` may read the table it replaces. Dates of the
-    window that no longer have rows are removed.
+    window that no longer have rows are removed once the new ones are in place.
     """
     spark = df.sparkSession
     fresh = materialise(df, "refresh")
     if since is not None and files.has_data(spark, path):
         old = spark.read.parquet(path).filter(F.col(date_col) >= F.lit(since)).select(date_col).distinct()
         # dates only: the length of the window bounds this list
-        for row in old.join(fresh.select(date_col).distinct(), date_col, "left_anti").collect():
-            files.delete(spark, f"{path}/{date_col}={row[0].isoformat()}")
+        vanished = old.join(fresh.select(date_col).distinct(), date_col, "left_anti").collect()
         overwrite_partitions(fresh, path, [date_col])
+        for row in vanished:
+            files.delete(spark, f"{path}/{date_col}={row[0].isoformat()}")
     else:
         fresh.hint("rebalance", date_col).write.mode("overwrite").option(
             "partitionOverwriteMode", "static").partitionBy(date_col).parquet(path)
