@@ -2,8 +2,8 @@
 
 Confirming: blocks of documents send their distinct window hashes to the key ranges (``exchange``) and learn which
 recur; those they send again under a second, independent hash, and learn the smallest document id of each. Locating:
-the recurring phrases of a block are compiled into Aho-Corasick automata, in shards of at most ``SHARD_PHRASES``, and
-all documents of the block are streamed through them. Words are numbers of as many digits, so matches fall on word borders. A block gets only the phrases that occur in it, so each document meets the automata it needs and no others.
+the recurring phrases of a block are joined into passages where they always follow each other, these are compiled into
+Aho-Corasick automata, in shards of about ``SHARD_WORDS`` words, and all documents of the block are streamed through them. Words are numbers of as many digits, so matches fall on word borders. A block gets only the phrases that occur in it, so each document meets the automata it needs and no others.
 
 Defined results: a null or blank text has no words; documents shorter than a window keep everything; rows that repeat
 an id do not remove each other's words; a null id counts as greater than any other; an empty table gives no rows; other
@@ -13,7 +13,7 @@ columns pass through ``without_phrases`` and are not read by the query.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -28,11 +28,12 @@ from cartwheel.llm.tables import bucketed
 from cartwheel.llm.textops import RollingHash, chunks, text_buffer, window_keys, words
 
 WINDOW = 13
-SHARD_PHRASES = 20_000
+SHARD_WORDS = 260_000
 _LETTERS = 64
 RECURS, CONFIRMED = 1, 2
 BLOCK = "block long, carried binary, doc_ids binary, lengths binary, vocabulary binary, word_lengths binary, tokens binary"
 _CONFIRM = np.dtype([("key", "<u8"), ("doc", "<i8")])
+_HIT = np.dtype([("end", "<i8"), ("phrase", "<i8")])
 _NO_ID = np.iinfo(np.int64).max
 
 
@@ -146,10 +147,11 @@ class _Recurring:
         keys, first, key = b.distinct()
         recurs = exchange.answer_of(row["recurs"], RECURS, np.uint8).astype(bool)
         self.low, self.high = (x[recurs] for x in _extremes(b.ids[b.doc[b.starts]], key, len(keys)))
-        self.keys, self.at = keys[recurs], b.starts[first[recurs]]
+        self.key, self.n_keys, self.number = key, len(keys), np.flatnonzero(recurs)  # key number of each window, of each recurring key
+        self.keys = keys[recurs]
         second = b.keys(1)[first[recurs]]
         order = np.argsort(second, kind="stable")
-        self.second, self.keys, self.at, self.low, self.high = (x[order] for x in (second, self.keys, self.at, self.low, self.high))
+        self.second, self.keys, self.number, self.low, self.high = (x[order] for x in (second, self.keys, self.number, self.low, self.high))
 
 
 def _confirm_requests(row: dict, window: int, edges: np.ndarray) -> Iterator[tuple]:
@@ -169,46 +171,92 @@ def _characters(codes: np.ndarray, digits: int) -> str:
     return out.tobytes().decode("utf-32-le")
 
 
-def locate(tokens: np.ndarray, phrases: np.ndarray, shard: int = SHARD_PHRASES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(starts, phrase numbers) of all occurrences of the rows of ``phrases`` among ``tokens``, automaton by automaton."""
-    window = phrases.shape[1]
-    for a in range(0, len(phrases), shard):
-        part = phrases[a: a + shard]
-        known, code = np.unique(part, return_inverse=True)
+def locate(tokens: np.ndarray, phrases: Sequence[np.ndarray], shard: int = SHARD_WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(starts, phrase numbers) of all occurrences of ``phrases`` among ``tokens``, automaton by automaton. Phrases that
+    overlap had better be neighbours, so that a shard has few words."""
+    lengths = np.array([len(p) for p in phrases], np.int64)
+    number = np.zeros(1 + max(int(p.max(initial=0)) for p in [tokens, *phrases]), np.uint32)  # of the words of a shard, from 1
+    shards = (np.cumsum(lengths) - lengths) // shard
+    cuts = np.flatnonzero(np.diff(shards, prepend=-1, append=-1))
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        size = lengths[a:b]
+        ends = np.cumsum(size)
+        part = np.concatenate(phrases[a:b])
+        known = np.unique(part)
+        number[known] = np.arange(1, len(known) + 1)
         digits = 1
         while _LETTERS**digits <= len(known):
             digits += 1
-        width = window * digits
-        text = _characters(code.reshape(-1) + 1, digits)
+        text = _characters(number[part], digits)
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for i in range(len(part)):
-            automaton.add_word(text[i * width: (i + 1) * width], i)
+        for i, (start, end) in enumerate(zip(((ends - size) * digits).tolist(), (ends * digits).tolist())):
+            automaton.add_word(text[start:end], i)
         automaton.make_automaton()
-        place = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-        stream = _characters(np.where(known[place] == tokens, place + 1, 0), digits)
-        hits = np.fromiter((x for hit in automaton.iter(stream) for x in hit), np.int64).reshape(-1, 2)
-        yield hits[:, 0] // digits - window + 1, hits[:, 1] + a
+        hits = np.fromiter(automaton.iter(_characters(number[tokens], digits)), _HIT)
+        number[known] = 0
+        phrase = hits["phrase"] + a
+        yield hits["end"] // digits - lengths[phrase] + 1, phrase
+
+
+def _ways(key: np.ndarray, beside: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` keys the key that stands beside it wherever it occurs, or -1."""
+    only = np.full(n, -1)
+    only[key] = beside
+    only[key[only[key] != beside]] = -1
+    return only
+
+
+def passages(starts: np.ndarray, key: np.ndarray, wanted: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first window, number of windows) of passages that hold every wanted key once.
+
+    A wanted window and the next one belong to one passage if neither ever occurs without the other in its place. So
+    an occurrence of any of its windows lies in an occurrence of the whole passage, and to find that is to find them all.
+    ``starts`` and ``key`` describe all windows of a block; a passage of more than ``longest`` windows is cut.
+    """
+    mine = wanted[key]
+    beside = mine[:-1] & mine[1:] & (np.diff(starts) == 1)
+    after, before = np.full(len(key), -1), np.full(len(key), -1)
+    after[:-1][beside], before[1:][beside] = key[1:][beside], key[:-1][beside]
+    after, before = _ways(key, after, len(wanted)), _ways(key, before, len(wanted))
+    joined = np.zeros(len(key), bool)  # to the window before
+    joined[1:] = beside & (after[key[:-1]] == key[1:]) & (before[key[1:]] == key[:-1])
+    heads = np.flatnonzero(mine & ~joined)
+    begins = np.flatnonzero(~joined)
+    lengths = np.diff(np.append(begins, len(key)))[np.searchsorted(begins, heads)]
+    _, once = np.unique(key[heads], return_index=True)
+    once.sort()
+    heads, lengths = heads[once], lengths[once]
+    pieces = -(-lengths // longest)
+    piece = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return np.repeat(heads, pieces) + piece * longest, np.minimum(np.repeat(lengths, pieces) - piece * longest, longest)
 
 
 def _removed(row: dict, window: int, shard: int) -> tuple[Block, np.ndarray]:
     """(block, whether each word goes)."""
     found = _Recurring(row, window)
     b = found.block
-    first = exchange.answer_of(row["confirmed"], CONFIRMED, np.int64)
-    wanted = first < found.high  # a phrase that only its first document has here removes nothing
-    at, first = found.at[wanted], first[wanted]
-    cover = np.zeros(len(b.tokens) + 1, np.int32)
-    if len(at):
-        for starts, phrase in locate(b.tokens, b.tokens[at[:, None] + np.arange(window)], shard):
-            doc = b.doc[starts]
-            goes = (doc == b.doc[starts + window - 1]) & (first[phrase] < b.ids[doc])
-            np.add.at(cover, starts[goes], 1)
-            np.subtract.at(cover, starts[goes] + window, 1)
-    return b, np.cumsum(cover[:-1]) > 0
+    owner = exchange.answer_of(row["confirmed"], CONFIRMED, np.int64)
+    first, wanted = np.zeros(found.n_keys, np.int64), np.zeros(found.n_keys, bool)
+    first[found.number] = owner
+    wanted[found.number] = owner < found.high  # a phrase that only its first document has here removes nothing
+    begins = np.zeros(len(b.tokens) + window, np.int64)  # of windows that go, shifted by a window
+    if wanted.any():
+        head, windows = passages(b.starts, found.key, wanted, shard)
+        phrases = [b.tokens[i: i + n] for i, n in zip(b.starts[head].tolist(), (windows + window - 1).tolist())]
+        for starts, passage in locate(b.tokens, phrases, shard):
+            whole = b.doc[starts] == b.doc[starts + windows[passage] + window - 2]
+            starts, passage = starts[whole], passage[whole]
+            n = windows[passage]
+            place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(starts, n) + place
+            goes = first[found.key[np.repeat(head[passage], n) + place]] < b.ids[b.doc[at]]
+            begins[at[goes] + window] = 1
+    begun = np.cumsum(begins)
+    return b, begun[window:] > begun[:-window]
 
 
 def without_phrases(docs: DataFrame, columns: list[str], window: int = WINDOW, block_bytes: int = exchange.BLOCK_BYTES,
-                    shard: int = SHARD_PHRASES, with_text: bool = False) -> DataFrame:
+                    shard: int = SHARD_WORDS, with_text: bool = False) -> DataFrame:
     """The columns with n_words, n_removed, kept_sha256 and, if asked for, kept_text (kept words joined by a space)."""
     columns = [c for c in columns if c not in ("n_words", "n_removed", "kept_sha256", "kept_text")]
     table = blocks(docs, columns, block_bytes)

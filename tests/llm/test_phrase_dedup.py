@@ -67,6 +67,16 @@ def test_automata_find_every_occurrence():
     assert got == want
 
 
+def test_passages_that_branch_and_repeat(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("aab") for _ in range(rng.randint(0, 60))), None, "s", 0) for i in range(40)]
+    rows += [(50 + i, rows[i % 7][1] + " q " + "c " * i, None, "s", 0) for i in range(20)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for shard, block_bytes in ((9, 300), (1000, 1 << 20)):
+        got = phrase_dedup.without_phrases(docs, ["doc_id"], window=5, block_bytes=block_bytes, shard=shard).collect()
+        assert sorted((tuple(r) for r in got), key=repr) == brute([r[:2] for r in rows], 5)
+
+
 def test_characters_tell_codes_and_digits_apart():
     codes = np.arange(70_000)
     text = phrase_dedup._characters(codes, 3)
