@@ -20,11 +20,12 @@ def _change_feed(spark, folder):
 
 
 def _event_stream(spark, folder):
-    """The event files as a stream, drained into a table and read back."""
+    """Landed event files as a stream, drained into a table and read back."""
     events = domain.table(spark, folder, "events")
     out = scratch_dir(spark, "s3")
+    events.write.parquet(f"{out}/landed")
     query = (
-        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 100).parquet(f"{folder}/events*.parquet")
+        files.landed_click_stream(spark, f"{out}/landed", schema=events.schema)
         .writeStream.format("parquet").option("checkpointLocation", f"{out}/_offsets").trigger(availableNow=True)
         .start(f"{out}/rows")
     )
@@ -46,8 +47,7 @@ def land_documents(spark, folder) -> str:
 
 def _fx_documents(spark, folder):
     # the text writer names its files .txt
-    docs = spark.read.option("multiLine", True).option("mode", "DROPMALFORMED").json(
-        f"{land_documents(spark, folder)}/*/*/*/*.txt")
+    docs = files.fx_documents(spark, land_documents(spark, folder), "*/*/*/*.txt")
     return docs.select("_ingested_at", F.explode(rates_as_map(docs)).alias("currency", "rate"))
 
 

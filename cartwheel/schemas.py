@@ -4,29 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# --- fixed values: payload columns of the captured tables (money widened to 18 digits) ---
+# --- fixed values: payload columns of the captured tables (money widened to 18 digits, ids to 64 bits) ---
 PAYLOADS = {
     "products": "product_id STRING, category_id STRING, category_code STRING, category_fill STRING, "
                 "brand STRING, avg_price DECIMAL(18,2), created_at STRING",
-    "orders": "id INT, user_id INT, product_id STRING, quantity INT, unit_price DECIMAL(18,2), "
+    "orders": "id BIGINT, user_id BIGINT, product_id STRING, quantity INT, unit_price DECIMAL(18,2), "
               "total_amount DECIMAL(18,2), amount DECIMAL(18,2), currency STRING, payment_method STRING, "
               "status STRING, created_at STRING, updated_at STRING",
-    "users": "id INT, name STRING, email STRING, phone STRING, city STRING, country STRING, "
+    "users": "id BIGINT, name STRING, email STRING, phone STRING, city STRING, country STRING, "
              "created_at STRING, updated_at STRING",
-    "order_items": "order_item_id INT, order_id INT, product_id INT, quantity INT, unit_price DECIMAL(18,2)",
-    "categories": "category_id INT, name STRING, parent_id INT",
-    "reviews": "review_id INT, user_id INT, product_id INT, rating INT, comment STRING, created_at BIGINT",
-    "coupons": "coupon_id INT, code STRING, discount_pct DECIMAL(5,2), valid_from BIGINT, valid_to BIGINT, "
+    "order_items": "order_item_id BIGINT, order_id BIGINT, product_id BIGINT, quantity INT, unit_price DECIMAL(18,2)",
+    "categories": "category_id BIGINT, name STRING, parent_id BIGINT",
+    "reviews": "review_id BIGINT, user_id BIGINT, product_id BIGINT, rating INT, comment STRING, created_at BIGINT",
+    "coupons": "coupon_id BIGINT, code STRING, discount_pct DECIMAL(5,2), valid_from BIGINT, valid_to BIGINT, "
                "is_active BOOLEAN",
 }
 CHANGE_SOURCE = ("version STRING, connector STRING, name STRING, ts_ms BIGINT, db STRING, schema STRING, "
                  "`table` STRING, txId BIGINT, lsn BIGINT, xmin BIGINT")
-# --- fixed values: click event as it arrives (timestamp still text) ---
-CLICK_EVENT = ("event_id STRING, user_id INT, session_id STRING, event_type STRING, device STRING, "
+# --- fixed values: click event as it arrives (timestamp still text, ids widened to 64 bits) ---
+CLICK_EVENT = ("event_id STRING, user_id BIGINT, session_id STRING, event_type STRING, device STRING, "
                "referrer STRING, ip_address STRING, user_agent STRING, event_timestamp STRING, "
                "item_id STRING, page_url STRING, duration_ms INT, scroll_depth_pct INT, search_query STRING, "
                "result_count INT, click_target STRING, quantity INT, cart_total FLOAT, step STRING, "
-               "pseudo_order_id STRING, real_order_id INT, purchase_amount FLOAT")
+               "pseudo_order_id STRING, real_order_id BIGINT, purchase_amount FLOAT")
 # --- fixed values: historical behaviour CSV ---
 BEHAVIOUR_CSV = ("event_time STRING, event_type STRING, product_id STRING, category_id STRING, "
                  "category_code STRING, brand STRING, price DOUBLE, user_id STRING, user_session STRING")

@@ -51,8 +51,11 @@ def compact(spark: SparkSession, path: str, by: list[str], target_bytes: int = T
     Returns the number of partitions rewritten. The partition list is bounded by the table's folders.
     The rows are copied to ``_compact`` inside the table (hidden from readers) before partitions are
     replaced. If a run dies while replacing, run it again before the next write: partitions that are
-    gone come back from the copy, those still there are left alone.
+    gone come back from the copy, those still there are left alone. A table written by a streaming
+    file sink is refused: the log of the sink lists its files, and readers follow that log.
     """
+    if files.exists(spark, f"{path}/_spark_metadata"):
+        raise ValueError(f"{path} belongs to a streaming file sink")
     copy = f"{path}/_compact"
     if files.exists(spark, f"{copy}/_SUCCESS"):
         saved = spark.read.parquet(copy)

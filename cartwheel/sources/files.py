@@ -42,16 +42,18 @@ def change_batch(spark: SparkSession, table: str, landing: str) -> DataFrame:
     return spark.read.schema(change_schema(table)).option("mode", "DROPMALFORMED").json(f"{landing}/{LANDED_JSON}")
 
 
-def landed_click_stream(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
+def landed_click_stream(spark: SparkSession, path: str, files_per_trigger: int = 100,
+                        schema: T.StructType | None = None) -> DataFrame:
+    """Event files as a stream; ``schema`` is that of the landed clicks unless given."""
     return (
-        spark.readStream.schema(landed_click_schema())
+        spark.readStream.schema(schema or landed_click_schema())
         .option("maxFilesPerTrigger", files_per_trigger).option("basePath", path).parquet(path)
     )
 
 
-def fx_documents(spark: SparkSession, landing: str) -> DataFrame:
+def fx_documents(spark: SparkSession, landing: str, files: str = LANDED_JSON) -> DataFrame:
     """FX documents, one pretty-printed JSON object per file; the rates object has a column per currency."""
-    return spark.read.option("multiLine", True).option("mode", "DROPMALFORMED").json(f"{landing}/{LANDED_JSON}")
+    return spark.read.option("multiLine", True).option("mode", "DROPMALFORMED").json(f"{landing}/{files}")
 
 
 def behaviour_csv(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None) -> DataFrame:

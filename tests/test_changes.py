@@ -130,9 +130,10 @@ def test_the_log_position_decides_ties_across_batches(spark, tmp_path):
     where = dict(landing=str(tmp_path / "landing"), silver=str(tmp_path / "silver"), checkpoint=str(tmp_path / "cp"), buckets=4)
     land(tmp_path, "a.json", [event("u", 7, 1, "later in the log", lsn=9)])
     run_change_feed(spark, "orders", **where)
-    land(tmp_path, "b.json", [event("u", 7, 1, "earlier in the log", lsn=8), event("c", 1, 3_000_000_000, "id too large")])
+    land(tmp_path, "b.json", [event("u", 7, 1, "earlier in the log", lsn=8), event("c", 1, 3_000_000_000, "large id"),
+                              event("c", 1, 2**64, "id too large")])
     run_change_feed(spark, "orders", **where)
-    assert state(read_keyed(spark, where["silver"])) == {1: ("u", 7, "later in the log", False)}
+    assert state(read_keyed(spark, where["silver"])) == {1: ("u", 7, "later in the log", False), 3_000_000_000: ("c", 1, "large id", False)}
     rejected = spark.read.parquet(str(tmp_path / "cp" / "rejects"))
     assert [r.reject_reason for r in rejected.collect()] == ["malformed"]
 

@@ -98,6 +98,8 @@ def test_reruns_change_nothing_and_late_updates_arrive(lake, tmp_path):
     jobs.refresh_mart(lake, "customer_snapshot", date(2024, 1, 11))
     assert lake.gold("customer_snapshot").count() == 6
     assert jobs.maintain(lake, AS_OF).count() == 5
+    fresh = {r.table: r.lag_minutes for r in jobs.mart_freshness(lake, datetime(2024, 1, 10, 0, 45, tzinfo=timezone.utc)).collect()}
+    assert set(fresh) == set(jobs.MART_DATES) and fresh["daily_funnel"] == fresh["daily_sales"] == 45
 
 
 def test_catalogue_job(lake, tmp_path):

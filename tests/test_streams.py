@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from cartwheel.operators.events import late_tolerant, parse_messages, with_event_day
+from cartwheel.sinks import upkeep
 from cartwheel.streaming.clicks import broker_stream, land_clicks, refine_clicks
 
 
@@ -30,6 +31,8 @@ def test_landing_and_silver(spark, tmp_path):
     assert str(got["e2"].event_date) == "2024-01-03"
     assert got[None].event_type is None                       # the broken message stays as a row of NULLs
     assert run().count() == 3                                 # nothing new, nothing twice
+    with pytest.raises(ValueError, match="streaming"):        # the log of the sink lists the files
+        upkeep.compact(spark, silver, ["event_date"])
     write(spark, source, message(3, "2020-01-01T00:00:00Z"))  # far behind the watermark: kept
     assert {r.event_id for r in run().collect()} == {"e1", "e2", "e3", None}
 
