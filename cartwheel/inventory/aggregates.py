@@ -9,6 +9,7 @@ from cartwheel.inventory import base
 from cartwheel.inventory.base import Query, h, pct, with_views
 from cartwheel.inventory.marts import BEHAVIOUR_SQL
 from cartwheel.operators.catalogue import DEFAULT_PRICE, known_codes, mean_price, seen_attributes
+from cartwheel.operators.distinct import distinct_counts
 from cartwheel.operators.rates import with_rate
 from cartwheel.plans import funnel
 from cartwheel.sources import domain
@@ -68,11 +69,9 @@ def _conditional(spark, folder):
 
 def _distinct_counts(spark, folder):
     view, cart = F.col("event_type") == "view_item", F.col("event_type") == "add_to_cart"
-    return base.clicks(spark, folder).groupBy("device").agg(
-        F.countDistinct("session_id").alias("sessions"), F.countDistinct("user_id").alias("users"),
-        F.countDistinct(F.when(view, F.col("user_id"))).alias("viewers"),
-        F.countDistinct(F.when(cart, F.col("user_id"))).alias("carters"),
-        F.countDistinct(F.when(view, F.col("session_id"))).alias("view_sessions"))
+    return distinct_counts(base.clicks(spark, folder), ["device"], {
+        "sessions": ("session_id", None), "users": ("user_id", None), "viewers": ("user_id", view),
+        "carters": ("user_id", cart), "view_sessions": ("session_id", view)})
 
 
 def _min_max(spark, folder):
