@@ -22,9 +22,9 @@ from cartwheel.operators.quality import FRESHNESS_MINUTES, SUITES, check_table,
 from cartwheel.operators.rates import keep_currencies, rate_rows
 from cartwheel.plans import customers, funnel, sales, staging
 from cartwheel.plans.windows import recompute_since
-from cartwheel.session import build_session, pin
+from cartwheel.session import build_session, materialise, pin
 from cartwheel.sinks import files, tables, upkeep
-from cartwheel.sources.files import audited, behaviour_csv, fx_documents, land_json, missing_ok, with_landing_parts
+from cartwheel.sources.files import BROKEN_LINE, audited, behaviour_csv, fx_documents, land_json, missing_ok, with_landing_parts
 from cartwheel.streaming.changes import run_change_feed
 from cartwheel.streaming.clicks import broker_stream, land_clicks, refine_clicks
 
@@ -66,10 +66,21 @@ def land_rates(lake: Lake, documents: DataFrame, at: datetime) -> None:
 
 
 def load_rates(lake: Lake) -> bool:
-    """All landed FX documents → silver rates; days that have documents are replaced. False if there is nothing."""
+    """All landed FX documents → silver rates; days that have documents are replaced. False if there is nothing.
+
+    Documents that could not be parsed are listed anew by every run in ``silver/rejects/exchange_rates``.
+    """
     documents = missing_ok(lambda: fx_documents(lake.spark, lake.path("bronze", "exchange_rates")))
     if documents is None or documents.isEmpty():
         return False
+    if BROKEN_LINE in documents.columns:
+        documents = materialise(documents, "rates")  # the reader does not give the broken text on its own
+        broken = documents.filter(F.col(BROKEN_LINE).isNotNull())
+        (broken.select(BROKEN_LINE, F.lit("malformed").alias("reject_reason"))
+         .write.mode("overwrite").parquet(lake.path("silver", "rejects", "exchange_rates")))
+        if not {"base_code", "rates"} <= set(documents.columns):
+            return False
+        documents = documents.filter(F.col(BROKEN_LINE).isNull()).drop(BROKEN_LINE)
     usable = documents.filter("base_code IS NOT NULL AND rates IS NOT NULL")
     tables.overwrite_partitions(rate_rows(usable), lake.path("silver", "exchange_rates"), ["exchange_date"])
     return True

@@ -52,8 +52,14 @@ def landed_click_stream(spark: SparkSession, path: str, files_per_trigger: int =
 
 
 def fx_documents(spark: SparkSession, landing: str, files: str = LANDED_JSON) -> DataFrame:
-    """FX documents, one pretty-printed JSON object per file; the rates object has a column per currency."""
-    return spark.read.option("multiLine", True).option("mode", "DROPMALFORMED").json(f"{landing}/{files}")
+    """FX documents, one pretty-printed JSON object per file; the rates object has a column per currency. If there are
+    documents that could not be parsed, their text is in ``BROKEN_LINE``, a column that is not there otherwise."""
+    reader = (spark.read.option("multiLine", True).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", BROKEN_LINE))
+    documents = reader.json(f"{landing}/{files}")
+    if documents.columns == [BROKEN_LINE]:  # all are broken; Spark does not read that column alone
+        documents = reader.schema(f"base_code STRING, {BROKEN_LINE} STRING").json(f"{landing}/{files}")
+    return documents
 
 
 def behaviour_csv(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None) -> DataFrame:

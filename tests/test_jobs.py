@@ -123,6 +123,19 @@ def test_landed_rates_can_be_loaded(spark, tmp_path):
     assert got == {(3, "USD", "EUR"): 0.5, (4, "USD", "EUR"): 0.25, (3, "GBP", "EUR"): 2.0, (4, "GBP", "EUR"): 2.0}
 
 
+def test_broken_rate_documents_are_set_aside(spark, tmp_path):
+    lake = jobs.Lake(spark, str(tmp_path))
+    folder = tmp_path / "bronze/exchange_rates/year=2024/month=01/day=03"
+    write(folder / "a.json")
+    (folder / "a.json").write_text("{broken")
+    assert jobs.load_rates(lake) is False                           # nothing else there
+    write(folder / "b.json", {"base_code": "USD", "rates": {"EUR": 0.5}, "_ingested_at": "2024-01-03T08:00:00+00:00"}, indent=2)
+    for _ in range(2):
+        assert jobs.load_rates(lake)
+        assert [r.exchange_rate for r in lake.silver("exchange_rates").filter("target_currency = 'EUR'").collect()] == [0.5]
+        assert rows(spark.read.parquet(lake.path("silver", "rejects", "exchange_rates"))) == [("{broken", "malformed")]
+
+
 def test_nothing_to_load(spark, tmp_path):
     empty = jobs.Lake(spark, str(tmp_path))
     assert jobs.load_rates(empty) is False and jobs.refine(empty) is False and jobs.merge_changes(empty, "orders") == {}
