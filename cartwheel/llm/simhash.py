@@ -9,8 +9,11 @@ corpus, so they are not broadcast. A shard gives links that span its groups, nev
 ``TREE_NODES`` is split into pieces, and every pair of pieces is a shard of its own. The links then shrink to stars in
 rounds, each written to the shared folder.
 
-For near copies in the pipeline (Jaccard similarity of 0.8 and more, far beyond a radius of four) the fingerprints are
-four words wide and the shards share sampled bits.
+Near copies in the pipeline have a Jaccard similarity of 0.8 and more, which is far beyond a radius of four and which
+fingerprints only estimate. There the candidates are found by MinHash: ``BANDS`` groups of ``BAND_ROWS`` minima, whatever
+the table's size, so a pair at 0.8 shares no band with a chance of 3 in 100,000 and closer pairs far more rarely. Only
+links confirmed on the shingle hashes themselves count: texts that bands connect meet in a shard, in pieces if there
+are many, and every pair of pieces is a shard.
 
 Defined results: a null, empty or blank text has fingerprint zero and is linked like any other; fewer words than a
 shingle needs are one shingle; repeated rows and ids each get their row; a null id is in the component of its
@@ -19,7 +22,6 @@ fingerprint and never names it; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -168,19 +170,6 @@ def block_masks(radius: int = RADIUS, blocks: int = BLOCKS) -> list[list[int]]:
     return [[sum(chosen)] for chosen in combinations(masks, blocks - radius)]
 
 
-def sampled_masks(nodes: int, radius: int, words: int, miss: float = 0.03) -> list[list[int]]:
-    """Masks of random bits for radii at which blocks would be too short: links at the radius share all bits of one but
-    for a share ``miss``. More fingerprints take more bits, so shards stay small, and more masks, so the share stays."""
-    bits = max(12, math.ceil(math.log2(max(nodes, 2))) - 1)
-    ways = math.ceil(math.log(miss) / math.log1p(-((1 - radius / (64 * words)) ** bits)))
-    random = np.random.default_rng(11)
-    out = []
-    for _ in range(ways):
-        chosen = random.choice(64 * words, bits, replace=False).tolist()
-        out.append([sum(1 << (c % 64) for c in chosen if c // 64 == w) for w in range(words)])
-    return out
-
-
 def links(fps: DataFrame, masks: list[list[int]], radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
     """Spanning links (a, b) between the numbers ``node`` of distinct fingerprints fp0, ..."""
     words = len(masks[0])
@@ -258,34 +247,154 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, words: int = 1, tree_nodes: int = TREE_NODES) -> DataFrame:
-    """doc_id, digest, the fingerprint, component (a number) and component_id (smallest document id reachable over links).
-
-    One word and a radius below ``BLOCKS`` find every link; otherwise the shards share sampled bits (``sampled_masks``).
-    """
-    columns = columns_of(words)
-    rows = materialise(fingerprints(docs, shingle, words), "fingerprints")
-    number = F.col("fp0") if words == 1 else F.xxhash64(*columns)
-    nodes = materialise(rows.groupBy(*columns).agg(F.min("doc_id").alias("first")).withColumn("node", number), "nodes")
-    exact = words == 1 and radius < BLOCKS
-    masks = block_masks(radius) if exact else sampled_masks(nodes.count(), radius, words)
-    found = components(links(nodes, masks, radius, tree_nodes))
-    rooted = nodes.drop(*columns).join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
+def grouped(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
+    """doc_id, digest, the fingerprint, component (a number) and component_id (smallest document id reachable over links)."""
+    rows = materialise(fingerprints(docs, shingle), "fingerprints")
+    nodes = materialise(rows.groupBy("fp0").agg(F.min("doc_id").alias("first")).withColumn("node", F.col("fp0")), "nodes")
+    found = components(links(nodes, block_masks(radius), radius, tree_nodes))
+    rooted = nodes.drop("fp0").join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
     named = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
     by_node = rooted.select("node", "component").join(named, "component")
     # few nodes hold many rows when there are many copies: adaptive execution splits them on the side of the rows
-    return rows.withColumn("node", number).join(by_node, "node").drop("node")
+    return rows.withColumn("node", F.col("fp0")).join(by_node, "node").drop("node")
+
+
+SIMILAR = 0.8
+BANDS, BAND_ROWS = 56, 8
+PIECE_BYTES = 4 << 20
+_FACTORS = np.random.default_rng(11).integers(0, 1 << 31, BANDS * BAND_ROWS, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
+
 
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text, words and shingles as for ``fingerprint``."""
+    parts = (text or "").encode().lower().split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(parts)
+    ends = np.cumsum([len(p) + 1 for p in parts]) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    size = min(shingle, len(parts))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], SEED) for a, b in zip(starts.tolist(), ends[size - 1:].tolist())], np.uint64))
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """A signed number for each band: its minima of the hashes under ``BAND_ROWS`` of the fixed multiplications."""
+    if not len(hashes):
+        return []
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(len(_FACTORS), 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(short), 512):
+        np.minimum(least, (_FACTORS * short[i: i + 512]).min(axis=1), out=least)
+    return [xxhash.xxh64_intdigest(row.tobytes(), n) - (1 << 63) for n, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
+
+
+def similar_links(sets: list[np.ndarray], least: float = SIMILAR) -> list[tuple[int, int]]:
+    """Links that connect exactly what the pairs with a Jaccard similarity of ``least`` connect; fewer than sets."""
+    n = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    values, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(n), sizes)[np.argsort(place, kind="stable")]
+    begin = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(values)))])
+    own = np.concatenate([[0], np.cumsum(sizes)])
+
+    def near(i: int) -> np.ndarray:
+        shared = np.zeros(n, np.int64)
+        mine = place[own[i]: own[i + 1]]
+        for at in range(0, len(mine), 256):
+            part = mine[at: at + 256]
+            count = begin[part + 1] - begin[part]
+            held = np.repeat(begin[part] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            shared += np.bincount(owner[held], minlength=n)
+        return np.flatnonzero((shared > 0) & (shared >= least * (sizes + sizes[i] - shared) - 1e-9))
+
+    label, out, asked = np.full(n, -1), [], np.zeros(n, bool)
+
+    def join(i: int, found: np.ndarray) -> None:
+        for x in found[label[found] != label[i]].tolist():
+            if label[x] != label[i]:
+                out.append((i, x))
+                label[label == label[x]] = label[i]
+
+    for i in range(n):  # stars first
+        if label[i] < 0:
+            asked[i] = True
+            found = near(i)
+            new = found[label[found] < 0]
+            label[new] = label[i] = i
+            out += [(i, x) for x in new.tolist() if x != i]
+            join(i, found)
+    # a link between two groups has an end outside the largest one
+    for i in np.flatnonzero((label != np.bincount(label).argmax()) & ~asked).tolist():
+        join(i, near(i))
+    return out
 
-# Near copies: fingerprints of this many words, and the share of their bits that texts with a Jaccard similarity of 0.8
-# differ in (the angle of their shingle sets is acos(2 * 0.8 / 1.8) = 0.151 pi).
-WIDE_WORDS = 4
-WIDE_RADIUS = round(0.151 * 64 * WIDE_WORDS)
 
+def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
+    """doc_id, digest (of the text), node (of its set of shingles) and the keys of its bands."""
 
-def keep_first(docs: DataFrame, shingle: int, radius: int = WIDE_RADIUS, words: int = WIDE_WORDS) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, keys = [], []
+            for text in batch.column(2):
+                hashes = shingle_hashes(text.as_py(), shingle)
+                nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63))
+                keys.append(band_keys(hashes))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                                             names=["doc_id", "digest", "node", "keys"])
+
+    return (docs.select(F.col("doc_id").cast("bigint"), F.md5("text").alias("digest"), F.col("text").cast("string"))
+            .mapInArrow(run, "doc_id long, digest string, node long, keys array<long>"))
+
+
+def _confirmed(texts: DataFrame, shingle: int, piece_bytes: int) -> DataFrame:
+    """Links (a, b) of ``texts`` (node, root, text) that share the root and are similar."""
+    total = texts.groupBy("root").agg(F.sum(F.octet_length("text")).alias("_bytes"))
+    pieces = F.greatest(F.ceil(F.col("_bytes") / F.lit(piece_bytes)), F.lit(1).cast("bigint"))
+    dealt = texts.join(total, "root").withColumn("pieces", pieces).withColumn("own", F.pmod(F.xxhash64("node"), F.col("pieces")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1))).filter("pieces = 1 or own <> other")
+    dealt = dealt.select(F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other")).alias("shard"), "node", "text")
+    rows = dealt.repartition("shard").sortWithinPartitions("shard", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nodes, sets = None, [], []
+
+        def solve() -> Iterator[pa.RecordBatch]:
+            found = similar_links(sets) if len(sets) > 1 else []
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array([nodes[x] for x in a], pa.int64()), pa.array([nodes[x] for x in b], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            for shard, node, text in zip(*batch.columns):
+                if shard.as_py() != at:
+                    yield from solve()
+                    at, nodes, sets = shard.as_py(), [], []
+                nodes.append(node.as_py())
+                sets.append(shingle_hashes(text.as_py(), shingle))
+        yield from solve()
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def near_copies(docs: DataFrame, shingle: int, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """doc_id, digest and component (a number): texts linked by a Jaccard similarity of ``SIMILAR`` of their shingles."""
+    rows = materialise(_signatures(docs, shingle), "signatures")
+    best = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
+    nodes = materialise(rows.groupBy("node").agg(F.min(best).alias("k"), F.first("keys").alias("keys")), "nodes")
+    banded = nodes.select("node", F.explode("keys").alias("key"))
+    least = banded.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    met = components(banded.join(least, "key").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+    wanted = nodes.select("node", F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest")).join(met, "node")
+    texts = docs.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & F.md5("text").eqNullSafe(F.col("_digest")))
+    texts = materialise(texts.groupBy("node", "root").agg(F.min("text").alias("text")), "candidates")
+    found = components(_confirmed(texts, shingle, piece_bytes))
+    return rows.drop("keys").join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("node", "root")
+
+
+def keep_first(docs: DataFrame, shingle: int) -> DataFrame:
     """One row of every group of near copies: the smallest id, a null id last; of rows with that id, one text."""
-    found = materialise(grouped(docs, shingle, radius, words), "groups")
+    found = materialise(near_copies(docs, shingle), "groups")
     best = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
     kept = found.groupBy("component").agg(F.min(best).alias("k"))
     kept = materialise(kept.select(F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest")).distinct(), "kept-ids")

@@ -126,3 +126,58 @@ def test_keep_first_of_repeated_rows(spark):
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) and None not in ids and 0 in ids and 1 not in ids
     assert simhash.keep_first(spark.createDataFrame([], DOCS), 5).count() == 0
+
+
+def pair_at(rng, share):
+    """Two texts of distinct words that share the share of their 200 five-word shingles."""
+    both = round(200 * share)
+    n = (200 + both) // 2
+    words = [f"{rng.getrandbits(60):x}" for _ in range(n + 4)]
+    return " ".join(words), " ".join(words[: both + 4] + [f"{rng.getrandbits(60):x}" for _ in range(n - both)])
+
+
+@pytest.mark.parametrize("piece_bytes", [simhash.PIECE_BYTES, 1000])
+def test_near_copies_are_decided_by_their_shingles(spark, piece_bytes):
+    rng = random.Random(11)
+    texts = {share: [pair_at(rng, share) for _ in range(40)] for share in (0.7, 0.75, 0.78, 0.8, 0.82, 0.85)}
+    rows = [(share, text) for share, pairs in texts.items() for pair in pairs for text in pair]
+    docs = spark.createDataFrame([(i, text, "en", "s", 0) for i, (_, text) in enumerate(rows)], DOCS)
+    groups = {}
+    for r in simhash.near_copies(docs, 5, piece_bytes).collect():
+        groups.setdefault(r.component, []).append(r.doc_id)
+    linked = Counter(rows[g[0]][0] for g in groups.values() if len(g) == 2)
+    assert linked == {0.8: 40, 0.82: 40, 0.85: 40} and max(map(len, groups.values())) == 2
+    if piece_bytes == simhash.PIECE_BYTES:
+        kept = Counter(rows[r.doc_id][0] for r in simhash.keep_first(docs, 5).collect())
+        assert kept == {0.7: 80, 0.75: 80, 0.78: 80, 0.8: 40, 0.82: 40, 0.85: 40}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_similar_links_connect_what_pairs_connect(seed):
+    rng = np.random.default_rng(seed)
+    sets = [np.arange(0, dtype=np.uint64)]
+    for start in rng.integers(0, 60, 150):
+        sets.append(np.arange(start, start + rng.integers(1, 25), dtype=np.uint64))
+    nodes = list(range(len(sets)))
+
+    def groups(pairs):
+        root = dict(zip(nodes, nodes))
+        for a, b in pairs:
+            old, new = root[a], root[b]
+            root = {k: new if v == old else v for k, v in root.items()}
+        return sorted(map(sorted, ({k for k in nodes if root[k] == v} for v in set(root.values()))))
+
+    pairs = [(a, b) for a in nodes for b in nodes[:a] if (s := len(np.intersect1d(sets[a], sets[b])))
+             and 10 * s >= 8 * (len(sets[a]) + len(sets[b]) - s)]
+    found = simhash.similar_links(sets)
+    assert groups(found) == groups(pairs) and len(found) == len(nodes) - len(groups(pairs))
+
+
+def test_bands_miss_almost_no_pair():
+    rng = np.random.default_rng(5)
+    missed = 0
+    for _ in range(400):
+        words = rng.integers(0, 1 << 63, 200, dtype=np.uint64) * np.uint64(2)
+        a, b = (simhash.band_keys(np.sort(words[part])) for part in (slice(0, 180), slice(20, 200)))
+        missed += not set(a) & set(b)
+    assert missed == 0
