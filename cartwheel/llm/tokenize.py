@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import json
 import os
-from functools import lru_cache
+import re
+from functools import cached_property, lru_cache
 
 import numpy as np
 
+LONG_SPACE = 100_000
+_LONG_SPACE = re.compile(rf"(?<!\s)\s{{{LONG_SPACE}}}")
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -26,11 +30,13 @@ class Encoder:
     """Ids as little-endian unsigned 32-bit bytes.
 
     The ids are those of the tokenizers library for the file. A byte-level vocabulary with the usual split of texts runs on
-    tiktoken, which gives the same ids in a third of the time (the tests compare them); any other file on tokenizers.
+    tiktoken, which gives the same ids in a third of the time (the tests compare them); any other file on tokenizers, and
+    so do texts with a run of ``LONG_SPACE`` or more white-space characters, as tiktoken's stack ends at a million or so.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         split = spec.get("pre_tokenizer") or {}
@@ -44,12 +50,19 @@ class Encoder:
             letters = byte_letters()
             ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
             fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-            self.one = lambda text: fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
+            self.one = lambda text: (self._slow(text) if len(text) >= LONG_SPACE and _LONG_SPACE.search(text) else
+                                     fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes())
         else:
-            from tokenizers import Tokenizer
+            self.one = self._slow
+
+    @cached_property
+    def _model(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
 
-            model = Tokenizer.from_file(path)
-            self.one = lambda text: np.array(model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _slow(self, text: str) -> bytes:
+        return np.array(self._model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""

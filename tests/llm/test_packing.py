@@ -82,3 +82,10 @@ def test_no_rows_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a b", None, None, 0)] * 3, DOCS)
     rows = packing.pack_documents(docs, with_ids=True).collect()
     assert len(rows) == 3 and check_sequences(rows) == 1 and all(len(r.ids) == 4 * r.length for r in rows)
+
+
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, " \n" * 60_000])
+def test_very_long_white_space(model, run):
+    for text in (f"a{run}b <|endoftext|> c", run):
+        got = np.frombuffer(Encoder(default_path()).encode([text])[0], "<u4").tolist()
+        assert got == model.encode(text, add_special_tokens=False).ids
