@@ -2,7 +2,8 @@
 
 Inner products become distances: every vector gets one more component that brings its length to that of the longest,
 the query a zero, and the nearest by distance is the largest by inner product. The rows are dealt into shards of about
-``SHARD_ROWS`` by a hash of their id; every shard is a vantage-point tree, and the queries visit all shards in blocks.
+``SHARD_ROWS`` by a hash of their id, in large tables of more (``shard_count``); every shard is a vantage-point tree, and
+the queries stream through all shards in blocks, so a task holds its rows and one batch of queries.
 A search leaves the far side of a vantage point out when ``FACTOR`` times its distance to the border exceeds the
 distance of the k-th best so far: factor 1 is the triangle inequality and exact, a greater factor prunes more. Equal
 vectors are one item of a tree, with the smallest ids they need.
@@ -29,6 +30,8 @@ SHARD_ROWS = 8192
 LEAF = 256
 FACTOR = 2.0
 QUERY_BLOCK = 1024
+MOST_SHARDS = 256
+SHARD_BYTES = 128 << 20
 
 
 def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -100,25 +103,32 @@ class VPTree:
         self._visit(inside, q[~within & cross])
 
 
-def search_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, longest: float,
-                 k: int, factor: float, leaf: int = LEAF) -> Iterator[tuple[int, list[int], list[float]]]:
-    """(query id, ids, scores) of the k nearest of a shard."""
-    order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
-    _, first, group = np.unique(vectors.view([("", vectors.dtype)] * vectors.shape[1]).ravel(), return_index=True, return_inverse=True)
-    members = np.split(ids[np.argsort(group, kind="stable")], np.cumsum(np.bincount(group))[:-1])
-    distinct = vectors[first].astype(np.float64)
-    tree = VPTree(distinct, longest, leaf)
-    # one more than asked for: the query itself may be among them
-    wanted = min(k + 1, len(distinct))
-    for start in range(0, len(query_ids), QUERY_BLOCK):
-        block = queries[start: start + QUERY_BLOCK].astype(np.float64)
-        for own, query, found in zip(query_ids[start: start + QUERY_BLOCK], block, tree.nearest(block, wanted, factor)):
-            found = found[found >= 0]
-            score = inner_products(distinct[found], np.broadcast_to(query, (len(found), len(query))))
-            pairs = sorted((-s, i) for s, f in zip(score.tolist(), found.tolist()) for i in np.unique(members[f])[: k + 1].tolist() if i != own)[:k]
-            if pairs:
-                yield int(own), [i for _, i in pairs], [-s for s, _ in pairs]
+class Shard:
+    """The tree of a shard's rows, for any number of queries."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, longest: float, k: int, factor: float, leaf: int = LEAF):
+        order = np.argsort(ids, kind="stable")
+        ids, vectors = ids[order], np.ascontiguousarray(vectors[order])
+        _, first, group = np.unique(vectors.view([("", vectors.dtype)] * vectors.shape[1]).ravel(), return_index=True, return_inverse=True)
+        self.members = np.split(ids[np.argsort(group, kind="stable")], np.cumsum(np.bincount(group))[:-1])
+        self.distinct = vectors[first].astype(np.float64)
+        self.tree = VPTree(self.distinct, longest, leaf)
+        self.k, self.factor = k, factor
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray) -> Iterator[tuple[int, list[int], list[float]]]:
+        """(query id, ids, scores) of the k nearest of the shard."""
+        distinct, k = self.distinct, self.k
+        # one more than asked for: the query itself may be among them
+        wanted = min(k + 1, len(distinct))
+        for start in range(0, len(query_ids), QUERY_BLOCK):
+            block = queries[start: start + QUERY_BLOCK].astype(np.float64)
+            for own, query, found in zip(query_ids[start: start + QUERY_BLOCK], block, self.tree.nearest(block, wanted, self.factor)):
+                found = found[found >= 0]
+                score = inner_products(distinct[found], np.broadcast_to(query, (len(found), len(query))))
+                pairs = sorted((-s, i) for s, f in zip(score.tolist(), found.tolist())
+                               for i in np.unique(self.members[f])[: k + 1].tolist() if i != own)[:k]
+                if pairs:
+                    yield int(own), [i for _, i in pairs], [-s for s, _ in pairs]
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -133,11 +143,43 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows.select("vec_id", "embedding", F.size("embedding").alias("size"), square.alias("square"))
 
 
+def shard_count(rows: int, size: int, shard_rows: int = SHARD_ROWS) -> int:
+    """``MOST_SHARDS`` at most, as every query is copied to each, unless a shard would hold more than ``SHARD_BYTES``."""
+    largest = max(shard_rows, SHARD_BYTES // (8 * size))
+    return max(1, min(-(-rows // shard_rows), MOST_SHARDS), -(-rows // largest))
+
+
+def answers(batches: Iterator[pa.RecordBatch], longest: float, k: int, factor: float) -> Iterator[pa.RecordBatch]:
+    """Batches of (shard, size, asks, vec_id, embedding), the rows of a shard and size before its queries, to (query_id,
+    ids, scores). Of the queries no more than a batch is held."""
+    at, held, shard = None, [], None
+    types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64()))
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy(zero_copy_only=False)])
+        cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            *group, asks = key[:, a].tolist()
+            if group != at:
+                at, held, shard = group, [], None
+            part = batch.slice(a, b - a)
+            ids, vectors = part.column(3).to_numpy(), part.column(4).flatten().to_numpy().reshape(b - a, -1)
+            if not asks:
+                held.append((ids, vectors))
+                continue
+            if held:
+                shard, held = Shard(*(np.concatenate(x) for x in zip(*held)), longest, k, factor), []
+            found = list(shard.search(ids, vectors)) if shard else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names=["query_id", "ids", "scores"])
+
+
 def nearest(vectors: DataFrame, is_query, k: int = NEAREST, factor: float = FACTOR, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score of the k rows nearest to each row for which the column ``is_query`` is true."""
     rows = materialise(usable(vectors), "vectors")
-    n, longest = rows.agg(F.count("*"), F.max("square")).first()
-    shards = max(1, -(-n // shard_rows))
+    n, longest, size = rows.agg(F.count("*"), F.max("square"), F.max("size")).first()
+    shards = shard_count(n, size or 1, shard_rows)
     longest = float(longest or 0.0)
     own = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).alias("shard"), "size", F.lit(False).alias("asks"), "vec_id", "embedding")
     asked = (rows.filter(is_query).dropDuplicates(["vec_id", "embedding"])
@@ -147,31 +189,7 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST, factor: float = FACT
     schema = "query_id long, ids array<long>, scores array<double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-
-        def solve() -> Iterator[pa.RecordBatch]:
-            ids, asks, flat = (np.concatenate(x) for x in zip(*held))
-            vec = flat.reshape(len(ids), -1)
-            if asks.any() and not asks.all():
-                found = list(search_shard(ids[~asks], vec[~asks], ids[asks], vec[asks], longest, k, factor))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (
-                        pa.int64(), pa.list_(pa.int64()), pa.list_(pa.float64())))], names=["query_id", "ids", "scores"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()])
-            cuts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for a, b in zip(cuts, cuts[1:]):
-                part = batch.slice(a, b - a)
-                if at is not None and at != tuple(key[:, a]):
-                    yield from solve()
-                    held = []
-                at = tuple(key[:, a])
-                held.append((part.column(3).to_numpy(), part.column(2).to_numpy(zero_copy_only=False), part.column(4).flatten().to_numpy()))
-        if held:
-            yield from solve()
+        return answers(batches, longest, k, factor)
 
     near = met.mapInArrow(run, schema).select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("p"))
     near = near.select("query_id", F.col("p.ids").alias("vec_id"), F.col("p.scores").alias("score"))

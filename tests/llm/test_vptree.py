@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +71,34 @@ def test_pruning_leaves_out_and_finds():
 def test_few_rows(spark, tmp_path, rows):
     got = result(vptree.op10_vptree_search(spark, table(spark, tmp_path, rows)))
     assert got == {q: p for q, p in brute(rows).items() if p}
+
+
+def test_queries_stream_through_a_shard():
+    """Answers come as the queries do: before the last of them are read, and without the answered ones being held."""
+    rows = random_rows(2000, 8)
+    x = np.array([v for _, v, _ in rows])
+
+    def batch(asks, part):
+        n = len(part)
+        return pa.RecordBatch.from_arrays([pa.array([0] * n), pa.array([8] * n, pa.int32()), pa.array([asks] * n), pa.array(part, pa.int64()),
+                                           pa.array(x[part].tolist(), pa.list_(pa.float64()))], names=["shard", "size", "asks", "vec_id", "embedding"])
+
+    read = []
+
+    def batches():
+        for asks in (False, True):
+            for start in range(0, 2000, 100):
+                read.append(asks)
+                yield batch(asks, list(range(start, start + 100)))
+
+    answered, longest = 0, float((x * x).sum(axis=1).max())
+    for out in vptree.answers(batches(), longest, 20, 1.0):
+        answered += out.num_rows
+        assert answered == 100 * sum(read)
+    assert answered == 2000
+
+
+def test_copies_of_queries_are_bounded():
+    assert vptree.shard_count(0, 64) == 1 and vptree.shard_count(100_000, 64) == 13
+    assert vptree.shard_count(20_000_000, 64) == 256
+    assert 256 < vptree.shard_count(117_000_000, 64) < 500
