@@ -9,7 +9,9 @@ Layout below ``root``: ``changes/batch=<id>`` signed rows per document, ``totals
 ``commits/batch=<id>`` the commit.
 
 Defined results: a null text has no tokens but is a document; null source, language or id are values like others;
-several changes of one document and version in one batch count as one (a delete wins, then the greatest count);
+a document is an id and, where ids are not unique, a ``part`` of it that stands for ``docs`` rows alike; several changes
+of one document and version in one batch count as one (a delete wins, then the greatest count); the query counts every
+row, whatever its id, and its parts are rows alike in source, language and text;
 deleting what is not there changes nothing; an empty batch is committed; groups whose documents are all gone vanish.
 """
 
@@ -26,7 +28,7 @@ from cartwheel.llm.tables import materialise, scratch_dir
 from cartwheel.llm.tokenize import default_path, groups, tokenizer
 from cartwheel.sinks import files
 
-CHANGES = "doc_id bigint, source string, lang string, tokenizer string, docs bigint, tokens bigint"
+CHANGES = "doc_id bigint, part bigint, source string, lang string, tokenizer string, docs bigint, tokens bigint"
 TOTALS = "source string, lang string, tokenizer string, docs bigint, tokens bigint"
 GROUP = ["source", "lang", "tokenizer"]
 
@@ -49,7 +51,7 @@ class TokenRollup:
     def current(self) -> DataFrame:
         """The count that holds of every document and version."""
         # a document's source may change, so its rows are summed per group too
-        return (self._read("changes", CHANGES).groupBy("doc_id", *GROUP)
+        return (self._read("changes", CHANGES).groupBy("doc_id", "part", *GROUP)
                 .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0"))
 
     def totals(self) -> DataFrame:
@@ -57,20 +59,25 @@ class TokenRollup:
                 .agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).filter("docs <> 0"))
 
     def apply(self, batch: str, changes: DataFrame) -> bool:
-        """Apply ``changes`` (doc_id, source, lang, tokenizer, tokens; null tokens delete). False if it was applied before."""
+        """Apply ``changes`` (doc_id, source, lang, tokenizer, tokens; null tokens delete). False if it was applied before.
+
+        Two more columns can be given: part, and docs, how many documents with so many tokens each the change stands for."""
         if batch in self.committed():
             return False
-        news = (changes.groupBy(F.col("doc_id").alias("_doc"), F.col("tokenizer").alias("_tokenizer"))
+        part = F.col("part").cast("bigint") if "part" in changes.columns else F.lit(None).cast("bigint")
+        docs = F.col("docs").cast("bigint") if "docs" in changes.columns else F.lit(1).cast("bigint")
+        news = (changes.groupBy(F.col("doc_id").alias("_doc"), part.alias("_part"), F.col("tokenizer").alias("_tokenizer"))
                 .agg(F.max(F.col("tokens").isNull()).alias("_gone"),
-                     F.max(F.struct("tokens", "source", "lang")).alias("_new")))
-        same = F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("tokenizer").eqNullSafe(F.col("_tokenizer"))
+                     F.max(F.struct("tokens", "source", "lang", docs.alias("docs"))).alias("_new")))
+        same = (F.col("doc_id").eqNullSafe(F.col("_doc")) & F.col("part").eqNullSafe(F.col("_part"))
+                & F.col("tokenizer").eqNullSafe(F.col("_tokenizer")))
         both = news.join(self.current(), same, "left")
         known = F.col("docs").isNotNull()
         out = F.when(known, F.struct(F.col("source"), F.col("lang"), (-F.col("docs")).alias("docs"), (-F.col("tokens")).alias("tokens")))
-        came = F.when(~F.col("_gone"), F.struct(F.col("_new.source"), F.col("_new.lang"), F.lit(1).cast("bigint").alias("docs"),
-                                                F.col("_new.tokens").alias("tokens")))
-        signed = (both.select(F.col("_doc").alias("doc_id"), F.col("_tokenizer").alias("tokenizer"), F.explode(F.array(out, came)).alias("r"))
-                  .filter("r is not null").select("doc_id", "r.source", "r.lang", "tokenizer", "r.docs", "r.tokens"))
+        came = F.when(~F.col("_gone"), F.struct(F.col("_new.source"), F.col("_new.lang"), F.col("_new.docs"),
+                                                (F.col("_new.tokens") * F.col("_new.docs")).alias("tokens")))
+        signed = (both.select(F.col("_doc").alias("doc_id"), F.col("_part").alias("part"), F.col("_tokenizer").alias("tokenizer"), F.explode(F.array(out, came)).alias("r"))
+                  .filter("r is not null").select("doc_id", "part", "r.source", "r.lang", "tokenizer", "r.docs", "r.tokens"))
         place = f"{self.root}/changes/batch={batch}"
         signed.write.mode("overwrite").parquet(place)
         stored = self.spark.read.schema(CHANGES).parquet(place)
@@ -118,11 +125,14 @@ WORDS, BPE = "words-1", "byte_bpe_50k-1"
 def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after the life of a corpus: all documents counted by words; a second tokenizer version added; texts with
     repeated lines revised; exact copies of documents with a smaller id deleted; the second batch delivered again."""
-    rows = materialise(counted(spark.read.parquet(f"{sf_dir}/documents.parquet")), "token-counts")
+    rows = counted(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    rows = rows.groupBy(*rows.columns).agg(F.count("*").alias("docs"))
+    alike = F.xxhash64("source", F.col("source").isNull(), "lang", F.col("lang").isNull(), "fingerprint", F.col("fingerprint").isNull())
+    rows = materialise(rows.withColumn("part", alike), "token-counts")
     rollup = TokenRollup(spark, scratch_dir(spark, "token-rollup"))
 
     def counts(version: str, column: str, of: DataFrame = rows) -> DataFrame:
-        return of.select("doc_id", "source", "lang", F.lit(version).alias("tokenizer"), F.col(column).alias("tokens"))
+        return of.select("doc_id", "part", "docs", "source", "lang", F.lit(version).alias("tokenizer"), F.col(column).alias("tokens"))
 
     rollup.apply("0001-words", counts(WORDS, "words"))
     rollup.apply("0002-bpe", counts(BPE, "bpe"))

@@ -73,3 +73,18 @@ def test_split_into_batches_gives_the_same(spark, split):
 
 def test_no_documents(spark, tmp_path):
     assert rollup.op4_token_rollup(spark, stored(spark.createDataFrame([], DOCS), tmp_path)).count() == 0
+
+
+def test_null_and_repeated_ids_are_all_counted(spark, tmp_path):
+    rows = [(None, "a b c", "en", "s", 0), (None, "a b c", "en", "s", 0), (None, "d e", "en", "s", 0), (None, "d e", None, "s", 0), (None, None, "en", "s", 0),
+            (None, None, "en", "s", 0), (7, "f g h i", "en", "s", 0), (7, "j", "en", "s", 0), (7, "j", "en", "s", 0), (7, "j", "en", "t", 0),
+            (7, "k\nk", "en", "t", 0), (8, "j", "en", "s", 0), (9, "l m", "en", "s", 0)]
+    got = totals_of(rollup.op4_token_rollup(spark, stored(spark.createDataFrame(rows, DOCS), tmp_path)))
+    # 8 is a copy of 7; the text of two lines is revised
+    words = {("s", "en"): (9, 3 + 3 + 2 + 0 + 0 + 4 + 1 + 1 + 2), ("s", None): (1, 2), ("t", "en"): (2, 1 + 1)}
+    assert {k[:2]: v for k, v in got.items() if k[2] == rollup.WORDS} == words
+    assert {k[:2]: v[0] for k, v in got.items() if k[2] == rollup.BPE} == {k: v[0] for k, v in words.items()}
+
+
+def totals_of(df):
+    return {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens) for r in df.collect()}
