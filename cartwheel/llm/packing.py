@@ -1,8 +1,8 @@
 """Packing documents into training sequences by bounded-space best fit.
 
 Texts become token ids and an end id; longer documents are cut into whole sequences and one shorter first piece. The
-pieces are dealt into lanes of about ``LANE_PIECES`` pieces, whatever the table holds, so a lane is a bounded piece of
-work and more data means more lanes. A lane receives its pieces longest first and packs them online: open bins hang in
+shorter pieces are dealt into lanes of about ``LANE_PIECES`` pieces, whatever the table holds, so a lane is a bounded
+piece of work and more data means more lanes; whole sequences need none. A lane receives its pieces longest first and packs them online: open bins hang in
 lists by free space, a bitset has a bit for every free space that occurs, and the smallest sufficient one is its lowest
 set bit from the piece's length on. At most ``OPEN_BINS`` bins are open; when another is needed, the fullest closes.
 
@@ -98,9 +98,10 @@ def pack(cut: DataFrame, sequence: int = SEQUENCE, lane_pieces: int = LANE_PIECE
     whole = F.col("length") == sequence
     lanes = max(1, -(-cut.filter(~whole).count() // lane_pieces))
     columns = cut.columns
-    spot = F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32")
-    # whole pieces need no place beside others, so their lanes only have to be many: as for the rest
-    laned = (cut.withColumn("_lane", F.pmod(spot, F.lit(lanes)))
+    # a row's number parts rows alike, too; the stored table gives a repeated task the same numbers
+    row = F.monotonically_increasing_id()
+    laned = (cut.withColumn("_row", row).filter(~whole).withColumn("_lane", F.pmod(F.xxhash64("doc_id", "piece", "_row"), F.lit(lanes)))
+             .select(*columns, "_lane")
              .repartition("_lane").sortWithinPartitions("_lane", F.desc("length"), "doc_id", "piece"))
     schema = cut.schema.add("sequence_id", "long").add("offset", "long")
     at_lane, at_length = len(columns), columns.index("length")
@@ -120,7 +121,9 @@ def pack(cut: DataFrame, sequence: int = SEQUENCE, lane_pieces: int = LANE_PIECE
             yield pa.RecordBatch.from_arrays([*batch.columns[:at_lane], pa.array(ids, pa.int64()), pa.array(offsets, pa.int64())],
                                              names=[*columns, "sequence_id", "offset"])
 
-    return laned.mapInArrow(run, schema)
+    # whole pieces need no place beside others: sequences of their own, numbered below zero
+    alone = cut.withColumn("sequence_id", -1 - row).withColumn("offset", F.lit(0).cast("bigint")).filter(whole)
+    return laned.mapInArrow(run, schema).unionByName(alone)
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, with_ids: bool = False) -> DataFrame:

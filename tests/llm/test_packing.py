@@ -89,3 +89,12 @@ def test_very_long_white_space(model, run):
     for text in (f"a{run}b <|endoftext|> c", run):
         got = np.frombuffer(Encoder(default_path()).encode([text])[0], "<u4").tolist()
         assert got == model.encode(text, add_special_tokens=False).ids
+
+
+def test_whole_pieces_and_rows_alike_need_no_common_lane(spark):
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    cut = spark.createDataFrame([(1, i, 1024 * i, 1024, i) for i in range(3000)] + [(2, 0, 0, 700, 5)] * 3000, schema).repartition(3)
+    rows = packing.pack(cut, lane_pieces=100).collect()
+    assert len(rows) == 6000 and check_sequences(rows) == 6000
+    lanes = {r.sequence_id >> 24 for r in rows if r.length == 700}
+    assert len(lanes) == 30 and all(r.sequence_id < 0 for r in rows if r.length == 1024)
