@@ -450,8 +450,16 @@ def _cover(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return sieved.offsets, np.cumsum(cover[:-1]) > 0
 
 
-def deduplicated(docs: DataFrame, columns: list[str], block_bytes: int = exchange.BLOCK_BYTES, with_text: bool = False) -> DataFrame:
-    """The columns with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the remaining bytes)."""
+def _whole_characters(text: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Which bytes of a text remain if characters that a removal cuts in two go in whole."""
+    of = np.cumsum((text & 0xC0) != 0x80)
+    return np.bincount(of, gone, minlength=of[-1] + 1)[of] == 0
+
+
+def deduplicated(docs: DataFrame, columns: list[str], block_bytes: int = exchange.BLOCK_BYTES, with_text: bool = False,
+                 whole_characters: bool = False) -> DataFrame:
+    """The columns with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the remaining bytes, or only
+    those of whole characters)."""
     columns = [c for c in columns if c not in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")]
     table = blocks(docs, columns, block_bytes)
     edges = exchange.range_edges(exchange.ranges_for(docs))
@@ -479,6 +487,10 @@ def deduplicated(docs: DataFrame, columns: list[str], block_bytes: int = exchang
         own = carried[0].columns if carried else []
         new = [pa.array(np.diff(offsets)), pa.array(n_removed), pa.array(runs[offsets[1:]] - runs[offsets[:-1]]),
                pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string())]
+        if with_text and whole_characters:
+            for i in np.flatnonzero(n_removed).tolist():
+                a, b = offsets[i], offsets[i + 1]
+                kept[i] = text[a:b][_whole_characters(text[a:b], gone[a:b])].tobytes()
         if with_text:
             new.append(pa.array(kept, pa.binary()))
         names = [*columns, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
@@ -492,11 +504,8 @@ def deduplicated(docs: DataFrame, columns: list[str], block_bytes: int = exchang
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with what remains of the texts; n_chars, if there, follows. Bytes of characters cut in two are left out."""
     others = [c for c in docs.columns if c != "text"]
-    found = deduplicated(docs, others, with_text=True)
-    text = F.when(F.col("n_bytes") > 0, F.try_validate_utf8(F.col("kept").cast("string")))
-    # only texts with a cut character need the repair
-    repaired = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""), F.lit(""))
-    found = found.withColumn("text", repaired)
+    found = deduplicated(docs, others, with_text=True, whole_characters=True)
+    found = found.withColumn("text", F.coalesce(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("")))
     if "n_chars" in others:
         found = found.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return found.select(*[F.col(f"`{c}`") for c in docs.columns])

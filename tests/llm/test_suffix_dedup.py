@@ -108,3 +108,13 @@ def test_small_tables(spark):
     for texts in ([(1, None)], [(1, "a" * 400)], [(1, "a" * 401)], [(1, "ab" * 300), (1, "ab" * 300)]):
         docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in texts], DOCS)
         assert sorted((tuple(r) for r in suffix_dedup.deduplicated(docs, ["doc_id"]).collect()), key=repr) == brute(texts)
+
+
+def test_only_cut_characters_go(spark):
+    """A removal that ends inside a character takes its rest, and the replacement characters of the text stay."""
+    rng = random.Random(8)
+    passage = " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))
+    docs = spark.createDataFrame([(i, f"own {i} � {i} ñ {passage} {end} tail {i} �", "en", "s", 0) for i, end in enumerate("éèê")], DOCS)
+    texts = {r.doc_id: r.text for r in suffix_dedup.without_repeats(docs).collect()}
+    cut = {i: text for i, text in texts.items() if passage not in text}
+    assert len(cut) >= 2 and cut == {i: f"own {i} � {i} tail {i} �" for i in cut}
