@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from cartwheel.llm.shipping import ship
 
-MODULES = ("suffix_dedup", "packing", "mixing", "token_rollup", "katz", "simhash", "quality_rules", "toxicity", "phrase_dedup", "vptree")
+MODULES = ("suffix_dedup", "packing", "mixing", "token_rollup", "katz", "simhash", "quality_rules", "toxicity", "phrase_dedup", "vptree",
+           "minhash")
 
 
 def shipped(run: Callable) -> Callable:
