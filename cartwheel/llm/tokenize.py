@@ -32,11 +32,13 @@ class Encoder:
     The ids are those of the tokenizers library for the file. A byte-level vocabulary with the usual split of texts runs on
     tiktoken, which gives the same ids in a third of the time (the tests compare them); any other file on tokenizers, and
     so do texts with a run of ``LONG_SPACE`` or more white-space characters, as tiktoken's stack ends at a million or so.
+    With ``plain`` the strings of special tokens are text like any other.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.path = path
+        self.path, self.plain = path, plain
+        allowed = set() if plain else "all"
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         split = spec.get("pre_tokenizer") or {}
@@ -51,7 +53,7 @@ class Encoder:
             ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
             fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
             self.one = lambda text: (self._slow(text) if len(text) >= LONG_SPACE and _LONG_SPACE.search(text) else
-                                     fast.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes())
+                                     fast.encode_to_numpy(text, allowed_special=allowed, disallowed_special=()).astype("<u4").tobytes())
         else:
             self.one = self._slow
 
@@ -59,7 +61,9 @@ class Encoder:
     def _model(self):
         from tokenizers import Tokenizer
 
-        return Tokenizer.from_file(self.path)
+        model = Tokenizer.from_file(self.path)
+        model.encode_special_tokens = self.plain
+        return model
 
     def _slow(self, text: str) -> bytes:
         return np.array(self._model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -70,9 +74,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str) -> Encoder:
+def tokenizer(path: str, plain: bool = False) -> Encoder:
     """One tokenizer per Python worker and vocabulary."""
-    return Encoder(path)
+    return Encoder(path, plain)
 
 
 def groups(texts: list[str], limit: int = 1 << 21):
