@@ -8,7 +8,7 @@ from collections.abc import Callable
 from cartwheel.llm.shipping import ship
 
 MODULES = ("suffix_dedup", "packing", "mixing", "token_rollup", "katz", "simhash", "quality_rules", "toxicity", "phrase_dedup", "vptree",
-           "minhash", "alignment")
+           "minhash", "alignment", "prefix_trie")
 
 
 def shipped(run: Callable) -> Callable:
