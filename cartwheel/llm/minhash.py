@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm import textops
+from cartwheel.llm.arrow_groups import groups_of
 from cartwheel.llm.simhash import components
 from cartwheel.llm.tables import materialise
 
@@ -38,7 +39,7 @@ PERCENT = 85
 BANDS, ROWS = 56, 9
 # How far the share of agreeing bytes may lie below the similarity asked for.
 SLACK = 0.1
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 # Rows of signatures and bytes of shingle hashes that a pair of pieces holds at most (a single longer text is a piece).
 ASKER_ROWS, MEMBER_ROWS = 512, 4096
 PIECE_BYTES = 4 << 20
@@ -112,25 +113,6 @@ def signatures(docs: DataFrame) -> DataFrame:
             .mapInArrow(run, "doc_id long, digest string, set binary, n_shingles long, bands array<long>, signature binary"))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Rows of equal values in the first ``keys`` (number) columns, which follow each other, as one table."""
-    held: list[pa.RecordBatch] = []
-    at = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = np.column_stack([c.to_numpy() for c in batch.columns[:keys]])
-        cuts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            if at is not None and at != tuple(values[a]):
-                yield pa.Table.from_batches(held)
-                held = []
-            at = tuple(values[a])
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _paired(rows: DataFrame, ask_weight: str, ask_most: int, weight: str, most: int) -> DataFrame:
     """Members and askers of every shard dealt into pieces; each piece of askers meets each piece of members.
 
@@ -154,7 +136,7 @@ def _verified(rows: DataFrame, marks: DataFrame, agreeing: float) -> DataFrame:
     need = int(np.ceil(agreeing * BANDS * ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 3):
+        for table in groups_of(batches, 3):
             asks = table["asks"].combine_chunks().to_numpy(zero_copy_only=False)
             node, comp = (table[c].to_numpy() for c in ("node", "comp"))
             marks = np.array([np.frombuffer(s.as_py(), np.uint8) for s in table["signature"]])
@@ -171,7 +153,7 @@ def _verified(rows: DataFrame, marks: DataFrame, agreeing: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(shard[keep]), pa.array(node[keep]), pa.array(comp[keep]), pa.array(asks[keep])],
                                              names=["shard", "node", "comp", "asks"])
 
-    return dealt.mapInArrow(run, "shard long, node long, comp long, asks boolean").distinct()
+    return dealt.mapInArrow(run, "shard long, node long, comp long, asks boolean")
 
 
 def set_links(askers: list[np.ndarray], asker_comp: np.ndarray, members: list[np.ndarray], member_comp: np.ndarray,
@@ -218,11 +200,15 @@ def _confirmed(rows: DataFrame, texts: DataFrame, percent: int, shingle: int, pi
              .sortWithinPartitions("shard", "x", "y", "asks", "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _groups(batches, 3):
+        for table in groups_of(batches, 3):
             asks = table["asks"].combine_chunks().to_numpy(zero_copy_only=False)
             if asks.all() or not asks.any():
                 continue
             node, comp = (table[c].to_numpy() for c in ("node", "comp"))
+            # pieces of signatures may have found a row several times
+            new = np.ones(len(node), bool)
+            new[1:] = (node[1:] != node[:-1]) | (asks[1:] != asks[:-1])
+            table, node, comp, asks = table.filter(pa.array(new)), node[new], comp[new], asks[new]
             sets = [s for chunk in table["text"].chunks for s in shingle_sets(chunk, shingle)]
             members, askers = np.flatnonzero(~asks), np.flatnonzero(asks)
             found = set_links([sets[i] for i in askers], comp[askers], [sets[i] for i in members], comp[members], percent)
@@ -245,7 +231,9 @@ def _star_shards(opened: DataFrame, number: int) -> DataFrame:
     """Every node with the pivot, of another component, that it shares most buckets with."""
     order = F.xxhash64("node", "key", F.lit(number))
     pivots = opened.groupBy("key").agg(F.min_by(F.struct("node", "comp"), order).alias("p"))
-    asked = opened.join(pivots, "key").filter("comp <> p.comp").groupBy("node", "comp", "p").agg(F.count("*").alias("n"))
+    # dealt by node once, for both groupings
+    asked = (opened.join(pivots, "key").filter("comp <> p.comp").repartition("node")
+             .groupBy("node", "comp", "p").agg(F.count("*").alias("n")))
     best = asked.groupBy("node", "comp").agg(F.max_by("p", F.struct("n", "p.node")).alias("p"))
     members = best.select(F.col("p.node").alias("shard"), "node", "comp", F.lit(False).alias("asks"))
     return members.unionByName(best.select(F.col("p.node").alias("shard"), F.col("p.node").alias("node"), F.col("p.comp").alias("comp"), F.lit(True).alias("asks")).distinct())
@@ -274,13 +262,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, star_rounds: int =
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     buckets = materialise(banded.join(shared, "key"), "minhash-buckets")
-    wanted = (nodes.select("node", "n_shingles", F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest"))
+    wanted = (nodes.select("node", "n_shingles", "signature", F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest"))
               .join(buckets.select("node").distinct(), "node", "left_semi"))
     plain = docs.select(F.col("doc_id").cast("bigint").alias("_doc"), F.col("text").cast("string").alias("text"))
     texts = plain.join(wanted.hint("shuffle_hash"), F.col("_doc").eqNullSafe(F.col("_id")) & (F.md5("text") == F.col("_digest")))
-    texts = materialise(texts.groupBy("node", "n_shingles").agg(F.min("text").alias("text")), "minhash-candidates")
-    marks = nodes.select("node", "signature")
-    links, found = None, None
+    texts = materialise(texts.groupBy("node", "n_shingles", "signature").agg(F.min("text").alias("text")), "minhash-candidates")
+    marks = texts.select("node", "signature")
+    found = None
     for number in range(star_rounds + 1):
         opened = _with_component(buckets, found)
         if number:
@@ -290,8 +278,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, star_rounds: int =
         shards = materialise(_star_shards(opened, number) if number < star_rounds else _whole_shards(opened), "minhash-shards")
         close = materialise(_verified(shards, marks, percent / 100 - SLACK), "minhash-verified")
         new = materialise(_confirmed(close, texts, percent, SHINGLE, piece_bytes), "minhash-links")
-        links = new if links is None else links.unionByName(new)
-        found = components(links)
+        # the components so far are links too
+        found = components(new if found is None else new.unionByName(found.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     rooted = nodes.select("set", "node", F.col("k.doc_id").alias("first")).join(found, "node", "left").withColumn("component", F.coalesce("root", "node"))
     named = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
     # a set with very many copies: adaptive execution splits the side of the documents
