@@ -67,6 +67,26 @@ def test_query_on_many_partial_repeats(spark, tmp_path, seed):
     assert sorted((tuple(r) for r in rows), key=repr) == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("length", [256, 101])
+def test_other_lengths(spark, length):
+    docs = passages(spark, 60, 5).unionByName(edge_docs(spark).filter("length(text) < 3000 or text is null"))
+    rows = suffix_dedup.deduplicated(docs, ["doc_id"], 20_000, length=length).collect()
+    assert sorted((tuple(r) for r in rows), key=repr) == brute([(r.doc_id, r.text) for r in docs.collect()], length)
+
+
+def test_passages_of_fifty_words_go(spark):
+    """The length of the pipeline's stage: passages of 51 words and more go whole, those of 20 stay."""
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 10))) for _ in range(4000)]
+    long, short = [[sentence(rng, n, words) for _ in range(20)] for n in (51, 20)]
+    rows = [(i, " | ".join([f"{i} " + sentence(rng, 30, words), long[i % 20], sentence(rng, 30, words), short[i % 20], f"end {i}"]), "en", "s", 0) for i in range(60)]
+    docs = spark.createDataFrame(rows, DOCS)
+    for r in corpus_pipeline.repeated_passages(spark, docs, "").collect():
+        assert long[r.doc_id % 20] not in r.text and short[r.doc_id % 20] in r.text
+
+
 def test_one_passage_in_every_text(spark):
     """A hot passage whose suffixes fill several buckets: equals across boundaries are found."""
     rng = random.Random(4)
