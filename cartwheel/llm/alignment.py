@@ -6,7 +6,7 @@ bisect; it is divided there and both halves go on, and an interval without a cut
 side, is a leaf: one group. All intervals of a level are probed together in numpy.
 
 Within a group the tokens whose byte ranges overlap are links. How many links join two ids is counted over the corpus:
-documents are gathered into blocks of ``BLOCK_BYTES`` of text (a row each, in a written table), a block sends every pair
+documents are gathered into blocks of ``BLOCK_BYTES`` of text (a row each, in a table bucketed by block), a block sends every pair
 of ids it holds once, with its number, and gets every pair's corpus-wide number back; so a pair that occurs everywhere is
 a row per block, and the answer of a block is no larger than what it sent.
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +28,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.llm.tables import materialise
+from cartwheel.llm.tables import bucketed, materialise
 from cartwheel.llm.tokenize import byte_letters, default_path, tokenizer
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 # Tokens worked on together, both tokenizers.
 CHUNK_TOKENS = 1 << 19
 SPACE = "▁"
@@ -49,7 +49,7 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.encode_a = tokenizer(path_a, True).one
+        self.path_a = path_a
         self.model = sentencepiece.SentencePieceProcessor(model_file=path_b)
         with open(path_a, encoding="utf-8") as file:
             spec = json.load(file)
@@ -67,6 +67,10 @@ class Pair:
         # a token's decimal id and what follows: a comma within its side, a bar after A's last, a semicolon after B's, the end
         self.written = np.array([f"{i}{end}" for i in range(max(len(self.bytes_a), size)) for end in (",", "|", ";", "")], object)
 
+    @cached_property
+    def encode_a(self):
+        return tokenizer(self.path_a, True).one
+
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         none = np.zeros(0, np.uint32)
         if not text:
@@ -266,7 +270,8 @@ REPORT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """A row per document: tokens, groups, links, links of the best pairs, their counts, and the digest of the groups."""
     path_a, path_b = path_a or default_path(), path_b or default_pieces()
-    stored = materialise(blocks(docs, path_a, path_b, block_bytes), "aligned-blocks")
+    stored = bucketed(blocks(docs, path_a, path_b, block_bytes), "aligned_blocks", "block",
+                      int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sent = materialise(block_links(stored, path_a, path_b), "aligned-links")
     answers = sent.select("block", "pair").join(materialise(link_counts(sent), "aligned-counts"), "pair")
 
