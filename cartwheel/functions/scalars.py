@@ -31,17 +31,18 @@ def week_start(day: Column) -> Column:
     return F.trunc(day, "week")
 
 
+# Numbers are rounded as decimals of this type: doubles by the digits they print, decimals exactly.
+ROUNDED = "decimal(38,10)"
+
+
 def half_up(c: Column, digits: int = 2) -> Column:
-    """Round, halves away from zero. The 1e-7 guard keeps binary noise (1.005 stored as 1.00499…) from rounding down."""
-    scale = 10 ** digits
-    x = c.cast("double")
-    return F.signum(x) * F.floor(F.abs(x) * scale + F.lit(0.5) + F.lit(1e-7)) / F.lit(scale)
+    """Round, halves away from zero. NULL for what is no number or has over 28 digits before the point."""
+    return F.round(c.try_cast(ROUNDED), digits).cast("double")
 
 
 def cents(c: Column) -> Column:
     """Amount as whole cents, halves away from zero; an integer is the same whatever order the summands came in."""
-    x = c.cast("double")
-    return (F.signum(x) * F.floor(F.abs(x) * 100 + F.lit(0.5) + F.lit(1e-7))).cast("bigint")
+    return (F.round(c.try_cast(ROUNDED), 2) * 100).try_cast("bigint")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -9,9 +9,11 @@ from cartwheel.inventory import base
 from cartwheel.inventory.base import Query, h, pct, with_views
 from cartwheel.inventory.marts import BEHAVIOUR_SQL
 from cartwheel.operators.catalogue import DEFAULT_PRICE, known_codes, mean_price, seen_attributes
-from cartwheel.operators.distinct import distinct_counts
+from cartwheel.operators.distinct import daily_bitmaps, distinct_counts, rolling_distinct
 from cartwheel.operators.rates import with_rate
 from cartwheel.plans import funnel
+from cartwheel.session import scratch_dir
+from cartwheel.sinks import tables
 from cartwheel.sources import domain
 
 
@@ -129,7 +131,43 @@ def _texts(spark, folder):
                     F.col("brand").contains("2").alias("has_2"))
 
 
+def _rounded(spark, folder):
+    """Values near a half, negative ones, and ones with more digits than a double holds."""
+    key = F.col("id")
+    tiny = F.lit("0.0249999995").cast("decimal(28,10)")
+    exact = (F.when(key % 5 == 0, key + F.lit("0.005").cast("decimal(28,10)")).when(key % 5 == 1, tiny)
+             .when(key % 5 == 2, -key - F.lit("0.125").cast("decimal(28,10)"))
+             .when(key % 5 == 3, key + F.lit("93000000000000000.005").cast("decimal(28,10)"))
+             .otherwise((key.cast("decimal(28,10)") / 8).cast("decimal(28,10)")))
+    o = domain.orders(spark, folder).select("id", exact.alias("v"))
+    return o.select("id", fn.half_up(F.col("v")).alias("from_decimal"), fn.half_up(F.col("v").cast("double")).alias("from_double"),
+                    fn.half_up(F.col("v"), 0).alias("whole"), fn.half_up(-F.col("v"), 6).alias("six"))
+
+
+WINDOW_DAYS = 7
+
+
+def _distinct_over_window(spark, folder):
+    """Users of the last seven days from the daily bitmaps, which are written first; the events of some days twice."""
+    path = scratch_dir(spark, "bitmaps")
+    events = base.clicks(spark, folder).select("event_date", "device", "user_id")
+    for part in (events, events.filter(F.col("event_date") >= F.lit("2024-01-20").cast("date"))):
+        tables.overwrite_partitions(daily_bitmaps(part, "event_date", ["device"], "user_id"), path, ["event_date"])
+    return rolling_distinct(spark.read.parquet(path), "event_date", ["device"], WINDOW_DAYS, "users")
+
+
 QUERIES = [
+    Query("f8_round", _rounded, with_views("d_orders", v="""
+        select id, case id % 5 when 0 then cast(id as decimal(28,10)) + 0.005 when 1 then cast(0.0249999995 as decimal(28,10))
+          when 2 then -cast(id as decimal(28,10)) - 0.125 when 3 then cast(id as decimal(28,10)) + cast('93000000000000000.005' as decimal(28,10))
+          else cast(id // 8 as decimal(28,10)) + cast(id % 8 as decimal(28,10)) * 0.125 end as v from d_orders""", body=f"""
+        select id, cast(round(cast(v as decimal(38,10)), 2) as double) as from_decimal, {h("cast(v as double)")} as from_double,
+          cast(round(cast(v as decimal(38,10)), 0) as double) as whole, cast(round(cast(-v as decimal(38,10)), 6) as double) as six from v""")),
+    Query("a5_distinct_over_window", _distinct_over_window, with_views("s_clicks", body=f"""
+        select d.event_date, device, count(distinct user_id) as users
+        from (select distinct event_date from s_clicks where user_id is not null) d
+        join s_clicks c on c.event_date between d.event_date - {WINDOW_DAYS - 1} and d.event_date
+        where user_id is not null group by 1, 2""")),
     Query("j1_inner_join",
           lambda s, f: base.orders(s, f).join(base.products(s, f), "product_id").groupBy("category").agg(
               F.count("*").alias("orders")),

@@ -99,8 +99,8 @@ def micros(c: str) -> Column:
 
 
 def h(x: str, digits: int = 2) -> str:
-    scale = 10 ** digits
-    return f"(sign(cast({x} as double)) * floor(abs(cast({x} as double)) * {scale} + 0.5 + 1e-7) / {scale}.0)"
+    """ROUND of a number as a decimal; a double is taken by the digits it prints."""
+    return f"cast(round(cast(cast({x} as varchar) as decimal(38,10)), {digits}) as double)"
 
 
 def pct(a: str, b: str) -> str:
@@ -181,17 +181,18 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         select id as user_id, name as username, email, coalesce(city, 'Unknown') as city, country, registration_date
         from d_users"""),
     "s_rates": (("d_rates",), """
-        select exchange_date, base_currency, target_currency, exchange_rate as raw_exchange_rate,
-          last_value(exchange_rate ignore nulls) over (partition by base_currency, target_currency
-            order by exchange_date rows between unbounded preceding and current row) as exchange_rate
-        from d_rates"""),
+        select d.exchange_date, d.base_currency, d.target_currency, d.exchange_rate as raw_exchange_rate, k.exchange_rate
+        from d_rates d asof left join (select * from d_rates where exchange_rate is not null) k
+          on d.base_currency = k.base_currency and d.target_currency = k.target_currency and d.exchange_date >= k.exchange_date"""),
     "s_clicks": (("d_clicks",), """
-        select * exclude (referrer), cast(event_timestamp as date) as event_date,
-          case when regexp_matches(referrer, 'google|bing|yahoo') then 'organic_search'
-            when regexp_matches(referrer, 'facebook|instagram|tiktok|twitter|youtube') then 'social'
-            when referrer = 'email' then 'email'
-            when coalesce(referrer, '') in ('', 'direct') then 'direct' else 'other' end as referrer_category
-        from d_clicks"""),
+        select d_clicks.* exclude (referrer), cast(event_timestamp as date) as event_date, coalesce(channel, 'other') as referrer_category
+        from d_clicks left join (
+          select referrer, arg_min(channel, rank) as channel
+          from (select distinct referrer from d_clicks) join (values
+            ('%google%', 'organic_search', 1), ('%bing%', 'organic_search', 1), ('%yahoo%', 'organic_search', 1), ('%facebook%', 'social', 2),
+            ('%instagram%', 'social', 2), ('%tiktok%', 'social', 2), ('%twitter%', 'social', 2), ('%youtube%', 'social', 2),
+            ('email', 'email', 3), ('direct', 'direct', 4), ('', 'direct', 4)) w(pattern, channel, rank)
+            on coalesce(referrer, '') like pattern group by referrer) c on d_clicks.referrer is not distinct from c.referrer"""),
     "o_usd": (("s_orders", "s_rates"), """
         select o.*, r.exchange_rate as rate, cast(o.total_amount as double) / coalesce(r.exchange_rate, 1.0) as usd
         from s_orders o left join s_rates r
@@ -281,7 +282,7 @@ def snapshot_sql(as_of: str) -> str:
           coalesce(revenue, 0) > 500 as is_high_value
         from s_users left join (
           select user_id, count(distinct order_id) as n, min(order_date) as first_order_date,
-            max(order_date) as last_order_date, sum(usd) as revenue,
+            max(order_date) as last_order_date, cast(sum(cast(usd as decimal(28,6))) as double) as revenue,
             arg_max({{'currency': currency, 'payment_method': payment_method}},
                     {{'at': created_at, 'order_id': order_id}}) as last_seen
           from o_usd where status = 'COMPLETED' and order_date <= date '{as_of}' group by user_id) using (user_id)"""

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from cartwheel.inventory.base import Query, with_views
 from cartwheel.operators import changes as ops
+from cartwheel.schemas import payload
 from cartwheel.session import materialise, scratch_dir
+from cartwheel.sinks import runs
 from cartwheel.sinks.tables import read_keyed, upsert
 from cartwheel.sources import domain, files
 from cartwheel.streaming.changes import run_change_feed
@@ -59,6 +61,17 @@ def _state_sql(guard: bool) -> str:
         where a.id is not null or upd) where op <> 'd'""")
 
 
+# of the newest change per key and part: what a key holds is its newest image, and its newest change says whether it is deleted
+RUNS_SQL = with_views(
+    "d_orders", feed=FEED_SQL, flat=FLAT_SQL,
+    newest="""select * from flat where id is not null
+              qualify row_number() over (partition by id, part order by ts_ms desc, lsn desc) = 1""",
+    seen="select id, ts_ms, is_deleted from newest qualify row_number() over (partition by id order by ts_ms desc, lsn desc) = 1",
+    image="""select id, op, status, quantity, total_amount from newest where op <> 'd'
+             qualify row_number() over (partition by id order by ts_ms desc, lsn desc) = 1""",
+    body="select id, op, ts_ms, status, quantity, total_amount, is_deleted from image join seen using (id)")
+
+
 def feed_columns(feed):
     return feed.select("op", "ts_ms", F.col("source.lsn").alias("lsn"),
                        F.col("before.id").cast("bigint").alias("before_id"), F.col("after.id").cast("bigint").alias("after_id"),
@@ -91,11 +104,12 @@ def _state(rows):
                        F.col("total_amount").cast("double").alias("total_amount"), "is_deleted")
 
 
-def _parts(spark, folder):
+def _parts(spark, folder, *more):
     feed = domain.change_feed(spark, folder)
     def part(n):
         keyed, _ = ops.split_keyless(ops.flatten(feed.filter(F.col("part") == n)), "id")
-        return ops.latest_per_key(keyed, "id").drop("lsn")
+        latest = ops.latest_per_key(keyed, "id")
+        return latest if more else latest.drop("lsn")
     return part(0), part(1)
 
 
@@ -124,7 +138,62 @@ def _streamed(spark, folder):
         if part is not None:
             land_part(spark, folder, landing, part)
         run_change_feed(spark, "orders", landing, silver, offsets, buckets=8, rejects=f"{root}/rejects")
-    return _state(read_keyed(spark, silver))
+    return _state(runs.read_runs(spark, silver, "id"))
+
+
+def _runs(fold: str | None):
+    """Part 0 as a run, part 1 as three, one of them twice, folded in between: the rows are the same however that is done."""
+    def plan(spark, folder):
+        first, second = (materialise(p, "part") for p in _parts(spark, folder, "lsn"))
+        path = scratch_dir(spark, "orders")
+        runs.write_run(first, path, "id", 8, "batch-0")
+        for number in (1, 2, 2, 3):
+            runs.write_run(second.filter(F.col("id") % 3 == number - 1), path, "id", 8, f"batch-{number}")
+            if fold and number == 1:  # the first run becomes the base
+                runs.fold_runs(spark, path, "id", [F.col("ts_ms")], base_share=0)
+        if fold:
+            runs.fold_runs(spark, path, "id", [F.col("ts_ms"), F.col("id")], fan_in=2, base_share=0 if fold == "base" else 9)
+        return _state(runs.read_runs(spark, path, "id"))
+    return plan
+
+
+NEXT_VERSION = "channel STRING, quantity BIGINT, unit_price DECIMAL(20,4)"
+
+
+def _land_next_version(spark, folder, landing: str) -> None:
+    """Part 1 with a new column and wider types, and the changes of odd ids with a quantity that is text."""
+    feed = domain.change_feed(spark, folder).filter("part = 1").drop("part")
+    image = F.col("after")
+    later = (image.withField("channel", F.concat(F.lit("c"), (image["id"] % 3).cast("string")))
+             .withField("quantity", image["quantity"] + 3_000_000_000)
+             .withField("unit_price", (image["unit_price"] + F.lit("0.0125").cast("decimal(20,4)")).cast("decimal(20,4)")))
+    narrowed = later.withField("quantity", F.concat(F.lit("about "), image["quantity"].cast("string")))
+    for day, which, after in (("02", image["id"].isNull() | (image["id"] % 2 == 0), later), ("03", image["id"] % 2 == 1, narrowed)):
+        files.land_json(feed.filter(which).withColumn("after", after).withColumns(
+            {"year": F.lit("2024"), "month": F.lit("01"), "day": F.lit(day)}), landing)
+
+
+def _versions(spark, folder):
+    """Two versions of a feed merged; rows last changed by the first one have no channel, narrowed lines are set aside."""
+    root = scratch_dir(spark, "feed")
+    landing, silver = f"{root}/landing", f"{root}/silver"
+    for land, versions in ((lambda: land_part(spark, folder, landing, 0), ()), (lambda: _land_next_version(spark, folder, landing), (NEXT_VERSION,))):
+        land()
+        run_change_feed(spark, "orders", landing, silver, f"{root}/checkpoint", buckets=8, rejects=f"{root}/rejects", versions=versions)
+    schema = runs.stored_schema(payload("orders", NEXT_VERSION), "id", 8)
+    runs.fold_runs(spark, silver, "id", base_share=0, schema=schema)  # the first batch becomes the base
+    rows = runs.read_runs(spark, silver, "id", schema)
+    broken = spark.read.schema("reject_reason STRING").parquet(f"{root}/rejects").filter("reject_reason = 'malformed'")
+    return (rows.select("id", "quantity", "channel", F.col("unit_price").cast("double").alias("unit_price"), "is_deleted", F.lit(0).alias("broken"))
+            .unionByName(broken.agg(F.count("*").cast("int").alias("broken")), allowMissingColumns=True))
+
+
+def _unknown_columns(spark, folder):
+    """What the second version has beyond the first: seen before it is registered."""
+    landing = scratch_dir(spark, "cdc")
+    land_part(spark, folder, landing, 0)
+    _land_next_version(spark, folder, landing)
+    return files.unknown_columns(spark, "orders", landing)
 
 
 def _rejected(spark, folder):
@@ -148,7 +217,25 @@ QUERIES = [
     Query("c7_merge_upsert", _merged(True), _state_sql(True)),
     Query("c7_merge_unguarded", _merged(False), _state_sql(False)),
     Query("c7_bucketed_upsert", _upserted, _state_sql(True)),
-    Query("c8_incremental_job", _streamed, _state_sql(True)),
+    Query("c7_change_runs", _runs(None), RUNS_SQL),
+    Query("c7_folded_tiers", _runs("tier"), RUNS_SQL),
+    Query("c7_folded_base", _runs("base"), RUNS_SQL),
+    Query("c8_incremental_job", _streamed, RUNS_SQL),
+    Query("c2_versioned_feed", _versions, with_views(
+        "d_orders", feed=f"select f.*, unit_price from ({FEED_SQL}) f left join d_orders o on f.after_id = o.id",
+        fit="""select part, op, ts_ms, coalesce(after_id, before_id) as id, lsn,
+                 after_quantity + case when part = 1 then 3000000000 else 0 end as quantity,
+                 case when part = 1 then 'c' || (after_id % 3) end as channel,
+                 cast(cast(unit_price as decimal(20,4)) + case when part = 1 then 0.0125 else 0 end as double) as unit_price
+               from feed where (part = 0 or after_id is null or after_id % 2 = 0) and coalesce(after_id, before_id) is not null""",
+        newest="select * from fit qualify row_number() over (partition by id, part order by ts_ms desc, lsn desc) = 1",
+        body="""
+        select id, quantity, channel, unit_price, last_op = 'd' as is_deleted, 0 as broken from newest
+        join (select id, arg_max(op, {'a': ts_ms, 'b': lsn}) as last_op from newest group by id) using (id) where op <> 'd'
+        qualify row_number() over (partition by id order by ts_ms desc, lsn desc) = 1
+        union all select null, null, null, null, null, cast(count(*) as int) from feed where part = 1 and after_id % 2 = 1""")),
+    Query("c2_unknown_columns", _unknown_columns, with_views("d_orders", feed=FEED_SQL, body="""
+        select 'channel' as "column", count(*) as lines from feed where part = 1 and after_id is not null group by 1""")),
     Query("c9_live_rows", lambda s, f: ops.live(domain.orders(s, f)).select("id", "status"),
           with_views("d_orders", body="select id, status from d_orders where not is_deleted")),
     Query("p1_keyless_changes", _rejected,

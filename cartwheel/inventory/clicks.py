@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import referrer_category
@@ -10,6 +12,8 @@ from cartwheel.operators import events as ops
 from cartwheel.operators.hygiene import harmonise_events, mask_people, quarantine, reject_reason, with_surrogate_key
 from cartwheel.operators.sessions import session_totals, sessionize
 from cartwheel.session import scratch_dir
+from cartwheel.sinks.batches import BATCH, FOLDED, fold_batches, read_batches
+from cartwheel.sinks.upkeep import apply_retention
 from cartwheel.sources import domain
 from cartwheel.streaming.clicks import land_clicks, refine_clicks, session_stream
 
@@ -24,8 +28,12 @@ PARSED_SQL = f"""
       case when not ({BROKEN}) then strftime(event_timestamp, '%Y-%m-%d') end as event_date
     from d_clicks"""
 PARSED = with_views("d_clicks", body=PARSED_SQL)
-REFINED = with_views("d_clicks", parsed=PARSED_SQL, body="""
-    select * replace (case when event_type = 'checkout' then purchase_amount end as purchase_amount) from parsed""")
+LANDED = with_views("d_clicks", body=f"{PARSED_SQL} where not ({BROKEN})")
+# negative amounts of a checkout and rows without a user are set aside
+REFINED_SQL = f"""
+    select * replace (case when event_type = 'checkout' then purchase_amount end as purchase_amount)
+    from ({PARSED_SQL} where not ({BROKEN})) where user_id is not null and not (event_type = 'checkout' and purchase_amount < 0)"""
+REFINED = with_views("d_clicks", body=REFINED_SQL)
 
 
 def _columns(events):
@@ -42,20 +50,63 @@ def _parsed(spark, folder):
     return _columns(ops.with_event_day(ops.parse_messages(domain.click_bytes(spark, folder))))
 
 
-def _landed(spark, folder) -> str:
-    """Messages written as files, streamed from there into the landing table."""
-    root = scratch_dir(spark, "clicks")
-    domain.click_bytes(spark, folder).write.parquet(f"{root}/messages")
+def _land(spark, folder, root: str, which: str | None = "true") -> None:
+    """Messages of the chosen events (None: no new ones) written as files, streamed from there into the landing table."""
+    if which:
+        domain.click_bytes(spark, folder, which).write.mode("append").parquet(f"{root}/messages")
     messages = spark.readStream.schema("value BINARY").parquet(f"{root}/messages")
-    land_clicks(messages, f"{root}/landed", f"{root}/landed_offsets", every=None).awaitTermination()
-    return root
+    land_clicks(messages, f"{root}/landed", f"{root}/landed_offsets", every=None, rejects=f"{root}/rejects").awaitTermination()
+
+
+def _refine(spark, root: str) -> None:
+    refine_clicks(spark, f"{root}/landed", f"{root}/silver", f"{root}/silver_offsets", files_per_batch=1_000_000)
+
+
+def _landed(spark, folder):
+    root = scratch_dir(spark, "clicks")
+    _land(spark, folder, root)
+    return _columns(read_batches(spark, f"{root}/landed"))
+
+
+def _click_rejects(spark, folder):
+    """What landing has set aside."""
+    root = scratch_dir(spark, "clicks")
+    for which in ("event_id % 2 = 1", None):  # the second run finds nothing new
+        _land(spark, folder, root, which)
+    return read_batches(spark, f"{root}/rejects").groupBy("reject_reason", "message").agg(F.count("*").alias("messages"))
 
 
 def _refined(spark, folder):
-    root = _landed(spark, folder)
+    root = scratch_dir(spark, "clicks")
+    _land(spark, folder, root)
     for _ in range(2):  # the second run finds nothing new
-        refine_clicks(spark, f"{root}/landed", f"{root}/silver", f"{root}/silver_offsets")
-    return _columns(spark.read.parquet(f"{root}/silver"))
+        _refine(spark, root)
+    return _columns(read_batches(spark, f"{root}/silver"))
+
+
+def _late(spark, folder):
+    """The even events, then the odd ones: of those, all older than the newest even one less the delay are late."""
+    root = scratch_dir(spark, "clicks")
+    for rest in (0, 1):
+        _land(spark, folder, root, f"event_id % 2 = {rest}")
+        _refine(spark, root)
+    return ops.late_days(read_batches(spark, f"{root}/silver"))
+
+
+def _compacted_silver(spark, folder):
+    """Land, refine, compact, expire all that has landed, land and refine more: nothing is lost or twice."""
+    root = scratch_dir(spark, "clicks")
+    for rest in range(4):
+        if rest == 3:
+            for _ in range(2):  # the second time there is nothing to do
+                fold_batches(spark, f"{root}/silver", ["event_date"])
+            apply_retention(spark, root, date.today() + timedelta(days=30), {"landed/": 7})
+        _land(spark, folder, root, f"event_id % 4 = {rest}")
+        _refine(spark, root)
+    stored = spark.read.parquet(f"{root}/silver")
+    return stored.groupBy("event_date").agg(
+        F.count("*").alias("events"), F.count_distinct("event_id").alias("different"), F.sum("user_id").alias("users"),
+        F.count_distinct(F.when(F.col(BATCH).startswith(FOLDED), F.col(BATCH))).alias("folded"))
 
 
 def _session_rows(spark, folder):
@@ -109,8 +160,23 @@ QUERIES = [
           with_views("s_clicks", "d_raw", body="""
             select r.referrer, s.referrer_category, count(*) as events
             from d_raw r join s_clicks s using (event_id) group by 1, 2""")),
-    Query("k1_stream_landing", lambda s, f: _columns(s.read.parquet(f"{_landed(s, f)}/landed")), PARSED),
+    Query("k1_stream_landing", _landed, LANDED),
     Query("k2_stream_silver", _refined, REFINED),
+    Query("e3_late_events", _late, with_views("d_clicks", refined=REFINED_SQL, body="""
+        select * from (select cast(event_date as date) as event_date,
+          count(*) filter (cast(event_id as bigint) % 2 = 1 and event_us < newest - 600000000) as late_events,
+          count(*) filter (cast(event_id as bigint) % 2 = 0 or event_us >= newest - 600000000) as timely_events
+        from refined, (select max(event_us) as newest from refined where cast(event_id as bigint) % 2 = 0)
+        group by 1) where late_events > 0""")),
+    Query("t1_compacted_silver", _compacted_silver, with_views("d_clicks", refined=REFINED_SQL, body="""
+        select cast(event_date as date) as event_date, count(*) as events, count(distinct event_id) as different,
+          cast(sum(user_id) as bigint) as users,
+          cast(case when bool_or(cast(event_id as bigint) % 4 = 0) and bool_or(cast(event_id as bigint) % 4 = 1) then 1 else 0 end
+               as bigint) as folded
+        from refined group by 1""")),
+    Query("p1_click_rejects", _click_rejects, with_views("d_clicks", body=f"""
+        select 'malformed' as reject_reason, '{{not json' as message, count(*) as messages
+        from d_clicks where {BROKEN} and eid % 2 = 1 group by 1, 2""")),
     Query("p1_quarantine", _quarantined, with_views("d_orders", body="""
         select id, case when user_id % 11 = 0 then 'missing user_id' when id % 13 = 0 and unit_price > 0 then 'negative price' end
           as reject_reason from d_orders""")),

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import half_up
 from cartwheel.inventory import base
 from cartwheel.inventory.base import Query, h, with_views
 from cartwheel.operators import rates as ops
+from cartwheel.plans.staging import PAIR, stage_rates_since
+from cartwheel.session import materialise, scratch_dir
+from cartwheel.sinks.tables import overwrite_partitions
 from cartwheel.sources import domain
 
 DOCS = """
@@ -40,7 +45,27 @@ def _converted(spark, folder):
         "order_id", half_up(F.col("usd")).alias("usd"))
 
 
+CARRIED_SINCE = date(2001, 7, 29)
+
+
+def _carried(spark, folder):
+    """Closings brought up to date month by month as days arrive; then the last days from their month and one closing."""
+    path = scratch_dir(spark, "closings")
+    rates = domain.rates(spark, folder)
+    for first, until in ((None, "2000-11-14"), ("2000-11-15", "2001-06-30"), ("2001-07-01", "2001-08-31")):
+        known = rates.filter(F.col("exchange_date") <= F.lit(until).cast("date"))
+        before = None
+        if first:
+            month = F.trunc(F.lit(first).cast("date"), "month")
+            known = known.filter(F.col("exchange_date") >= month)
+            before = spark.read.parquet(path).filter(F.col("month") == F.add_months(month, -1))
+        closed = ops.monthly_closings(known, PAIR, "exchange_date", "exchange_rate", before, date.fromisoformat(until))
+        overwrite_partitions(materialise(closed, "closed"), path, ["month"])
+    return stage_rates_since(rates, spark.read.parquet(path), CARRIED_SINCE)
+
+
 QUERIES = [
+    Query("x4_carried_rates", _carried, with_views("s_rates", body=f"select * from s_rates where exchange_date >= date '{CARRIED_SINCE}'")),
     Query("x1_struct_to_map", _map_rows(True), with_views("d_rates", docs=DOCS, body="""
         select strftime(exchange_date, '%Y-%m-%d') || tm as _ingested_at, currency, rate from docs""")),
     Query("x1_struct_to_map_known", _map_rows(False), with_views("d_rates", docs=DOCS, body="""

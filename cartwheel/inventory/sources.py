@@ -16,7 +16,15 @@ from cartwheel.sources.files import Catalog
 
 
 def _change_feed(spark, folder):
-    return feed_columns(files.change_batch(spark, "orders", landed_feed(spark, folder)))
+    """The feed through the stream reader of the job, with two broken lines that must not appear."""
+    landing, out = landed_feed(spark, folder), scratch_dir(spark, "s2")
+    broken = spark.createDataFrame([('{"op": "c", "after": {"id": "many"}}',), ("{broken",)], "value STRING")
+    broken.write.option("compression", "none").text(f"{landing}/year=2024/month=01/day=03")
+    reader = files.change_stream(spark, "orders", landing)
+    query = (feed_columns(reader.filter(F.col(files.BROKEN_LINE).isNull())).writeStream.format("parquet")
+             .option("checkpointLocation", f"{out}/offsets").trigger(availableNow=True).start(f"{out}/rows"))
+    query.awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
 
 
 def _event_stream(spark, folder):

@@ -11,9 +11,10 @@ from cartwheel.inventory.base import Query, h, shown, snapshot_sql, with_views
 from cartwheel.inventory.marts import BEHAVIOUR_SQL, catalogue_sql
 from cartwheel.operators.catalogue import build_catalogue
 from cartwheel.operators.quality import content_hash
+from cartwheel.plans import customers
 from cartwheel.plans.windows import recompute_since
 from cartwheel.session import scratch_dir
-from cartwheel.sinks import tables, upkeep
+from cartwheel.sinks import intervals, tables, upkeep
 from cartwheel.sources import domain
 
 SHOWN_SALES = f"""
@@ -82,6 +83,29 @@ def _snapshots(spark, folder):
         F.count("*").alias("customers"), F.count_if("is_high_value").alias("vips"))
 
 
+STATE_DAYS = tuple(base.ORDERS_AS_OF - timedelta(days=n) for n in (3, 2, 1, 0))
+
+
+def _customer_states(spark, folder):
+    """Customers of four days, across the end of a month, stored as changes; each day's snapshot rebuilt from them.
+
+    Two in three of the users are there from the start, some leave after the first day.
+    """
+    path = scratch_dir(spark, "states")
+    for day in STATE_DAYS:
+        known = customers.customer_attributes(_users_on(base.users(spark, folder), day), base.orders(spark, folder), base.rates(spark, folder),
+                                              day, domain.rates(spark, folder))
+        for _ in range(2):  # the second time changes nothing
+            intervals.append_state(known, path, "user_id", day)
+    states = intervals.on_days(spark, path, "user_id", STATE_DAYS[0], STATE_DAYS[-1])
+    return shown(customers.seen_on(states, F.col("day")), ("total_revenue_usd",), ("avg_order_value_usd",))
+
+
+def _users_on(users, day):
+    number = STATE_DAYS.index(day)
+    return users.filter(f"user_id % 3 <> {2 if number < 2 else 9} and user_id % 7 <> {1 if number else 9}")
+
+
 def _insert_absent(spark, folder):
     """Catalogue of the first days, then of all days: products already there keep their first values."""
     path = scratch_dir(spark, "catalogue")
@@ -182,6 +206,12 @@ QUERIES = [
         "s_users", "o_usd", two_days=" union all ".join(f"select * from ({snapshot_sql(str(d))})" for d in SNAPSHOT_DAYS),
         body="""select snapshot_date, customer_segment, count(*) as customers, count(*) filter (is_high_value) as vips
                 from two_days group by 1, 2""")),
+    Query("k7_customer_states", _customer_states, with_views(
+        "s_users", "o_usd", days=" union all ".join(
+            f"select * from ({snapshot_sql(str(d))}) where user_id % 3 <> {2 if n < 2 else 9} and user_id % 7 <> {1 if n else 9}"
+            for n, d in enumerate(STATE_DAYS)),
+        body=f"""select * replace ({h("total_revenue_usd")} as total_revenue_usd, {h("avg_order_value_usd", 6)} as avg_order_value_usd)
+                 from days""")),
     Query("k8_insert_absent", _insert_absent, with_views(
         rows=BEHAVIOUR_SQL, early="select * from rows where event_time < '2024-01-02'",
         a=catalogue_sql("early"), b=catalogue_sql("rows"),

@@ -5,24 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def event_key(feed: DataFrame, pk: str) -> Column:
-    """Key of the changed row; a delete carries it only in the image before the change."""
-    after = F.col(f"after.{pk}")
-    if "before" in feed.columns and isinstance(feed.schema["before"].dataType, T.StructType):
-        return F.coalesce(after, F.col(f"before.{pk}"))
-    return after
+    """Key of the changed row, from whichever image the envelopes carry: a delete only has the one before."""
+    return F.coalesce(*[F.col(image)[pk] for image in ("after", "before") if image in feed.columns])
 
 
 def flatten(feed: DataFrame, pk: str = "id") -> DataFrame:
-    """Envelopes → flat rows: op, ts_ms, key, the columns after the change, is_deleted; ``lsn`` breaks ties."""
-    columns = [f.name for f in feed.schema["after"].dataType if f.name != pk]
-    lsn = F.col("source.lsn") if "source" in feed.columns else F.lit(None).cast("bigint")
-    return feed.select(
-        "op", "ts_ms", event_key(feed, pk).alias(pk), *[F.col(f"after.{c}") for c in columns],
-        (F.col("op") == "d").alias("is_deleted"), lsn.alias("lsn"))
+    """Envelopes (``schemas.envelope``) → flat rows: op, ts_ms, key, the columns after the change, is_deleted; ``lsn`` breaks ties."""
+    position = F.col("source")["lsn"] if "source" in feed.columns else F.lit(None).cast("bigint")
+    parts = feed.select("op", "ts_ms", event_key(feed, pk).alias(pk), F.col("after").dropFields(pk).alias("_image"),
+                        F.col("op").eqNullSafe("d").alias("is_deleted"), position.alias("lsn"))
+    return parts.select("op", "ts_ms", pk, "_image.*", "is_deleted", "lsn")
 
 
 def split_keyless(rows: DataFrame, pk: str) -> tuple[DataFrame, DataFrame]:

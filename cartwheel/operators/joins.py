@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Rows of a few short columns, so about 10 MB: the size Spark itself broadcasts by default.
@@ -22,3 +25,19 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "le
     if (right if bound is None else bound).count() <= max_rows:
         right = F.broadcast(right)
     return left.join(right, on, how)
+
+
+def value_ranges(rows: DataFrame, column: str, pieces: int = 64) -> list[tuple[int, int]]:
+    """At most ``pieces`` closed ranges that together hold every value of a whole-number column."""
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return []
+    width = (high - low) // pieces + 1
+    piece = F.floor((F.col(column) - F.lit(low)) / F.lit(width))
+    found = rows.filter(F.col(column).isNotNull()).groupBy(piece.alias("piece")).agg(F.min(column).alias("a"), F.max(column).alias("b"))
+    return sorted((r.a, r.b) for r in found.collect())
+
+
+def within(column: str, ranges: list[tuple[int, int]]) -> Column:
+    """Whether the column lies in one of the ranges: plain comparisons, which a scan checks against its statistics."""
+    return reduce(or_, [F.col(column).between(a, b) for a, b in ranges], F.lit(False))

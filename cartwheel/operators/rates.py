@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -73,6 +75,33 @@ def forward_fill(df: DataFrame, keys: list[str], order: str, value: str, out: st
     )
 
 
+def monthly_closings(df: DataFrame, keys: list[str], order: str, value: str, before: DataFrame | None, until: date) -> DataFrame:
+    """Per key and month the last non-NULL ``value`` at or before its end, for all months of ``df`` up to that of ``until``.
+
+    ``before`` (keys and ``value``) holds the closings of the month before ``df`` begins. A key without rows in a month keeps
+    its value.
+    """
+    month = F.trunc(order, "month")
+    own = (df.filter(F.col(value).isNotNull()).groupBy(*keys, month.alias("month"))
+           .agg(F.max_by(value, order).alias(value)))
+    first = df.agg(F.min(month)).first()[0] or until
+    if before is not None:
+        own = own.unionByName(before.select(*keys, F.add_months(F.trunc(F.lit(first), "month"), -1).alias("month"), value))
+    months = F.sequence(F.add_months(F.trunc(F.lit(first), "month"), -1), F.trunc(F.lit(until), "month"), F.expr("interval 1 month"))
+    grid = own.select(*keys).distinct().withColumn("month", F.explode(months))
+    so_far = Window.partitionBy(*keys).orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
+    filled = grid.join(own, [*keys, "month"], "left").withColumn(value, F.last(value, ignorenulls=True).over(so_far))
+    return filled.filter((F.col("month") >= F.trunc(F.lit(first), "month")) & F.col(value).isNotNull())
+
+
+def forward_fill_from(df: DataFrame, keys: list[str], order: str, value: str, out: str, before: DataFrame, start: date) -> DataFrame:
+    """``forward_fill`` of rows from the month of ``start`` on, with what the months before them leave (``before``: keys, ``value``)."""
+    first = start.replace(day=1)
+    carried = before.select(*keys, F.date_sub(F.lit(first), 1).alias(order), value)
+    rows = carried.unionByName(df.filter(F.col(order) >= F.lit(first)), allowMissingColumns=True)
+    return forward_fill(rows, keys, order, value, out).filter(F.col(order) >= F.lit(start))
+
+
 def with_rate(facts: DataFrame, staged_rates: DataFrame, bound: DataFrame | None = None) -> DataFrame:
     """Add the USD rate of (order_date, currency); NULL where there is none.
 

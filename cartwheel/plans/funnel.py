@@ -14,6 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import flag, half_up, pct, ratio
+from cartwheel.operators.joins import value_ranges, within
 
 FUNNEL_KEYS = ["event_date", "device", "referrer_category"]
 
@@ -22,13 +23,17 @@ def _seen(condition: Column) -> Column:
     return F.max(flag(condition & F.col("user_id").isNotNull()))
 
 
-def completed_buyers(events: DataFrame, orders: DataFrame) -> DataFrame:
+def completed_buyers(events: DataFrame, orders: DataFrame, prune: bool = False) -> DataFrame:
     """(date, user) with a confirmation whose order really was completed; each pair once, so joins do not multiply rows.
 
-    Of the orders only the ids of the completed ones are read. Nothing is counted while planning:
-    adaptive execution sees the sizes after the shuffle and broadcasts the smaller side if it may.
+    Of the orders only the ids of the completed ones are read, and with ``prune`` only where the confirmed ids lie: the
+    ranges they fall into reach the scan, which skips the row groups outside (an order confirmed in a short window has an
+    id near its end). Spark's own runtime filter then drops other ids of those row groups before the shuffle. No order is
+    lost by either, however old it is. Sizes are left to adaptive execution, which broadcasts the smaller side if it may.
     """
     confirmations = events.filter((F.col("step") == "confirmation") & F.col("real_order_id").isNotNull())
+    if prune:
+        orders = orders.filter(within("order_id", value_ranges(confirmations, "real_order_id")))
     done = orders.filter(F.col("status") == "COMPLETED").select(F.col("order_id").alias("real_order_id"))
     return confirmations.join(done, "real_order_id", "left_semi").select("event_date", "user_id").distinct()
 
@@ -37,7 +42,7 @@ def session_sizes(events: DataFrame) -> DataFrame:
     return events.groupBy("session_id").agg(F.count("*").alias("event_count"))
 
 
-def _user_grain(events: DataFrame, orders: DataFrame) -> DataFrame:
+def _user_grain(events: DataFrame, orders: DataFrame, prune: bool) -> DataFrame:
     kind = F.col("event_type")
     users = events.groupBy(*FUNNEL_KEYS, "user_id").agg(
         _seen(kind == "view_item").alias("viewed"), _seen(kind == "add_to_cart").alias("carted"),
@@ -45,7 +50,7 @@ def _user_grain(events: DataFrame, orders: DataFrame) -> DataFrame:
         F.sum("duration_ms").alias("ms"), F.count("duration_ms").alias("timed"),
         F.sum("scroll_depth_pct").alias("scroll"), F.count("scroll_depth_pct").alias("scrolled"),
     )
-    buyers = completed_buyers(events, orders).withColumn("completed", F.lit(1))
+    buyers = completed_buyers(events, orders, prune).withColumn("completed", F.lit(1))
     return users.join(buyers, ["event_date", "user_id"], "left").select(
         *FUNNEL_KEYS, "viewed", "carted", "checkout", "confirmed",
         F.coalesce("completed", F.lit(0)).alias("completed"), "ms", "timed", "scroll", "scrolled",
@@ -75,7 +80,7 @@ def daily_funnel(events: DataFrame, orders: DataFrame, since: date | None = None
     sums = ["viewed", "carted", "checkout", "confirmed", "completed", "ms", "timed", "scroll", "scrolled",
             "session", "bounced"]
     groups = (
-        _user_grain(in_window, orders)
+        _user_grain(in_window, orders, since is not None)
         .unionByName(sessions, allowMissingColumns=True)
         .groupBy(*FUNNEL_KEYS)
         .agg(*[F.sum(c).alias(c) for c in sums])

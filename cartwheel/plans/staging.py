@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from cartwheel.functions.scalars import iso_timestamp, referrer_category
 from cartwheel.operators.changes import live
-from cartwheel.operators.rates import forward_fill
+from cartwheel.operators.rates import forward_fill, forward_fill_from
 
 
 def _or_unknown(c: str) -> Column:
@@ -74,6 +74,19 @@ def stage_rates(rates: DataFrame) -> DataFrame:
                         "exchange_rate")
 
 
+PAIR = ["base_currency", "target_currency"]
+
+
+def stage_rates_since(rates: DataFrame, closings: DataFrame, since: date) -> DataFrame:
+    """``stage_rates`` from ``since`` on: reads the rates of its month and later, and the closings of the month before."""
+    first = since.replace(day=1)
+    before = closings.filter(F.col("month") == F.add_months(F.lit(first), -1)).select(*PAIR, F.col("exchange_rate").alias("raw_exchange_rate"))
+    raw = rates.filter(F.col("exchange_date") >= F.lit(first)).select(
+        "exchange_date", *PAIR, F.col("exchange_rate").alias("raw_exchange_rate"))
+    return forward_fill_from(raw, PAIR, "exchange_date", "raw_exchange_rate", "exchange_rate", before, since).select(
+        *PAIR, "exchange_date", "raw_exchange_rate", "exchange_rate")
+
+
 CLICK_COLUMNS = (
     "event_id", "user_id", "session_id", "event_type", "device", "step", "real_order_id", "item_id", "duration_ms",
     "scroll_depth_pct", "search_query", "result_count", "click_target", "quantity", "cart_total", "purchase_amount",

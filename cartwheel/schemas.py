@@ -48,10 +48,58 @@ def envelope(payload: T.StructType) -> T.StructType:
     )
 
 
-def change_schema(table: str) -> T.StructType:
+# types that hold every value of those before them
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def _whole_digits(kind: T.DataType) -> int | None:
+    """Digits before the point that a whole number or decimal type can hold."""
+    if isinstance(kind, T.DecimalType):
+        return kind.precision - kind.scale
+    return dict(zip(_WHOLE, (3, 5, 10, 19))).get(kind.simpleString())
+
+
+def wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The narrowest type that holds all values of both; ValueError where there is none."""
+    if a == b:
+        return a
+    names = {a.simpleString(), b.simpleString()}
+    if names <= set(_WHOLE):
+        return a if _WHOLE.index(a.simpleString()) > _WHOLE.index(b.simpleString()) else b
+    if names == {"float", "double"}:
+        return T.DoubleType()
+    if names == {"date", "timestamp"}:
+        return T.TimestampType()
+    digits = [_whole_digits(t) for t in (a, b)]
+    if None not in digits:
+        scale = max(getattr(t, "scale", 0) for t in (a, b))
+        if max(digits) + scale <= 38:
+            return T.DecimalType(max(digits) + scale, scale)
+    raise ValueError(f"no type holds {a.simpleString()} and {b.simpleString()}")
+
+
+def resolved(*versions: str | T.StructType) -> T.StructType:
+    """One schema for rows of several versions: columns in the order they first came, each of the widest type."""
+    found: dict[str, T.DataType] = {}
+    for version in versions:
+        for field in (ddl(version) if isinstance(version, str) else version):
+            try:
+                found[field.name] = wider(found.get(field.name, field.dataType), field.dataType)
+            except ValueError as error:
+                raise ValueError(f"{field.name}: {error}") from None
+    return T.StructType([T.StructField(name, kind) for name, kind in found.items()])
+
+
+def payload(table: str, *later: str) -> T.StructType:
+    """Columns of a captured table over all its versions: the registered one and ``later`` ones."""
     if table not in PAYLOADS:
         raise ValueError(f"no change-feed schema for {table!r}; known tables: {', '.join(sorted(PAYLOADS))}")
-    return envelope(ddl(PAYLOADS[table]))
+    return resolved(PAYLOADS[table], *later)
+
+
+def change_schema(table: str, *later: str) -> T.StructType:
+    """Envelope around the rows of a table. Lines of an older version lack the columns added since, which are NULL then."""
+    return envelope(payload(table, *later))
 
 
 def click_schema() -> T.StructType:

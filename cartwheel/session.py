@@ -11,6 +11,8 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # times with statistics, so that filters on them skip row groups
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # streamed sessions of one user are merged in every task before they are shuffled
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

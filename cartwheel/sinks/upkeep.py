@@ -34,15 +34,11 @@ def crowded_folders(listed: DataFrame, target_bytes: int = TARGET_FILE_BYTES) ->
         "needed", F.greatest(F.ceil(F.col("bytes") / target_bytes), F.lit(1))).filter("files > needed")
 
 
-def _replace_partitions(rows: DataFrame, path: str, by: list[str], target_bytes: int) -> None:
-    spark = rows.sparkSession
-    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    before = spark.conf.get(setting, None)
-    spark.conf.set(setting, str(target_bytes))
-    try:
-        overwrite_partitions(rows, path, by)
-    finally:
-        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+def sized_session(spark: SparkSession, target_bytes: int) -> SparkSession:
+    """A session of its own in which rebalanced writes make files of about ``target_bytes``; no other work sees the setting."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return own
 
 
 def compact(spark: SparkSession, path: str, by: list[str], target_bytes: int = TARGET_FILE_BYTES) -> int:
@@ -57,20 +53,21 @@ def compact(spark: SparkSession, path: str, by: list[str], target_bytes: int = T
     if files.exists(spark, f"{path}/_spark_metadata"):
         raise ValueError(f"{path} belongs to a streaming file sink")
     copy = f"{path}/_compact"
+    own = sized_session(spark, target_bytes)
     if files.exists(spark, f"{copy}/_SUCCESS"):
-        saved = spark.read.parquet(copy)
+        saved = own.read.parquet(copy)
         if files.has_data(spark, path):
-            there = spark.read.parquet(path).select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
+            there = own.read.parquet(path).select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
             same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
             saved = saved.join(there, same, "left_anti")
-        _replace_partitions(saved, path, by, target_bytes)
+        overwrite_partitions(saved, path, by)
     files.delete(spark, copy)
     folders = [r.folder for r in crowded_folders(list_files(spark, path), target_bytes).select("folder").collect()]
     if not folders:
         return 0
     rows = spark.read.option("basePath", path).parquet(*folders)
     rows.write.parquet(copy)
-    _replace_partitions(spark.read.schema(rows.schema).parquet(copy), path, by, target_bytes)
+    overwrite_partitions(own.read.schema(rows.schema).parquet(copy), path, by)
     files.delete(spark, copy)
     return len(folders)
 
@@ -125,9 +122,14 @@ def apply_retention(spark: SparkSession, root: str, as_of: date, rules: dict[str
     """Delete what is past retention below ``root``; returns the number of folders and files deleted.
 
     A folder whose objects are all expired goes at once (landing folders are dated, so that is the
-    usual case); single expired files of other folders follow one partition of the list at a time.
+    usual case); single expired files of other folders follow one partition of the list at a time. Several
+    are deleted at once. Tables of a streaming file sink are refused: their log would go on listing the files.
     """
     marker = root.rstrip("/") + "/"
+    for prefix in rules or RETENTION_DAYS:
+        tables = [prefix.rstrip("/"), *[prefix + name for name in files.subfolders(spark, marker + prefix)]]
+        if any(files.exists(spark, f"{marker}{t}/_spark_metadata") for t in tables):
+            raise ValueError(f"{marker}{prefix} belongs to a streaming file sink")
     listed = list_files(spark, root, "*").select(
         "path", "folder", F.substring_index("path", marker, -1).alias("key"), F.col("modificationTime").alias("written"))
     expired = materialise(expired_objects(listed, F.lit(as_of), rules), "expired")
@@ -135,4 +137,4 @@ def apply_retention(spark: SparkSession, root: str, as_of: date, rules: dict[str
     whole = expired.join(kept, "folder", "left_anti").select(F.col("folder").alias("target")).distinct()
     single = expired.join(kept, "folder", "left_semi").select(F.col("path").alias("target"))
     targets = materialise(whole.unionByName(single), "targets")
-    return sum(bool(files.delete(spark, row.target)) for row in targets.toLocalIterator())
+    return files.each(files.delete, spark, (row.target for row in targets.toLocalIterator()))

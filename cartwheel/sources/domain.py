@@ -181,9 +181,9 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
         .alias("source"))
 
 
-def click_bytes(spark: SparkSession, folder: str) -> DataFrame:
-    """Click events as broker messages: a binary JSON ``value``; every 500th message is broken."""
-    c = clicks(spark, folder)
+def click_bytes(spark: SparkSession, folder: str, which: str = "true") -> DataFrame:
+    """Click events as broker messages: a binary JSON ``value``; every 500th message is broken. ``which`` chooses events."""
+    c = clicks(spark, folder).filter(which)
     text = F.to_json(F.struct(*[
         F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_timestamp")
         if name == "event_timestamp" else F.col(name) for name in c.columns

@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 
 from cartwheel.schemas import BEHAVIOUR_CSV, change_schema, ddl, landed_click_schema
 
-# year / month / day folders below a landing folder
-LANDED_JSON = "*/*/*/*.json"
+# year / month / day folders below a landing folder; our own landing job has a folder per batch below the day
+LANDED_JSON = "*/*/*/{*.json,*.txt,*/*.txt}"
 LANDING_ZONE = "Asia/Ho_Chi_Minh"
 # column of a line that could not be read
 BROKEN_LINE = "broken_line"
@@ -28,9 +28,14 @@ def missing_ok(read: Callable[[], DataFrame]) -> DataFrame | None:
         raise
 
 
-def change_stream(spark: SparkSession, table: str, landing: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Change events of a table from its dated JSON landing folder; lines that do not fit the schema are in ``BROKEN_LINE``."""
-    schema = T.StructType([*change_schema(table).fields, T.StructField(BROKEN_LINE, T.StringType())])
+def change_stream(spark: SparkSession, table: str, landing: str, files_per_trigger: int | None = None,
+                  versions: tuple[str, ...] = ()) -> DataFrame:
+    """Change events of a table from its dated JSON landing folder; lines that do not fit the schema are in ``BROKEN_LINE``.
+
+    ``versions`` are later versions of the table's columns: lines of all versions are read as one schema that holds them.
+    A value that this schema does not hold, as when a producer turns a number into text, makes its line a broken one.
+    """
+    schema = T.StructType([*change_schema(table, *versions).fields, T.StructField(BROKEN_LINE, T.StringType())])
     reader = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", BROKEN_LINE))
     if files_per_trigger:
@@ -38,8 +43,12 @@ def change_stream(spark: SparkSession, table: str, landing: str, files_per_trigg
     return reader.json(f"{landing}/{LANDED_JSON}")
 
 
-def change_batch(spark: SparkSession, table: str, landing: str) -> DataFrame:
-    return spark.read.schema(change_schema(table)).option("mode", "DROPMALFORMED").json(f"{landing}/{LANDED_JSON}")
+def unknown_columns(spark: SparkSession, table: str, landing: str, versions: tuple[str, ...] = ()) -> DataFrame:
+    """(column, lines) of row images that no version of the table has: what a reader would leave out without a word."""
+    known = change_schema(table, *versions)["after"].dataType.names
+    line = F.get_json_object("value", "$.after")
+    names = spark.read.text(f"{landing}/{LANDED_JSON}").select(F.explode(F.json_object_keys(line)).alias("column"))
+    return names.filter(~F.col("column").isin(known)).groupBy("column").agg(F.count("*").alias("lines"))
 
 
 def landed_click_stream(spark: SparkSession, path: str, files_per_trigger: int = 100,

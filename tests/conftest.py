@@ -31,3 +31,20 @@ def plan_of(df) -> str:
 
 def rows(df) -> list:
     return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def scanned_rows(spark, df, column: str) -> int:
+    """Rows that the scans of files with the column gave out when ``df`` ran: those of row groups that were not skipped."""
+    df.collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    store = spark._jsparkSession.sharedState().statusStore()
+    done = store.executionsList().last().executionId()
+    values, nodes, total = store.executionMetrics(done), store.planGraph(done).allNodes(), 0
+    for i in range(nodes.size()):
+        node = nodes.apply(i)
+        if node.name().startswith("Scan parquet") and f"{column}#" in node.desc():
+            for j in range(node.metrics().size()):
+                metric = node.metrics().apply(j)
+                if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                    total += int(values.apply(metric.accumulatorId()).replace(",", ""))
+    return total

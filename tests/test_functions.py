@@ -38,11 +38,32 @@ def test_file_month(spark, name, parts):
     assert (tuple(got) if got else None) == parts
 
 
-@pytest.mark.parametrize("x, want", [(1.005, 1.01), (2.675, 2.68), (0.125, 0.13), (33.333, 33.33), (-0.125, -0.13), (-1.005, -1.01), (0.0, 0.0), (None, None)])
+@pytest.mark.parametrize("x, want", [(1.005, 1.01), (2.675, 2.68), (0.125, 0.13), (33.333, 33.33), (-0.125, -0.13), (-1.005, -1.01), (0.0, 0.0), (None, None),
+                                     (0.0249999995, 0.02), (-0.0249999995, -0.02), (93000000000000016.0, 93000000000000016.0), (1e27, 1e27), (1e30, None),
+                                     (float("nan"), None), (float("inf"), None), (1e-20, 0.0)])
 def test_half_up(spark, x, want):
     assert one(spark, fn.half_up(F.lit(x).cast("double"))) == want
 
 
+@pytest.mark.parametrize("x, want, cents", [("92000000000000000.005", 92000000000000000.01, 9200000000000000001), ("0.0249999995", 0.02, 2),
+                                            ("-2.675", -2.68, -268), ("1.0049999999", 1.0, 100)])
+def test_decimals_are_rounded_exactly(spark, x, want, cents):
+    exact = F.lit(x).cast("decimal(38,10)")
+    assert one(spark, fn.half_up(exact)) == want and one(spark, fn.cents(exact)) == cents
+
+
+def test_versions_of_a_schema():
+    wide = schemas.resolved("a INT, b FLOAT, c DECIMAL(10,2), d DATE, e STRING, f INT", "f DECIMAL(12,4), a BIGINT, b DOUBLE, c DECIMAL(8,4), d TIMESTAMP, g INT")
+    assert [(f.name, f.dataType.simpleString()) for f in wide] == [
+        ("a", "bigint"), ("b", "double"), ("c", "decimal(12,4)"), ("d", "timestamp"), ("e", "string"), ("f", "decimal(14,4)"), ("g", "int")]
+    for other in ("a STRING", "a BOOLEAN", "a DECIMAL(38,37)"):
+        with pytest.raises(ValueError, match="^a: no type holds"):
+            schemas.resolved("a INT", other)
+    assert schemas.change_schema("orders", "channel STRING")["after"].dataType["channel"].dataType.simpleString() == "string"
+    with pytest.raises(ValueError, match="quantity"):
+        schemas.change_schema("orders", "quantity STRING")
+
+
 def test_masks(spark):
     assert one(spark, fn.mask_phone(F.lit("+84 912-345-678"))) == "+** ***-***-678"
     masked = one(spark, fn.mask_email(F.lit("An.Person@shop.example")))

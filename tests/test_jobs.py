@@ -8,7 +8,6 @@ from conftest import rows
 
 from cartwheel import jobs
 from cartwheel.operators.quality import content_hash
-from cartwheel.streaming.clicks import land_clicks
 
 AS_OF = date(2024, 1, 10)
 
@@ -48,12 +47,12 @@ def lake(spark, tmp_path_factory):
     for day in range(1, 10):
         write(root / f"bronze/exchange_rates/year=2024/month=01/day={day:02d}/r.json",
               {"base_code": "USD", "rates": {"EUR": None if day == 9 else 0.5, "USD": 1.0}, "_ingested_at": f"2024-01-{day:02d}T08:00:00+00:00"}, indent=2)
-    values = [click(1, 1, "a", "view_item", 8), click(2, 1, "a", "add_to_cart", 8),
+    values = [b"{broken", click(9, None, "z", "view_item", 8), click(1, 1, "a", "view_item", 8), click(2, 1, "a", "add_to_cart", 8),
               click(3, 1, "a", "checkout", 9, step="confirmation", real_order_id=8, purchase_amount=100.0), click(4, 2, "b", "view_item", 9)]
     spark.createDataFrame([(bytearray(v),) for v in values], "value BINARY").write.parquet(str(root / "messages"))
-    land_clicks(spark.readStream.schema("value BINARY").parquet(str(root / "messages")), str(root / "bronze/clickstream"),
-                str(root / "o"), every=None).awaitTermination()
-    return jobs.Lake(spark, str(root))
+    lake = jobs.Lake(spark, str(root))
+    jobs.land(lake, spark.readStream.schema("value BINARY").parquet(str(root / "messages")), every=None).awaitTermination()
+    return lake
 
 
 def ingest(lake):
@@ -62,6 +61,10 @@ def ingest(lake):
     assert jobs.load_rates(lake) and jobs.refine(lake)
 
 
+def spark_of(lake):
+    return lake.spark
+
+
 def gold_state(lake):
     return {m: tuple(content_hash(lake.gold(m)).first()) for m in jobs.MART_DATES}
 
@@ -97,7 +100,18 @@ def test_reruns_change_nothing_and_late_updates_arrive(lake, tmp_path):
     assert lake.gold("customer_snapshot").count() == 3              # one snapshot a day, whatever is run again
     jobs.refresh_mart(lake, "customer_snapshot", date(2024, 1, 11))
     assert lake.gold("customer_snapshot").count() == 6
+    snapshots = lake.gold("customer_snapshot").filter("snapshot_date = '2024-01-10'").orderBy("user_id").collect()
+    jobs.record_customers(lake, date(2024, 1, 10))
+    rebuilt = jobs.customers_on(lake, AS_OF, AS_OF).orderBy("user_id").select(lake.gold("customer_snapshot").columns).collect()
+    assert [r.user_id for r in rebuilt] == [r.user_id for r in snapshots]
+    assert {(r.event_date.day, r.users) for r in jobs.active_users(lake, 2).collect()} == {(8, 1), (9, 2)}
+    assert rows(jobs.rejected(lake)) == [("clicks", "missing user_id", 1), ("landed clicks", "malformed", 1)]
+    before = {t: rows(lake.silver(t)) for t in ("orders", "users", "clickstream")}
     assert jobs.maintain(lake, AS_OF).count() == 5
+    assert {t: rows(lake.silver(t)) for t in before} == before     # folded, the same rows
+    assert jobs.rebucket(lake, "orders", 3).endswith("orders_3_buckets")
+    moved = jobs.runs.read_runs(spark_of(lake), lake.path("silver", "orders_3_buckets"), "id").select(lake.silver("orders").columns)
+    assert rows(moved) == before["orders"]
     fresh = {r.table: r.lag_minutes for r in jobs.mart_freshness(lake, datetime(2024, 1, 10, 0, 45, tzinfo=timezone.utc)).collect()}
     assert set(fresh) == set(jobs.MART_DATES) and fresh["daily_funnel"] == fresh["daily_sales"] == 45
 
