@@ -2,9 +2,11 @@
 
 Texts become token ids and an end id; longer documents are cut into whole sequences and one shorter first piece. The
 shorter pieces are dealt into lanes of about ``LANE_PIECES`` pieces, whatever the table holds, so a lane is a bounded
-piece of work and more data means more lanes; whole sequences need none. A lane receives its pieces longest first and packs them online: open bins hang in
-lists by free space, a bitset has a bit for every free space that occurs, and the smallest sufficient one is its lowest
-set bit from the piece's length on. At most ``OPEN_BINS`` bins are open; when another is needed, the fullest closes.
+piece of work and more data means more lanes; whole sequences need none. Pieces arrive in a lane in the order of a hash,
+in handfuls of ``HANDFUL`` that are placed longest first, and are packed online: open bins hang in lists by free space, a
+bitset has a bit for every free space that occurs, and the smallest sufficient one is its lowest set bit from the piece's
+length on. At most ``OPEN_BINS`` bins are open; when another is needed, the fullest closes for good. So a task holds a
+handful of pieces and the open bins, however long its lane is.
 
 Defined results: a null or empty text is the end id alone; repeated rows are packed as often as they come; very long
 texts are cut, never shortened; an empty table gives no rows; other columns are not carried.
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,9 @@ from cartwheel.llm.tokenize import default_path, groups, tokenizer
 
 SEQUENCE = 1024
 END_ID = 2
-LANE_PIECES = 4096
-OPEN_BINS = 2048
+LANE_PIECES = 8192
+OPEN_BINS = 256
+HANDFUL = 512
 _LANE_BITS = 24
 
 
@@ -37,7 +41,7 @@ class BestFit:
         self.capacity, self.open_bins = capacity, open_bins
         self.spaces = 0
         self.bins: list[list[int]] = [[] for _ in range(capacity + 1)]
-        self.open = self.count = 0
+        self.open = self.count = self.closed = 0
 
     def _take(self, space: int) -> int:
         found = self.bins[space].pop()
@@ -59,12 +63,21 @@ class BestFit:
         if left:
             if self.open == self.open_bins:
                 self._take((self.spaces & -self.spaces).bit_length() - 1)  # the fullest closes
+                self.closed += 1
             self.bins[left].append(chosen)
             self.spaces |= 1 << left
             self.open += 1
         return chosen, self.capacity - space
 
 
+    def place_all(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(bins, offsets) of a handful of pieces, which are placed longest first."""
+        where = np.empty((len(lengths), 2), np.int64)
+        for i in np.argsort(-lengths, kind="stable").tolist():
+            where[i] = self.place(int(lengths[i]))
+        return where[:, 0], where[:, 1]
+
+
 def pieces(docs: DataFrame, path: str | None = None, sequence: int = SEQUENCE, end_id: int = END_ID,
            with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if asked for, the ids."""
@@ -93,33 +106,55 @@ def pieces(docs: DataFrame, path: str | None = None, sequence: int = SEQUENCE, e
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
-def pack(cut: DataFrame, sequence: int = SEQUENCE, lane_pieces: int = LANE_PIECES, open_bins: int = OPEN_BINS) -> DataFrame:
-    """The pieces with sequence_id and offset. ``cut`` is read twice, so it should be a stored table."""
+def _lanes(batches: Iterator[pa.RecordBatch], handful: int) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """(lane, its rows in handfuls) of rows sorted by lane, their first column."""
+
+    def cut() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for batch in batches:
+            lane = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(lane[1:] != lane[:-1]) + 1).tolist(), len(lane)]
+            for a, b in zip(edges, edges[1:]):
+                if b > a:
+                    yield int(lane[a]), batch.slice(a, b - a)
+
+    def whole(parts: Iterator[tuple[int, pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for _, part in parts:
+            while part.num_rows:
+                taken = part.slice(0, handful - n)
+                held.append(taken)
+                n += taken.num_rows
+                part = part.slice(taken.num_rows)
+                if n == handful:
+                    yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                    held, n = [], 0
+        if held:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for lane, parts in groupby(cut(), key=lambda x: x[0]):
+        yield lane, whole(parts)
+
+
+def pack(cut: DataFrame, sequence: int = SEQUENCE, lane_pieces: int = LANE_PIECES, open_bins: int = OPEN_BINS,
+         handful: int = HANDFUL) -> DataFrame:
+    """The pieces with sequence_id and offset. ``cut`` (no columns _lane, _arrival) is read twice, so it should be a stored table."""
     whole = F.col("length") == sequence
     lanes = max(1, -(-cut.filter(~whole).count() // lane_pieces))
     columns = cut.columns
     # a row's number parts rows alike, too; the stored table gives a repeated task the same numbers
     row = F.monotonically_increasing_id()
-    laned = (cut.withColumn("_row", row).filter(~whole).withColumn("_lane", F.pmod(F.xxhash64("doc_id", "piece", "_row"), F.lit(lanes)))
-             .select(*columns, "_lane")
-             .repartition("_lane").sortWithinPartitions("_lane", F.desc("length"), "doc_id", "piece"))
+    arrival = F.xxhash64("doc_id", "piece", "_row")
+    laned = (cut.withColumn("_row", row).filter(~whole).withColumn("_arrival", arrival).withColumn("_lane", F.pmod("_arrival", F.lit(lanes)))
+             .select("_lane", "_arrival", *columns).repartition("_lane").sortWithinPartitions("_lane", "_arrival"))
     schema = cut.schema.add("sequence_id", "long").add("offset", "long")
-    at_lane, at_length = len(columns), columns.index("length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lane, fit = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            where = []
-            for of, length in zip(batch.column(at_lane).to_pylist(), batch.column(at_length).to_pylist()):
-                if of != lane:
-                    lane, fit = of, BestFit(sequence, open_bins)
-                number, offset = fit.place(length)
-                where.append(((lane << _LANE_BITS) | number, offset))
-            ids, offsets = zip(*where)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at_lane], pa.array(ids, pa.int64()), pa.array(offsets, pa.int64())],
-                                             names=[*columns, "sequence_id", "offset"])
+        for lane, handfuls in _lanes(batches, handful):
+            fit = BestFit(sequence, open_bins)
+            for batch in handfuls:
+                number, offset = fit.place_all(batch.column("length").to_numpy())
+                yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array((lane << _LANE_BITS) | number), pa.array(offset)],
+                                                 names=[*columns, "sequence_id", "offset"])
 
     # whole pieces need no place beside others: sequences of their own, numbered below zero
     alone = cut.withColumn("sequence_id", -1 - row).withColumn("offset", F.lit(0).cast("bigint")).filter(whole)

@@ -67,8 +67,26 @@ def test_few_sequences_and_many_lanes(spark):
     lengths = rng.integers(1, 1024, 6000)
     cut = spark.createDataFrame([(i, 0, 0, int(n), i) for i, n in enumerate(lengths)],
                                 "doc_id long, piece int, start long, length long, ids_crc32 long")
-    used = check_sequences(packing.pack(cut, lane_pieces=2000, open_bins=1000).collect())
-    assert used <= 1.02 * lengths.sum() / 1024
+    used = check_sequences(packing.pack(cut, lane_pieces=2000).collect())
+    assert used <= 1.04 * lengths.sum() / 1024  # evenly spread lengths: pieces above a half have few partners
+
+
+def test_the_bound_acts_in_the_querys_own_path(spark, monkeypatch):
+    """The lanes of the query, replayed from its rows in their order of arrival: the same places, and bins that close."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    cut = spark.createDataFrame([tuple(r) for r in packing.pieces(docs).collect()], "doc_id long, piece int, start long, length long, ids_crc32 long").cache()
+    rows = [r for r in packing.pack(cut).collect() if r.length < 1024]
+    assert len(rows) > 900 and {r.sequence_id >> packing._LANE_BITS for r in rows} == {0}
+    fit = packing.BestFit(1024, packing.OPEN_BINS)
+    lengths = np.array([r.length for r in rows])
+    places = [fit.place_all(lengths[i: i + packing.HANDFUL]) for i in range(0, len(rows), packing.HANDFUL)]
+    assert np.concatenate([p[0] for p in places]).tolist() == [r.sequence_id for r in rows]
+    assert np.concatenate([p[1] for p in places]).tolist() == [r.offset for r in rows]
+    for _ in range(8):  # a lane of the usual length
+        for i in range(0, len(rows), packing.HANDFUL):
+            fit.place_all(lengths[i: i + packing.HANDFUL])
+    assert fit.closed > 0 and fit.open <= packing.OPEN_BINS
+    assert fit.count <= 1.015 * 9 * lengths.sum() / 1024
 
 
 def test_fullest_bin_closes_first():
