@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from cases import DOCS, edge_docs, sentence, stored
 
@@ -39,12 +40,12 @@ def passages(spark):
     return spark.createDataFrame(rows, DOCS)
 
 
-@pytest.mark.parametrize("extra,block_bytes,shard", [(False, 1 << 23, 30_000), (True, 700, 7)])
-def test_against_brute_force(spark, tmp_path, extra, block_bytes, shard):
+@pytest.mark.parametrize("extra,block_bytes,words,shard", [(False, 1 << 23, 30_000, 1 << 20), (True, 700, 7, 500)])
+def test_against_brute_force(spark, tmp_path, extra, block_bytes, words, shard):
     docs = edge_docs(spark, extra=extra).select("doc_id", "text", "lang", "source", "n_chars").unionByName(passages(spark))
     docs = docs.unionByName(docs.filter("doc_id > 990")).unionByName(spark.createDataFrame([(None, "x " * 40, None, None, 0)] * 2, DOCS))
     df = spark.read.parquet(stored(docs, tmp_path) + "/documents.parquet")
-    rows = phrase_dedup.without_phrases(df, ["doc_id"], block_bytes=block_bytes, shard=shard).collect()
+    rows = phrase_dedup.without_phrases(df, ["doc_id"], block_bytes=block_bytes, automaton_words=words, shard_bytes=shard).collect()
     want = brute([(r.doc_id, r.text) for r in docs.collect()])
     assert sorted((tuple(r) for r in rows), key=repr) == want
     assert sum(w[2] for w in want) > 500
@@ -62,7 +63,7 @@ def test_automata_find_every_occurrence():
     rng = np.random.default_rng(2)
     tokens = rng.integers(0, 4, 3000).astype(np.uint32)
     phrases = np.unique(rng.integers(0, 4, (40, 4)).astype(np.uint32), axis=0)
-    got = {(int(s), int(p)) for a, b in phrase_dedup.locate(tokens, phrases, shard=9) for s, p in zip(a, b)}
+    got = {(int(s), int(p)) for a, b in phrase_dedup.locate(tokens, phrases, 9) for s, p in zip(a, b)}
     want = {(i, p) for i in range(len(tokens) - 3) for p in range(len(phrases)) if (tokens[i: i + 4] == phrases[p]).all()}
     assert got == want
 
@@ -72,11 +73,45 @@ def test_passages_that_branch_and_repeat(spark):
     rows = [(i, " ".join(rng.choice("aab") for _ in range(rng.randint(0, 60))), None, "s", 0) for i in range(40)]
     rows += [(50 + i, rows[i % 7][1] + " q " + "c " * i, None, "s", 0) for i in range(20)]
     docs = spark.createDataFrame(rows, DOCS)
-    for shard, block_bytes in ((9, 300), (1000, 1 << 20)):
-        got = phrase_dedup.without_phrases(docs, ["doc_id"], window=5, block_bytes=block_bytes, shard=shard).collect()
+    for words, block_bytes in ((9, 300), (1000, 1 << 20)):
+        got = phrase_dedup.without_phrases(docs, ["doc_id"], window=5, block_bytes=block_bytes, automaton_words=words, shard_bytes=900).collect()
         assert sorted((tuple(r) for r in got), key=repr) == brute([r[:2] for r in rows], 5)
 
 
+def test_the_automata_decide(spark, monkeypatch):
+    """With empty automata nothing is found, and windows are neither hashed nor compared where phrases are located."""
+    docs = passages(spark)
+    want = {r.doc_id: r.n_removed for r in phrase_dedup.without_phrases(docs, ["doc_id"]).collect()}
+    assert sum(want.values()) > 500
+    stream = phrase_dedup._Stream([b"a b c d e f g h i j k l m n", b"x a b c d e f g h i j k l m"], 13)
+    table = pa.table({"shard": [0, 0], "text": [b"a b c d e f g h i j k l m n", b"x a b c d e f g h i j k l m"], "low": [1, 2], "high": [1, 2]})
+    made = phrase_dedup._compiled(table, 13, 1000)
+    with monkeypatch.context() as m:
+        for name in ("window_keys", "RollingHash", "passages"):
+            m.setattr(phrase_dedup, name, None)
+        found = phrase_dedup._located(table.select(["shard", "text"]), made, 13)
+        nothing = phrase_dedup._located(table.select(["shard", "text"]), made.slice(0, 0), 13)
+    none = phrase_dedup._NO_ID
+    assert [np.frombuffer(o, np.int64).tolist() for o in found["owners"].to_pylist()] == [[1, none], [none, 1]]
+    assert nothing.num_rows == 0 and len(stream.starts) == 4
+
+
+def test_segments_of_equal_windows_meet(spark):
+    """Windows with the same words have the same anchor, wherever they stand."""
+    docs = passages(spark)
+    rows = [r.asDict() for r in phrase_dedup.blocks(docs, ["doc_id"], 3000).collect()]
+    anchors: dict = {}
+    for row in rows:
+        b = phrase_dedup.Block(row, 13)
+        first, n, anchor = b.segments(np.ones(len(b.starts), bool))
+        assert n.sum() == len(b.starts)
+        word = b.texts()
+        for f, k, a in zip(first.tolist(), n.tolist(), anchor.tolist()):
+            for i in b.starts[f: f + k].tolist():
+                anchors.setdefault(tuple(word[t] for t in b.tokens[i: i + 13].tolist()), set()).add(a)
+    assert len(anchors) > 1000 and all(len(a) == 1 for a in anchors.values())
+
+
 def test_characters_tell_codes_and_digits_apart():
     codes = np.arange(70_000)
     text = phrase_dedup._characters(codes, 3)
