@@ -6,8 +6,9 @@ window over the slice totals of a source give every document the number of words
 ``e`` times its size and a rest takes each document ``e`` times and then, in the order of the keys, documents up to
 exactly the rest; the last one is taken in part.
 
-Defined results: null or empty text has size 0 and is taken 0 words; a null source is a source, ordered last; equal
-keys (the hash of the same id) are ordered by id and text; an empty table gives no rows; other columns pass through.
+Defined results: null or empty text has size 0 and is taken 0 words; a null source is a source, ordered last; a row
+without an id has the hash of its text; equal keys are ordered by id, size and text; an empty table gives no rows; other
+columns pass through.
 A text cut for the mix ends behind its last taken word.
 """
 
@@ -32,9 +33,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def shuffle_key(doc_id: Column, seed: str = SEED) -> Column:
-    """60 hash bits as a number; ``seed`` names the shuffle."""
-    text = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")))
+def shuffle_key(doc_id: Column, seed: str = SEED, otherwise: Column | None = None) -> Column:
+    """60 hash bits as a number; ``seed`` names the shuffle. A null id is replaced by the text ``otherwise``."""
+    text = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("") if otherwise is None else otherwise, F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, KEY_BITS // 4), 16, 10).cast("bigint")
 
 
@@ -75,12 +76,15 @@ def mix(sized: DataFrame, key: str = "doc_id", seed: str = SEED, slice_docs: int
     """``sized`` (key column, source, size and others) with source_size, target and taken.
 
     Columns of these three names, or of names with a leading underscore used here, are replaced. ``ties`` orders rows
-    of one id.
+    of one id; the first of them, a digest, also spreads rows without an id over the slices. Rows of size 0 are taken 0
+    words and change nothing for others, so they are spread at will.
     """
     sized = sized.drop("source_size", "source_docs", "target", "taken", "_key", "_slice", "_source", "_of", "_inside",
                        "_slices_before")
     targets = materialise(source_targets(sized, **how), "mix-targets")
-    keyed = sized.withColumn("_key", shuffle_key(F.col(key), seed))
+    own = shuffle_key(F.col(key), seed, F.col(ties[0]) if ties else None)
+    anywhere = F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id()), 64 - KEY_BITS)
+    keyed = sized.withColumn("_key", F.when(F.col("size") > 0, own).otherwise(anywhere))
     # one row per source: adaptive execution broadcasts it when it is small and splits hot partitions otherwise
     keyed = (keyed.join(targets.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
              .drop("_source"))
@@ -132,19 +136,21 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    """doc_id, source, size, and the digest of the text of rows without an id."""
+    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.when(F.col("doc_id").isNull(), F.md5("text")).alias("digest"))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     sized = materialise(sizes(docs), "mix-sizes")
-    return mix(sized).select("doc_id", "size", "source", "source_size", "target", "taken")
+    return mix(sized, ties=("digest",)).select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
 SQL = r"""
 with sized as (
   select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
-    cast(concat('0x', substr(md5(concat('mix-1:', cast(doc_id as varchar))), 1, 15)) as bigint) as k
+    cast(concat('0x', substr(md5(concat('mix-1:', coalesce(cast(doc_id as varchar), md5(text)))), 1, 15)) as bigint) as k,
+    case when doc_id is null then md5(text) end as digest
   from documents),
 per as (
   select *, case (row_number() over (order by source is null, source) - 1) % 3 when 0 then 5 when 1 then 2 else 1 end as weight
@@ -165,7 +171,7 @@ targets as (
   from filled f cross join level l),
 placed as (
   select s.doc_id, s.size, s.source, t.source_size, t.target,
-    cast(coalesce(sum(s.size) over (partition by s.source order by s.k, s.doc_id, s.size rows between unbounded preceding and 1 preceding), 0) as bigint) as before,
+    cast(coalesce(sum(s.size) over (partition by s.source order by s.k, s.doc_id, s.size, s.digest rows between unbounded preceding and 1 preceding), 0) as bigint) as before,
     cast(floor(t.target) as bigint) as budget,
     case when t.source_size > 0 then cast(floor(t.target) as bigint) // t.source_size else 0 end as epochs
   from sized s join targets t on s.source is not distinct from t.source)

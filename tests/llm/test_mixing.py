@@ -55,6 +55,26 @@ def test_repeated_ids_and_no_rows(spark):
     assert {r.taken for r in mixing.mix(mixing.sizes(empty)).collect()} == {0}
 
 
+def test_a_third_without_ids_spreads_over_the_slices(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    docs = spark.range(12_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+                                      F.when(F.col("id") % 6 > 0, F.concat(F.lit("w "), F.col("id").cast("string"))).alias("text"),
+                                      F.lit("en").alias("lang"), F.when(F.col("id") % 2 == 0, "hot").alias("source"), F.lit(0).cast("bigint").alias("n_chars"))
+    folder = stored(docs, tmp_path)
+    sized = mixing.sizes(spark.read.parquet(f"{folder}/documents.parquet"))
+    got = mixing.mix(sized, slice_docs=200, ties=("digest",))
+    keys = sized.withColumn("k", mixing.shuffle_key(F.col("doc_id"), otherwise=F.col("digest"))).filter("size > 0")
+    assert keys.groupBy(F.floor(F.col("k") / F.lit(2**mixing.KEY_BITS / 60))).count().agg(F.max("count")).first()[0] < 300
+    import duckdb
+
+    db = duckdb.connect()
+    db.execute(f"create view documents as select * from read_parquet('{folder}/documents.parquet/*.parquet')")
+    columns = ["doc_id", "size", "source", "source_size", "target", "taken"]
+    want = db.execute(f"select {', '.join(columns)} from ({mixing.SQL})").fetchall()
+    assert sorted(map(repr, want)) == sorted(repr(tuple(r)) for r in got.select(columns).collect())
+
+
 def test_first_words_keep_white_space(spark):
     from pyspark.sql import functions as F
 
