@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -59,6 +60,54 @@ def test_torn_batch_does_not_count(spark):
     assert totals(t) == {("a", "en", "v1"): (1, 11)}
 
 
+def test_the_last_revision_of_a_batch_counts(spark):
+    t = rollup.TokenRollup(spark, scratch_dir(spark, "rollup"))
+    t.apply("1", changes(spark, [(1, "a", "en", "v1", 10), (2, "a", "en", "v1", 5), (3, "a", "en", "v1", 1)]))
+    ordered = [(1, "a", "en", "v1", 9, 1), (1, "a", "en", "v1", 4, 2), (2, "a", "en", "v1", None, 1), (2, "b", "en", "v1", 6, 2),
+               (3, "a", "en", "v1", 70, 1), (3, "a", "en", "v1", None, 2)]
+    t.apply("2", spark.createDataFrame(ordered, CHANGE + ", sequence int"))
+    assert totals(t) == {("a", "en", "v1"): (1, 4), ("b", "en", "v1"): (1, 6)}
+
+
+def test_folding_changes_nothing(spark):
+    """Random lives of documents, folded often, rarely and not at all; batches come twice; a fold dies."""
+    rng = random.Random(5)
+    batches = [[(rng.choice([None, *range(12)]), rng.choice("ab"), None, rng.choice(["v1", "v2"]), rng.choice([None, rng.randrange(9)]), i)
+                for i in range(15)] for _ in range(7)]
+    want: dict = {}
+    for batch in batches:
+        for doc, source, _, version, n, _ in batch:
+            want.pop((doc, version), None)
+            if n is not None:
+                want[doc, version] = (source, n)
+    sums = Counter()
+    for (_, version), (source, n) in want.items():
+        sums[source, version] += n
+    for every in (1, 3, 99):
+        t = rollup.TokenRollup(spark, scratch_dir(spark, "rollup"), buckets=3, fold_every=every)
+        for i, batch in enumerate(batches):
+            df = spark.createDataFrame(batch, CHANGE + ", sequence int")
+            assert t.apply(f"b{i}", df) and not t.apply(f"b{i // 2}", df)
+        assert {(k[0], k[2]): v[1] for k, v in totals(t).items() if v[0]} == {k: sums[k] for k in {(s, v) for (_, v), (s, _) in want.items()}}
+        assert len(t.recent()) < every and sum(1 for _ in t.current().collect()) == len(want)
+        # a fold that died before its commit, and one that died before it deleted anything
+        before = totals(t)
+        spark.createDataFrame([("a", None, "v1", 1, 99)], rollup.TOTALS).write.mode("overwrite").parquet(f"{t.root}/state/fold=50/totals")
+        assert totals(t) == before
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(rollup.files, "delete", lambda *a: False)
+            t.fold()
+        assert totals(t) == before and t.recent() == [] and not t.apply("b3", changes(spark, [(1, "a", None, "v1", 999)]))
+
+
+def test_a_batch_reads_its_buckets_only(spark):
+    from conftest import scanned_rows
+
+    t = rollup.TokenRollup(spark, scratch_dir(spark, "rollup"), buckets=8, fold_every=1)
+    t.apply("1", spark.range(4000).selectExpr("id as doc_id", "'a' as source", "'en' as lang", "'v1' as tokenizer", "id as tokens"))
+    assert scanned_rows(spark, t.current([3]), "doc_id") < 1000
+
+
 @pytest.mark.parametrize("split", [1, 2, 3])
 def test_split_into_batches_gives_the_same(spark, split):
     rows = [(i, "ab"[i % 2], None, "v1", i * 3) for i in range(9)]
