@@ -38,9 +38,9 @@ from cartwheel.llm.textops import RollingHash, chunks, mix, text_buffer, window_
 
 WINDOW = 13
 ANCHOR_WORDS = 3
-AUTOMATON_WORDS = 130_000
+AUTOMATON_WORDS = 60_000
 # Text of the distinct segments of a shard.
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 _LETTERS = 64
 RECURS = 1
 BLOCK = "block long, carried binary, doc_ids binary, lengths binary, vocabulary binary, word_lengths binary, tokens binary"
