@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.scalars import category_placeholder, half_up
-from cartwheel.operators.joins import lookup_join
 from cartwheel.session import materialise
 
 DEFAULT_BRAND = "unknown"
@@ -43,8 +42,11 @@ def _first(c: str) -> Column:
 
 
 def known_codes(seen: DataFrame) -> DataFrame:
-    """category_id → the code seen last with it; of several at the same instant the greatest."""
-    coded = seen.filter(F.col("code").isNotNull())
+    """category_id → the code seen last with it; of several at the same instant the greatest.
+
+    The rows are hashed down to one per category and code before anything is picked.
+    """
+    coded = seen.filter(F.col("code").isNotNull()).groupBy("category_id", "code").agg(F.max("last_us").alias("last_us"))
     return coded.groupBy("category_id").agg(F.max_by("code", F.struct("last_us", "code")).alias("known_code"))
 
 
@@ -57,7 +59,7 @@ def build_catalogue(rows: DataFrame, ts: str = "event_time") -> DataFrame:
     """One row per product id.
 
     Each attribute is the first value seen, the category falls back to the code last seen with its
-    id, then to a placeholder. The history is read once.
+    id, then to a placeholder. The history is read once. Adaptive execution broadcasts the codes when they turn out small.
     """
     seen = materialise(seen_attributes(rows, ts), "seen")
     products = seen.groupBy("product_id").agg(
@@ -67,5 +69,5 @@ def build_catalogue(rows: DataFrame, ts: str = "event_time") -> DataFrame:
         mean_price(F.sum("paid"), F.sum("paid_rows")).alias("avg_price"),
     )
     fill = F.coalesce("category_code", "known_code", category_placeholder(F.col("category_id")))
-    return lookup_join(products, known_codes(seen), ["category_id"], "left").select(
+    return products.join(known_codes(seen), "category_id", "left").select(
         "product_id", "category_id", "category_code", fill.alias("category_fill"), "brand", "avg_price")

@@ -41,9 +41,14 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which is shared too."""
+    """The shared folder named by ``spark.checkpoint.dir``. Where that is unset, a single machine uses its warehouse; a cluster is refused."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    return root.rstrip("/") if root else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

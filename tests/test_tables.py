@@ -118,6 +118,18 @@ def test_scratch_follows_the_cluster_setting(spark):
     assert folder.startswith(root + "/") and "/x-" in folder
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+    conf = {"spark.sql.warehouse.dir": "/w/"}
+    def session(master):
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+    assert scratch_root(session("local[8]")) == "/w/_scratch"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            scratch_root(session(master))
+    assert scratch_root(SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs://x/c/"}, sparkContext=SimpleNamespace(master="yarn"))) == "hdfs://x/c"
+
+
 def test_catalogue(spark, tmp_path):
     (tmp_path / "2019-Oct.csv").write_text("\n".join([
         "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session",
