@@ -16,7 +16,8 @@ context that was never seen backs off with weight 1.
 
 Defined results: a null or blank text is its end token; repeated rows teach as often as they come; a null id teaches
 and is not held out; without training rows every token has base probability 1 and model probability 1; an empty
-table gives no rows; other columns are not read.
+table gives no rows; other columns are not read. Words and pairs are 64-bit hashes: of 10**11 different pairs about 270
+are expected to share their hash with another one, and those would be counted as one.
 """
 
 from __future__ import annotations

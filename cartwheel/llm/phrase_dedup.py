@@ -38,7 +38,8 @@ from cartwheel.llm.textops import RollingHash, chunks, mix, text_buffer, window_
 
 WINDOW = 13
 ANCHOR_WORDS = 3
-AUTOMATON_WORDS = 60_000
+# Small enough for cells of a few hundred kilobytes: larger ones are objects of their own kind on the JVM's heap.
+AUTOMATON_WORDS = 20_000
 # Text of the distinct segments of a shard.
 SHARD_BYTES = 1 << 20
 _LETTERS = 64

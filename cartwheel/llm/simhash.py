@@ -7,7 +7,8 @@ way. Each shard is a BK-tree: children hang below their parent by Hamming distan
 edges within the radius of its own distance. The trees reach their queries by the shuffle: together they grow with the
 corpus, so they are not broadcast. A shard gives links that span its groups, never all its pairs; a shard larger than
 ``TREE_NODES`` is split into pieces, and every pair of pieces is a shard of its own. The links then shrink to stars in
-rounds, each written to the shared folder.
+rounds, each written to the shared folder; they settle in a number of rounds that grows with the logarithm of the longest
+chain, and if ``MAX_ROUNDS`` were not enough the query would end with an error, not with wrong groups.
 
 Near copies in the pipeline have a Jaccard similarity of 0.8 and more, which is far beyond a radius of four and which
 fingerprints only estimate. There the candidates are found by MinHash: ``BANDS`` groups of ``BAND_ROWS`` minima, whatever
