@@ -60,6 +60,17 @@ def test_against_brute_force(spark, tmp_path, extra, block_bytes):
     assert sum(w[2] for w in want) > 10_000 and any(w[3] > 2 for w in want)
 
 
+def test_very_long_texts_against_brute_force(spark):
+    """Texts of hundreds of thousands of bytes, longer than a piece and a block, that share passages with each other."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(5000)]
+    shared = sentence(rng, 300, words)
+    texts = [sentence(rng, 40_000, words) + shared + sentence(rng, n, words) for n in (10, 20_000)] + ["x" + shared[100:900] + "y", "z" * 70_000]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], DOCS)
+    got = suffix_dedup.deduplicated(docs, ["doc_id"], 50_000).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(list(enumerate(texts)))
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_query_on_many_partial_repeats(spark, tmp_path, seed):
     docs = passages(spark, 120, seed)
