@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import tempfile
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
@@ -39,7 +40,7 @@ from cartwheel.llm.textops import RollingHash, chunks, mix, text_buffer, window_
 WINDOW = 13
 ANCHOR_WORDS = 3
 # Small enough for cells of a few hundred kilobytes: larger ones are objects of their own kind on the JVM's heap.
-AUTOMATON_WORDS = 20_000
+AUTOMATON_WORDS = 12_000
 # Text of the distinct segments of a shard.
 SHARD_BYTES = 1 << 20
 _LETTERS = 64
@@ -234,6 +235,25 @@ class PhraseAutomaton:
             self.automaton.add_word(text[start:end], i)
         self.automaton.make_automaton()
 
+    def packed(self) -> bytes:
+        """The automaton as bytes. The library's own file format is used, in a file that lives as long as this call: its
+        pickling keeps the memory of every copy it makes."""
+        with tempfile.TemporaryDirectory() as folder:
+            self.automaton.save(f"{folder}/automaton")
+            with open(f"{folder}/automaton", "rb") as file:
+                parts = self.lengths, self.words, self.digits, file.read()
+        return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts))
+
+    @classmethod
+    def unpacked(cls, data: bytes) -> PhraseAutomaton:
+        made = cls.__new__(cls)
+        made.lengths, made.words, made.digits, raw = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+        with tempfile.TemporaryDirectory() as folder:
+            with open(f"{folder}/automaton", "wb") as file:
+                file.write(raw)
+            made.automaton = ahocorasick.load(f"{folder}/automaton", int)  # its values are numbers: nothing is called
+        return made
+
     def find(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(starts, phrase numbers) of all occurrences among words as the automaton knows them; others are 0."""
         hits = np.fromiter(self.automaton.iter(_characters(numbers, self.digits)), _HIT)
@@ -324,12 +344,11 @@ def _compiled(table: pa.Table, window: int, most: int) -> pa.Table:
     head, windows = passages(stream.starts, key, low < high, most) if n else (np.zeros(0, np.int64),) * 2
     phrases = [stream.tokens[i: i + k] for i, k in zip(stream.starts[head].tolist(), (windows + window - 1).tolist())]
     word = [b"", *stream.known]
-    press = zstandard.ZstdCompressor(level=1).compress
     out = []
     for a, b in shards_of(phrases, most):
         made = PhraseAutomaton(phrases[a:b])
         inside = np.repeat(head[a:b], windows[a:b]) + np.arange(windows[a:b].sum()) - np.repeat(np.cumsum(windows[a:b]) - windows[a:b], windows[a:b])
-        out.append((table["shard"][0].as_py(), b" ".join([word[i] for i in made.words.tolist()]), press(pickle.dumps(made)),
+        out.append((table["shard"][0].as_py(), b" ".join([word[i] for i in made.words.tolist()]), made.packed(),
                     exchange.squeeze(windows[a:b]), exchange.squeeze(low[key[inside]])))
     kinds = [pa.int64(), *[pa.binary()] * 4]
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds)], names=[f.split()[0] for f in AUTOMATON.split(", ")])
@@ -344,7 +363,7 @@ def _located(segments: pa.Table, automata: pa.Table, window: int) -> pa.Table:
     stream = _Stream(texts, window)
     owner = np.full(len(stream.tokens) + 1, _NO_ID)  # of the window that begins at a word
     for words_, data, heads, owners in zip(*[automata[c].to_pylist() for c in ("words", "automaton", "heads", "owners")]):
-        made: PhraseAutomaton = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
+        made = PhraseAutomaton.unpacked(data)
         windows, own = exchange.expand(heads, np.int64), exchange.expand(owners, np.int64)
         number = np.zeros(len(stream.known) + 1, np.int64)
         for i, w in enumerate(words_.split(b" ")):

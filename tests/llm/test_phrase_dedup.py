@@ -68,6 +68,23 @@ def test_automata_find_every_occurrence():
     assert got == want
 
 
+def test_automata_are_stored_whole_and_leave_no_memory_behind():
+    rng = np.random.default_rng(4)
+    made = phrase_dedup.PhraseAutomaton([rng.integers(1, 5000, 20).astype(np.uint32) for _ in range(600)])
+    text = np.concatenate([rng.integers(0, len(made.words) + 1, 5000), np.searchsorted(made.words, made.words[:300]) + 1])
+
+    def held():
+        with open("/proc/self/status") as file:
+            return int(file.read().split("VmRSS:")[1].split()[0]) // 1024
+
+    again = phrase_dedup.PhraseAutomaton.unpacked(made.packed())
+    assert all((a == b).all() for a, b in zip(made.find(text), again.find(text)))
+    before = held()
+    for _ in range(40):
+        phrase_dedup.PhraseAutomaton.unpacked(made.packed())
+    assert held() - before < 30
+
+
 def test_passages_that_branch_and_repeat(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice("aab") for _ in range(rng.randint(0, 60))), None, "s", 0) for i in range(40)]
