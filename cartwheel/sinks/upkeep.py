@@ -127,7 +127,8 @@ def apply_retention(spark: SparkSession, root: str, as_of: date, rules: dict[str
     """
     marker = root.rstrip("/") + "/"
     for prefix in rules or RETENTION_DAYS:
-        tables = [prefix.rstrip("/"), *[prefix + name for name in files.subfolders(spark, marker + prefix)]]
+        table = prefix.rstrip("/")
+        tables = [table, *[f"{table}/{name}" for name in files.subfolders(spark, marker + table)]]
         if any(files.exists(spark, f"{marker}{t}/_spark_metadata") for t in tables):
             raise ValueError(f"{marker}{prefix} belongs to a streaming file sink")
     listed = list_files(spark, root, "*").select(
