@@ -7,10 +7,11 @@ the greatest id that has it. Equal segments of all blocks become one, and anchor
 same words always meet, however often they occur.
 
 Confirming: in a shard windows are compared word by word; those of several ids are phrases, and each belongs to its
-smallest id. Phrases that always follow each other are joined into passages, and these are compiled into Aho-Corasick
-automata of about ``AUTOMATON_WORDS`` words, which are stored as a table. Locating: the text of all segments streams through
-the automata of its shard, which find every passage in it; no window is hashed or compared there. What is found goes back to
-the blocks that sent the segments. Words are numbers of as many digits in an automaton, so matches fall on word borders.
+smallest id. Phrases that always follow each other are joined into passages, and these are stored as a table with a row for
+each Aho-Corasick automaton of about ``AUTOMATON_WORDS`` words. Locating: every automaton is compiled once, from its row (the
+library's own stored form is eight times as large, and compiling is cheaper than reading that), and the text of all segments
+of the shard streams through it; no window is hashed or compared there. What is found goes back to the blocks that sent the
+segments. Words are numbers of as many digits in an automaton, so matches fall on word borders.
 
 Defined results: a null or blank text has no words; documents shorter than a window keep everything; rows that repeat
 an id do not remove each other's words; a null id counts as greater than any other; an empty table gives no rows; other
@@ -20,14 +21,12 @@ columns pass through ``without_phrases`` and are not read by the query.
 from __future__ import annotations
 
 import hashlib
-import pickle
-import tempfile
 from collections.abc import Iterator, Sequence
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import zstandard
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +38,7 @@ from cartwheel.llm.textops import RollingHash, chunks, mix, text_buffer, window_
 
 WINDOW = 13
 ANCHOR_WORDS = 3
-# Small enough for cells of a few hundred kilobytes: larger ones are objects of their own kind on the JVM's heap.
-AUTOMATON_WORDS = 12_000
+AUTOMATON_WORDS = 60_000
 # Text of the distinct segments of a shard.
 SHARD_BYTES = 1 << 20
 _LETTERS = 64
@@ -191,7 +189,12 @@ class _Candidates:
         self.tokens = [np.frombuffer(t, np.uint32) for t in known]
 
 
-SEGMENT = "block long, number long, anchor long, text binary, low long, high long"
+SEGMENT = "block long, number long, anchor long, key binary, text binary, low long, high long"
+
+
+def _key(text: bytes) -> bytes:
+    """The name of a segment, by which what is found comes back to those who sent it: 128 bits."""
+    return xxhash.xxh3_128_digest(text)
 
 
 def _sent(row: dict, window: int) -> pa.RecordBatch:
@@ -204,8 +207,8 @@ def _sent(row: dict, window: int) -> pa.RecordBatch:
     word = b.texts()
     texts = [b" ".join([word[t] for t in part.tolist()]) for part in found.tokens]
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, row["block"], np.int64)), pa.array(np.arange(n)), pa.array(mix(anchor).view(np.int64)), pa.array(texts, pa.binary()),
-         pa.array(low), pa.array(high)], names=[f.split()[0] for f in SEGMENT.split(", ")])
+        [pa.array(np.full(n, row["block"], np.int64)), pa.array(np.arange(n)), pa.array(mix(anchor).view(np.int64)),
+         pa.array([_key(t) for t in texts], pa.binary()), pa.array(texts, pa.binary()), pa.array(low), pa.array(high)], names=[f.split()[0] for f in SEGMENT.split(", ")])
 
 
 def _characters(codes: np.ndarray, digits: int) -> str:
@@ -235,25 +238,6 @@ class PhraseAutomaton:
             self.automaton.add_word(text[start:end], i)
         self.automaton.make_automaton()
 
-    def packed(self) -> bytes:
-        """The automaton as bytes. The library's own file format is used, in a file that lives as long as this call: its
-        pickling keeps the memory of every copy it makes."""
-        with tempfile.TemporaryDirectory() as folder:
-            self.automaton.save(f"{folder}/automaton")
-            with open(f"{folder}/automaton", "rb") as file:
-                parts = self.lengths, self.words, self.digits, file.read()
-        return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(parts))
-
-    @classmethod
-    def unpacked(cls, data: bytes) -> PhraseAutomaton:
-        made = cls.__new__(cls)
-        made.lengths, made.words, made.digits, raw = pickle.loads(zstandard.ZstdDecompressor().decompress(data))
-        with tempfile.TemporaryDirectory() as folder:
-            with open(f"{folder}/automaton", "wb") as file:
-                file.write(raw)
-            made.automaton = ahocorasick.load(f"{folder}/automaton", int)  # its values are numbers: nothing is called
-        return made
-
     def find(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(starts, phrase numbers) of all occurrences among words as the automaton knows them; others are 0."""
         hits = np.fromiter(self.automaton.iter(_characters(numbers, self.digits)), _HIT)
@@ -330,11 +314,11 @@ class _Stream:
         self.starts = self.begin[self.of] + np.arange(len(self.of)) - np.repeat(np.cumsum(self.windows) - self.windows, self.windows)
 
 
-AUTOMATON = "shard long, words binary, automaton binary, heads binary, owners binary"
+AUTOMATON = "shard long, words binary, passages binary, windows binary, owners binary"
 
 
-def _compiled(table: pa.Table, window: int, most: int) -> pa.Table:
-    """The automata of a shard: the words they number, and the owner of every window of each of their passages."""
+def _confirmed(table: pa.Table, window: int, most: int) -> pa.Table:
+    """A row per automaton of a shard: its words, its passages as numbers of them, and the owner of every window of each."""
     stream = _Stream(table["text"].to_pylist(), window)
     rows = np.lib.stride_tricks.sliding_window_view(stream.tokens, window)[stream.starts] if len(stream.starts) else np.zeros((0, window), np.uint32)
     _, key = np.unique(np.ascontiguousarray(rows).view(f"V{4 * window}").ravel(), return_inverse=True)
@@ -346,29 +330,29 @@ def _compiled(table: pa.Table, window: int, most: int) -> pa.Table:
     word = [b"", *stream.known]
     out = []
     for a, b in shards_of(phrases, most):
-        made = PhraseAutomaton(phrases[a:b])
+        known, text = np.unique(np.concatenate(phrases[a:b]), return_inverse=True)
         inside = np.repeat(head[a:b], windows[a:b]) + np.arange(windows[a:b].sum()) - np.repeat(np.cumsum(windows[a:b]) - windows[a:b], windows[a:b])
-        out.append((table["shard"][0].as_py(), b" ".join([word[i] for i in made.words.tolist()]), made.packed(),
+        out.append((table["shard"][0].as_py(), b" ".join([word[i] for i in known.tolist()]), exchange.squeeze(text.astype(np.uint32)),
                     exchange.squeeze(windows[a:b]), exchange.squeeze(low[key[inside]])))
     kinds = [pa.int64(), *[pa.binary()] * 4]
     return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds)], names=[f.split()[0] for f in AUTOMATON.split(", ")])
 
 
-LOCATED = "text binary, owners binary"
+LOCATED = "key binary, owners binary"
 
 
 def _located(segments: pa.Table, automata: pa.Table, window: int) -> pa.Table:
-    """The segments that hold phrases, with the owner of each of their windows (the greatest number where it is no phrase)."""
+    """The names of the segments that hold phrases, with the owner of each of their windows (the greatest number: no phrase)."""
     texts = segments["text"].to_pylist()
     stream = _Stream(texts, window)
     owner = np.full(len(stream.tokens) + 1, _NO_ID)  # of the window that begins at a word
-    for words_, data, heads, owners in zip(*[automata[c].to_pylist() for c in ("words", "automaton", "heads", "owners")]):
-        made = PhraseAutomaton.unpacked(data)
-        windows, own = exchange.expand(heads, np.int64), exchange.expand(owners, np.int64)
-        number = np.zeros(len(stream.known) + 1, np.int64)
-        for i, w in enumerate(words_.split(b" ")):
-            if w in stream.known:
-                number[stream.known[w]] = i + 1
+    for known, text, lengths, owners in zip(*[automata[c].to_pylist() for c in ("words", "passages", "windows", "owners")]):
+        windows, own = exchange.expand(lengths, np.int64), exchange.expand(owners, np.int64)
+        cuts = np.cumsum(windows + window - 1)[:-1]
+        made = PhraseAutomaton(np.split(exchange.expand(text, np.uint32) + np.uint32(1), cuts))
+        number = np.zeros(len(stream.known) + 1, np.int64)  # of the shard's words among the automaton's, 0 for others
+        for i, w in enumerate(known.split(b" ")):
+            number[stream.known[w]] = i + 1
         starts, phrase = made.find(number[stream.tokens])
         n = windows[phrase]
         inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -376,8 +360,8 @@ def _located(segments: pa.Table, automata: pa.Table, window: int) -> pa.Table:
     found = owner[stream.starts]
     some = np.unique(stream.of[found < _NO_ID]).tolist()
     cuts = np.concatenate([[0], np.cumsum(stream.windows)]).tolist()
-    return pa.Table.from_arrays([pa.array([texts[i] for i in some], pa.binary()), pa.array([found[cuts[i]: cuts[i + 1]].tobytes() for i in some], pa.binary())],
-                                names=["text", "owners"])
+    return pa.Table.from_arrays([pa.array([_key(texts[i]) for i in some], pa.binary()), pa.array([found[cuts[i]: cuts[i + 1]].tobytes() for i in some], pa.binary())],
+                                names=["key", "owners"])
 
 
 def _removed(row: dict, answers: pa.Table, window: int) -> tuple[Block, np.ndarray]:
@@ -416,14 +400,14 @@ def without_phrases(docs: DataFrame, columns: list[str], window: int = WINDOW, b
                 yield _sent(row, window)
 
     known = exchange.with_answers(table.drop("carried"), recurs=recurs)
-    sent = materialise(known.mapInArrow(send, SEGMENT), "phrase-segments")
+    sent = bucketed(known.mapInArrow(send, SEGMENT), "phrase_segments", "block", partitions)
     shards = max(1, -(-(sent.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // shard_bytes))
     same = sent.groupBy("text").agg(F.first("anchor").alias("anchor"), F.min("low").alias("low"), F.max("high").alias("high"))
     dealt = bucketed(same.select(F.pmod("anchor", F.lit(shards)).alias("shard"), "text", "low", "high"), "phrase_shards", "shard", partitions)
-    automata = bucketed(dealt.groupBy("shard").applyInArrow(lambda t: _compiled(t, window, automaton_words), AUTOMATON), "phrase_automata", "shard", partitions)
+    automata = bucketed(dealt.groupBy("shard").applyInArrow(lambda t: _confirmed(t, window, automaton_words), AUTOMATON), "phrase_automata", "shard", partitions)
     located = (dealt.select("shard", "text").groupBy("shard").cogroup(automata.groupBy("shard"))
                .applyInArrow(lambda segments, made: _located(segments, made, window), LOCATED))
-    answers = sent.select("block", "number", "text").join(materialise(located, "phrases-located"), "text").select("block", "number", "owners")
+    answers = sent.select("block", "number", "key").join(materialise(located, "phrases-located"), "key").select("block", "number", "owners")
 
     def finish(row: dict, answers: pa.Table) -> pa.Table:
         b, gone = _removed(row, answers, window)
