@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwheel.sinks import files
 from cartwheel.sinks.upkeep import TARGET_FILE_BYTES, list_files, sized_session
@@ -49,9 +50,10 @@ def write_batch(rows: DataFrame, path: str, by: list[str], name: str) -> None:
             files.delete(spark, f"{aside}/{old}")
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The table without the folder names."""
-    return spark.read.parquet(path).drop(BATCH)
+def read_batches(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """The table without the folder names. With a ``schema`` it may hold no rows yet."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path).drop(BATCH)
 
 
 def _days(listed: DataFrame) -> DataFrame:

@@ -1,5 +1,5 @@
 import json
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -166,3 +166,19 @@ def test_broker_needs_its_connector(spark):
     from pyspark.errors import AnalysisException
     with pytest.raises(AnalysisException, match="(?i)kafka"):
         broker_stream(spark, "localhost:9092", "clicks")
+
+
+@pytest.mark.parametrize("name", ["k1_stream_landing"])
+def test_every_message_comes_out(spark, tmp_path, name):
+    """Broken messages, and rows without a user or with a negative amount, are set aside, yet the queries return them."""
+    from cartwheel.inventory import QUERIES
+
+    at = datetime(2024, 1, 3, 10)
+    events = [(i, at, i if i != 7 else None, "purchase", -1.5 if i == 8 else 1.5, "{}") for i in range(495, 505)]
+    events += [(7, at, None, "view", 1.0, "{}"), (8, at, 8, "purchase", -1.5, "{}")]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string") \
+        .write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([(1,)], "p_partkey bigint").write.parquet(str(tmp_path / "part.parquet"))
+    found = {r.event_id: r for r in QUERIES[name].run(spark, str(tmp_path)).collect()}
+    assert set(found) == {str(i) for i in range(495, 505) if i != 499} | {"7", "8", None}
+    assert found["7"].user_id is None and found["8"].purchase_amount == -1.5 and not any(found[None].asDict().values())
