@@ -7,9 +7,10 @@ word; in runs, and at separators, a path may also end a word and begin another,
 Tokens and runs of any length are restored; of a word only as many letters are held as the longest feature has. Scoring: words and word beginnings that are far more frequent among toxic than among other labelled texts carry
 their log odds; a text adds up those of its distinct words, each with its best feature.
 
-The lexicon and the character model are learnt from at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled documents (those
-with the smallest hashes of their ids, exact copies once), so what is sent to all tasks is bounded: ``FEATURES``
-features and ``TRIGRAMS`` trigrams. Every text is scored in whole.
+The lexicon and the character model are learnt from every labelled document that teaches (exact copies once); Spark counts
+features and trigrams. What is sent to all tasks does not grow with the table: a feature is in a share ``MIN_SHARE`` of the
+toxic texts at least, so at most 1 / ``MIN_SHARE`` times as many qualify as a toxic text has on average, and trigrams are
+bounded by the letters that words are made of. Every text is scored in whole.
 
 Defined results: null, empty and blank texts get the score of a text without features; without labels of both kinds
 every text gets the prior; repeated rows are scored alike; null labels and ids do not teach; an empty table gives no
@@ -29,10 +30,6 @@ from pyspark.sql import functions as F
 
 from cartwheel.llm.tables import materialise
 
-TOXIC_ROWS = 3000
-CLEAN_ROWS = 6000
-FEATURES = 5000
-TRIGRAMS = 50_000
 MIN_SHARE, MIN_DOCS = 0.01, 5
 MIN_LOG_ODDS = 4.0
 BEGINNINGS = (4, 5, 6, 7)
@@ -175,16 +172,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int) -> DataFrame:
-    """toxic, text of the labelled documents to learn from."""
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """toxic, text of the labelled documents to learn from: each different text once, toxic if any of its labels says so.
+
+    Copies are found by their digests, so that of every text only one row meets its label.
+    """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & trained_on(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    order = [F.md5(F.col("_id").cast("string")), F.col("_id")]
-    chosen = (known.filter("toxic = 1").orderBy(*order).limit(toxic_rows)
-              .unionByName(known.filter("toxic = 0").orderBy(*order).limit(clean_rows)))
-    # at most toxic_rows + clean_rows ids
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).filter("text is not null")
-    return texts.groupBy(F.md5("text")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")).select("toxic", "text")
+    texts = docs.filter(F.col("text").isNotNull() & trained_on(F.col("doc_id"))).select("doc_id", "text", F.md5("text").alias("_digest"))
+    named = texts.select("doc_id", "_digest").join(known, F.col("doc_id") == F.col("_id"))
+    first = materialise(named.groupBy(F.col("_digest").alias("_of")).agg(F.min("doc_id").alias("_first"), F.max("toxic").alias("toxic")), "taught")
+    found = texts.join(first, (F.col("doc_id") == F.col("_first")) & (F.col("_digest") == F.col("_of"))).select("toxic", "text")
+    found = materialise(found, "labelled")
+    return found if found.count() == first.count() else found.dropDuplicates(["text"])  # rows may be repeated
 
 
 def _words(text: str) -> set[str]:
@@ -218,7 +218,7 @@ def _trigrams(rows: DataFrame) -> dict[str, int]:
             yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["gram", "n"])
 
     found = rows.select("text").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {r.gram: r.n for r in found.orderBy(F.desc("n"), "gram").limit(TRIGRAMS).collect()}
+    return {r.gram: r.n for r in found.collect()}
 
 
 class ToxicityModel:
@@ -274,25 +274,23 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-min(max(self.hit_bias + evidence, -50), 50)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> ToxicityModel:
-    spark = docs.sparkSession
+def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     totals = {r.toxic: r.n for r in labels.filter(F.col("toxic").isin(0, 1) & trained_on(F.col("doc_id")))
               .groupBy(F.col("toxic").cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
     all_toxic, all_clean = totals.get(1, 0), totals.get(0, 0)
     prior = (all_toxic + 0.5) / (all_toxic + all_clean + 5)
-    sample = materialise(labelled_sample(docs, labels, toxic_rows, clean_rows), "labelled")
-    toxic, clean = sample.filter("toxic = 1"), sample.filter("toxic = 0")
+    taught = labelled_texts(docs, labels)
+    toxic, clean = taught.filter("toxic = 1"), taught.filter("toxic = 0")
     n_toxic, n_clean = toxic.count(), clean.count()
     if not n_toxic or not n_clean:
         return ToxicityModel({}, {}, 0.0, prior)
     # an exact copy counts once, yet near copies share words by chance: hence a share of all toxic texts at least
     least = max(MIN_DOCS, math.ceil(MIN_SHARE * n_toxic))
-    among_toxic = {r.feature: r.docs for r in _document_features(toxic, None).filter(F.col("docs") >= least)
-                   .orderBy(F.desc("docs"), "feature").limit(4 * FEATURES).collect()}
+    among_toxic = {r.feature: r.docs for r in _document_features(toxic, None).filter(F.col("docs") >= least).collect()}
     among_clean = {r.feature: r.docs for r in _document_features(clean, set(among_toxic)).collect()}
     odds = {f: math.log((n + 0.5) / (n_toxic + 1)) - math.log((among_clean.get(f, 0) + 0.5) / (n_clean + 1)) for f, n in among_toxic.items()}
-    weights = dict(sorted(((f, w) for f, w in odds.items() if w >= MIN_LOG_ODDS), key=lambda x: (-x[1], x[0]))[:FEATURES])
-    model = ToxicityModel(weights, _trigrams(sample), math.log(prior / (1 - prior)), prior)
+    weights = dict(sorted(((f, w) for f, w in odds.items() if w >= MIN_LOG_ODDS), key=lambda x: (-x[1], x[0])))
+    model = ToxicityModel(weights, _trigrams(taught), math.log(prior / (1 - prior)), prior)
     missed = _scores(toxic.select(F.lit(0).cast("bigint").alias("doc_id"), "text"), model).filter(F.col("score") == prior).count()
     model.no_hit = (missed / n_toxic * all_toxic + 0.5) / (missed / n_toxic * all_toxic + all_clean + 1)
     return model

@@ -129,3 +129,19 @@ def test_long_tokens_in_time(model):
     for token in ("a_" * 20_000 + "!", "_" * 50_000 + "a!", "ab1" * 20_000, "a" * 100_000, "x " * 50_000, "-" * 50_000 + "ab", "1 a" * 20_000):
         model.score(token)
     assert time.monotonic() - began < 60
+
+
+def test_every_labelled_text_teaches(spark):
+    """More toxic and clean texts than any sample that the model once took; copies and repeated rows count once."""
+    words = {1: [f"{a}{b}{c}" for a in "bcdf" for b in "aeiou" for c in "lmnp"], 0: [f"{a}{b}{c}" for a in "ghjk" for b in "aeiou" for c in "rstv"]}
+    rows = [(i, f"{words[int(i < 5600)][i % 80]} nelo{''.join(chr(97 + int(d)) for d in str(i))}") for i in range(19_200)]
+    rows += [(100_000 + i, rows[0][1]) for i in range(50)] + rows[:100]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, int(i < 5600 or i >= 100_000)) for i, _ in rows[:19_250]], LABELS)
+    teach = {t for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    toxic = {t for i, t in rows if (i < 5600 or i >= 100_000) and t in teach}
+    assert len(toxic) > 3000 and len(teach - toxic) > 6000
+    taught = toxicity.labelled_texts(docs, labels)
+    assert sorted(map(tuple, taught.collect())) == sorted((int(t in toxic), t) for t in teach)
+    model = toxicity.fit(docs, labels)
+    assert sum(n for g, n in model.letters.three.items() if g.startswith("^^")) == 2 * len(teach)
