@@ -10,11 +10,11 @@ corpus, so they are not broadcast. A shard gives links that span its groups, nev
 rounds, each written to the shared folder; they settle in a number of rounds that grows with the logarithm of the longest
 chain, and if ``MAX_ROUNDS`` were not enough the query would end with an error, not with wrong groups.
 
-Near copies in the pipeline have a Jaccard similarity of 0.8 and more, which is far beyond a radius of four and which
-fingerprints only estimate. There the candidates are found by MinHash: ``BANDS`` groups of ``BAND_ROWS`` minima, whatever
-the table's size, so a pair at 0.8 shares no band with a chance of 3 in 100,000 and closer pairs far more rarely. Only
-links confirmed on the shingle hashes themselves count: texts that bands connect meet in a shard, in pieces if there
-are many, and every pair of pieces is a shard.
+Near copies in the pipeline have a Jaccard similarity of 0.8 and more, which fingerprints only estimate and which reaches
+beyond a radius of four. There the candidates are the links of the fingerprints, found by the same BK-trees, and those of
+MinHash: ``BANDS`` groups of ``BAND_ROWS`` minima, whatever the table's size, so a pair at 0.8 shares no band with a chance
+of 3 in 100,000 and closer pairs far more rarely. Only links confirmed on the shingle hashes themselves count: texts that
+candidates connect meet in a shard, in pieces if there are many, and every pair of pieces is a shard.
 
 Defined results: a null, empty or blank text has fingerprint zero and is linked like any other; fewer words than a
 shingle needs are one shingle; repeated rows and ids each get their row; a null id is in the component of its
@@ -332,20 +332,33 @@ def similar_links(sets: list[np.ndarray], least: float = SIMILAR) -> list[tuple[
 
 
 def _signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, digest (of the text), node (of its set of shingles) and the keys of its bands."""
+    """doc_id, digest (of the text), node (of its set of shingles), the keys of its bands and the fingerprint fp0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, keys = [], []
+            nodes, keys, prints = [], [], []
             for text in batch.column(2):
                 hashes = shingle_hashes(text.as_py(), shingle)
                 nodes.append(xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63))
                 keys.append(band_keys(hashes))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                                             names=["doc_id", "digest", "node", "keys"])
+                prints.append(fingerprint(text.as_py(), shingle))
+            found = np.array(prints, np.uint64).ravel().view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(found)],
+                                             names=["doc_id", "digest", "node", "keys", "fp0"])
 
     return (docs.select(F.col("doc_id").cast("bigint"), F.md5("text").alias("digest"), F.col("text").cast("string"))
-            .mapInArrow(run, "doc_id long, digest string, node long, keys array<long>"))
+            .mapInArrow(run, "doc_id long, digest string, node long, keys array<long>, fp0 long"))
+
+
+def _print_links(rows: DataFrame, radius: int = RADIUS, tree_nodes: int = TREE_NODES) -> DataFrame:
+    """Links (a, b) of nodes whose fingerprints are within the radius: equal ones to the least node, the others by BK-trees."""
+    held = rows.filter(F.size("keys") > 0).select("node", "fp0").distinct()
+    prints = materialise(held.groupBy("fp0").agg(F.min("node").alias("least")), "prints")
+    equal = held.join(prints, "fp0").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    near = links(prints.select("fp0", F.col("fp0").alias("node")), block_masks(radius), radius, tree_nodes)
+    named = near.join(prints.select(F.col("fp0").alias("a"), F.col("least").alias("_a")), "a")
+    named = named.join(prints.select(F.col("fp0").alias("b"), F.col("least").alias("_b")), "b")
+    return equal.unionByName(named.select(F.col("_a").alias("a"), F.col("_b").alias("b")).filter("a <> b"))
 
 
 def _confirmed(texts: DataFrame, shingle: int, piece_bytes: int) -> DataFrame:
@@ -385,12 +398,13 @@ def near_copies(docs: DataFrame, shingle: int, piece_bytes: int = PIECE_BYTES) -
     nodes = materialise(rows.groupBy("node").agg(F.min(best).alias("k"), F.first("keys").alias("keys")), "nodes")
     banded = nodes.select("node", F.explode("keys").alias("key"))
     least = banded.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    met = components(banded.join(least, "key").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+    met = banded.join(least, "key").filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    met = components(met.unionByName(_print_links(rows)))
     wanted = nodes.select("node", F.col("k.doc_id").alias("_id"), F.col("k.digest").alias("_digest")).join(met, "node")
     texts = docs.join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & F.md5("text").eqNullSafe(F.col("_digest")))
     texts = materialise(texts.groupBy("node", "root").agg(F.min("text").alias("text")), "candidates")
     found = components(_confirmed(texts, shingle, piece_bytes))
-    return rows.drop("keys").join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("node", "root")
+    return rows.drop("keys", "fp0").join(found, "node", "left").withColumn("component", F.coalesce("root", "node")).drop("node", "root")
 
 
 def keep_first(docs: DataFrame, shingle: int) -> DataFrame:

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 from cases import DOCS, edge_docs, sentence, stored
 
@@ -118,6 +119,20 @@ def test_near_copies_at_a_similarity_of_four_fifths(spark):
     assert len(kept & set(similar)) <= 4
 
 
+def test_near_copies_by_fingerprints(spark, monkeypatch):
+    """Fingerprints link near copies that share no band; what their shingles do not confirm stays apart."""
+    rng, signatures = random.Random(4), simhash._signatures
+    base = [[f"w{rng.randrange(9000)}" for _ in range(1500)] for _ in range(8)]
+    rows = [(2 * i + k, " ".join(words[k:]), "en", "s", 0) for i, words in enumerate(base) for k in (0, 1)]
+    short = [(100 + i, text, "en", "s", 0) for i, text in enumerate(("", " ", "one two", "three four"))]
+    monkeypatch.setattr(simhash, "_signatures", lambda *a: signatures(*a).withColumn("keys", F.when(F.size("keys") > 0, F.array("node")).otherwise(F.col("keys"))))
+    found = {r.doc_id: r.component for r in simhash.near_copies(spark.createDataFrame(rows + short, DOCS), 5).collect()}
+    prints = [simhash.fingerprint(r[1], 5)[0] for r in rows]
+    close = [int(prints[2 * i] ^ prints[2 * i + 1]).bit_count() <= 4 for i in range(8)]
+    assert sum(close) >= 5 and [found[2 * i] == found[2 * i + 1] for i in range(8)] == close
+    assert len({found[2 * i] for i in range(8)} | {found[101], found[102], found[103]}) == 11
+
+
 def test_keep_first_of_repeated_rows(spark):
     docs = edge_docs(spark, extra=True)
     docs = docs.unionByName(docs).unionByName(docs.limit(1).selectExpr("cast(null as bigint) as doc_id", *[f"`{c}`" for c in docs.columns[1:]]))
