@@ -80,9 +80,14 @@ def feed_columns(feed):
                        F.col("after.total_amount").cast("double").alias("after_total"))
 
 
-def land_part(spark, folder, landing: str, part: int) -> None:
+def stored_orders(spark, folder):
+    """The orders written once, for feeds that are read part by part."""
+    return materialise(domain.orders(spark, folder), "order-rows")
+
+
+def land_part(spark, folder, landing: str, part: int, stored=None) -> None:
     """Write one part of the feed as JSON lines below a dated folder."""
-    feed = domain.change_feed(spark, folder).filter(F.col("part") == part).drop("part")
+    feed = domain.change_feed(spark, folder, stored).filter(F.col("part") == part).drop("part")
     files.land_json(feed.withColumns({"year": F.lit("2024"), "month": F.lit("01"), "day": F.lit(f"{part + 1:02d}")}),
                     landing)
 
@@ -104,8 +109,8 @@ def _state(rows):
                        F.col("total_amount").cast("double").alias("total_amount"), "is_deleted")
 
 
-def _parts(spark, folder, *more):
-    feed = domain.change_feed(spark, folder)
+def _parts(spark, folder, *more, stored=None):
+    feed = domain.change_feed(spark, folder, stored)
     def part(n):
         keyed, _ = ops.split_keyless(ops.flatten(feed.filter(F.col("part") == n)), "id")
         latest = ops.latest_per_key(keyed, "id")
@@ -133,10 +138,11 @@ def _upserted(spark, folder):
 def _streamed(spark, folder):
     """The incremental job over landed files: part 0, nothing new, part 1."""
     root = scratch_dir(spark, "feed")
+    stored = stored_orders(spark, folder)
     landing, silver, offsets = f"{root}/landing", f"{root}/silver", f"{root}/checkpoint"
     for part in (0, None, 1):
         if part is not None:
-            land_part(spark, folder, landing, part)
+            land_part(spark, folder, landing, part, stored)
         run_change_feed(spark, "orders", landing, silver, offsets, buckets=8, rejects=f"{root}/rejects")
     return _state(runs.read_runs(spark, silver, "id"))
 
@@ -144,7 +150,7 @@ def _streamed(spark, folder):
 def _runs(fold: str | None):
     """Part 0 as a run, part 1 as three, one of them twice, folded in between: the rows are the same however that is done."""
     def plan(spark, folder):
-        first, second = (materialise(p, "part") for p in _parts(spark, folder, "lsn"))
+        first, second = (materialise(p, "part") for p in _parts(spark, folder, "lsn", stored=stored_orders(spark, folder)))
         path = scratch_dir(spark, "orders")
         runs.write_run(first, path, "id", 8, "batch-0")
         for number in (1, 2, 2, 3):
@@ -160,9 +166,9 @@ def _runs(fold: str | None):
 NEXT_VERSION = "channel STRING, quantity BIGINT, unit_price DECIMAL(20,4)"
 
 
-def _land_next_version(spark, folder, landing: str) -> None:
+def _land_next_version(spark, folder, landing: str, stored=None) -> None:
     """Part 1 with a new column and wider types, and the changes of odd ids with a quantity that is text."""
-    feed = domain.change_feed(spark, folder).filter("part = 1").drop("part")
+    feed = domain.change_feed(spark, folder, stored).filter("part = 1").drop("part")
     image = F.col("after")
     later = (image.withField("channel", F.concat(F.lit("c"), (image["id"] % 3).cast("string")))
              .withField("quantity", image["quantity"] + 3_000_000_000)
@@ -177,7 +183,9 @@ def _versions(spark, folder):
     """Two versions of a feed merged; rows last changed by the first one have no channel, narrowed lines are set aside."""
     root = scratch_dir(spark, "feed")
     landing, silver = f"{root}/landing", f"{root}/silver"
-    for land, versions in ((lambda: land_part(spark, folder, landing, 0), ()), (lambda: _land_next_version(spark, folder, landing), (NEXT_VERSION,))):
+    stored = stored_orders(spark, folder)
+    for land, versions in ((lambda: land_part(spark, folder, landing, 0, stored), ()),
+                           (lambda: _land_next_version(spark, folder, landing, stored), (NEXT_VERSION,))):
         land()
         run_change_feed(spark, "orders", landing, silver, f"{root}/checkpoint", buckets=8, rejects=f"{root}/rejects", versions=versions)
     schema = runs.stored_schema(payload("orders", NEXT_VERSION), "id", 8)

@@ -147,12 +147,13 @@ def clicks(spark: SparkSession, folder: str) -> DataFrame:
     return sessionize(raw_clicks(spark, folder))
 
 
-def change_feed(spark: SparkSession, folder: str) -> DataFrame:
+def change_feed(spark: SparkSession, folder: str, stored: DataFrame | None = None) -> DataFrame:
     """Order change events: creations, status updates, deletes, revivals, duplicates, lost keys.
 
-    ``part`` numbers the landing file the event arrives in; late events are in part 1.
+    ``part`` numbers the landing file the event arrives in; late events are in part 1. ``stored``: the orders, if they have been
+    written already.
     """
-    row = orders(spark, folder).drop("is_deleted").withColumn("amount", F.col("total_amount"))
+    row = (orders(spark, folder) if stored is None else stored).drop("is_deleted").withColumn("amount", F.col("total_amount"))
     key = F.col("id")
     image = F.struct(*[F.col(c) for c in row.columns])
 
@@ -181,9 +182,10 @@ def change_feed(spark: SparkSession, folder: str) -> DataFrame:
         .alias("source"))
 
 
-def click_bytes(spark: SparkSession, folder: str, which: str = "true") -> DataFrame:
-    """Click events as broker messages: a binary JSON ``value``; every 500th message is broken. ``which`` chooses events."""
-    c = clicks(spark, folder).filter(which)
+def click_bytes(spark: SparkSession, folder: str, which: str = "true", stored: DataFrame | None = None) -> DataFrame:
+    """Click events as broker messages: a binary JSON ``value``; every 500th message is broken. ``which`` chooses events.
+    ``stored``: the clicks, if they have been written already."""
+    c = (clicks(spark, folder) if stored is None else stored).filter(which)
     text = F.to_json(F.struct(*[
         F.date_format("event_timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("event_timestamp")
         if name == "event_timestamp" else F.col(name) for name in c.columns

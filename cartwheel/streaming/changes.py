@@ -48,6 +48,8 @@ def merge_batches(table: str, silver: str, checkpoint: str, pk: str, buckets: in
     per batch. Replaying a batch gives the same table.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
+        if "before" in batch.columns:  # of that image only the key is used
+            batch = batch.withColumn("before", F.struct(F.col("before")[pk].alias(pk)))
         batch = batch.persist()  # read for the changes and for the rejects
         if batch.isEmpty():
             batch.unpersist()
