@@ -152,11 +152,12 @@ def _plan(sizes: list, fan_in: int, base_share: float) -> tuple[dict[str, list[s
     return whole, tiers
 
 
-def _sorted(rows: DataFrame, first: list[str], cluster: list[Column]) -> DataFrame:
-    """Sorted within the files by the columns, or along a curve through several."""
+def _sorted(rows: DataFrame, first: list[str], cluster: list[Column], stored: DataFrame) -> DataFrame:
+    """Sorted within the files by the columns, or along a curve through several. Where the curve is cut is seen from the rows
+    as they are ``stored``: the folded ones would be computed once more for that."""
     if len(cluster) < 2:
         return rows.sortWithinPartitions(*first, *cluster)
-    return rows.withColumn("_place", along_curve(rows, cluster)).sortWithinPartitions(*first, "_place").drop("_place")
+    return rows.withColumn("_place", along_curve(stored, cluster)).sortWithinPartitions(*first, "_place").drop("_place")
 
 
 def fold_runs(spark: SparkSession, path: str, pk: str, cluster: list[Column] | None = None, fan_in: int = FAN_IN,
@@ -185,7 +186,8 @@ def fold_runs(spark: SparkSession, path: str, pk: str, cluster: list[Column] | N
     name = (F.when(F.col(bucket).isin([int(b.partition("=")[2]) for b in whole]), F.lit(f"{BASE}{number:010d}"))
             .otherwise(F.lit(f"{TIER}{uuid.uuid4().hex}")))
     folded = resolve(rows.drop(RUN), pk).withColumn(RUN, name)
-    _sorted(folded.hint("rebalance", bucket, RUN), [bucket, RUN], cluster or [F.col(pk)]).write.partitionBy(bucket, RUN).parquet(f"{aside}/rows")
+    (_sorted(folded.hint("rebalance", bucket, RUN), [bucket, RUN], cluster or [F.col(pk)], rows)
+     .write.partitionBy(bucket, RUN).parquet(f"{aside}/rows"))
     spark.createDataFrame([(f,) for f in sorted(old)], "folder STRING").coalesce(1).write.parquet(f"{aside}/sources")
     _finish(spark, path, aside)
     files.delete(spark, aside)
@@ -209,4 +211,4 @@ def rebuild(rows: DataFrame, path: str, pk: str, buckets: int, cluster: list[Col
         if column not in plain.columns:
             plain = plain.withColumn(column, F.col(known))
     based = plain.withColumn(bucket, bucket_of(pk, buckets)).withColumn(RUN, F.lit(f"{BASE}{1:010d}")).hint("rebalance", bucket)
-    _sorted(based, [bucket], cluster or [F.col(pk)]).write.partitionBy(bucket, RUN).parquet(path)
+    _sorted(based, [bucket], cluster or [F.col(pk)], plain).write.partitionBy(bucket, RUN).parquet(path)
