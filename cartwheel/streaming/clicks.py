@@ -50,7 +50,9 @@ def land_clicks(messages: DataFrame, path: str, checkpoint: str, every: str | No
 
     def land(batch: DataFrame, number: int) -> None:
         name = batch_name(batch.sparkSession, checkpoint, number)
-        parsed = read_messages(batch).persist()  # read for the events and for the rejects
+        parsed = read_messages(batch)
+        # read for the events and for the rejects; the text of a message is only wanted for those
+        parsed = parsed.withColumn(MESSAGE, F.when(F.col(REASON).isNotNull(), F.col(MESSAGE))).persist()
         try:
             events = parsed.filter(F.col(REASON).isNull()).drop(MESSAGE, REASON)
             write_batch(with_event_day(events), path, ["event_date", "event_type"], name)

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows, scanned_rows
+from conftest import SMALL, plan_of, rows, scanned_rows
 from pyspark.sql import functions as F
 
 from cartwheel.operators.changes import initial_rows, merge_changes, without_tombstones
@@ -152,3 +152,34 @@ def test_empty_batch_and_single_run(spark, tmp_path):
     assert runs.fold_runs(spark, path, "id") == {"base": 0, "tier": 0}
     assert seen(runs.read_runs(spark, path, "id")) == [(1, "c", 1, "a", False)]
     assert runs.is_runs(spark, path) and not runs.is_runs(spark, str(tmp_path))
+
+
+def test_the_curve_is_cut_by_stored_rows(spark, tmp_path, monkeypatch):
+    """Folding looks at the runs as they lie there for the curve, without merging them once more for it."""
+    plans, curve = [], runs.along_curve
+
+    def seen(rows, columns):
+        plans.append(plan_of(rows))
+        return curve(rows, columns)
+
+    monkeypatch.setattr(runs, "along_curve", seen)
+    path = str(tmp_path / "t")
+    for number in range(3):
+        changes = spark.range(50).selectExpr("id", "'u' as op", f"id + {number} as ts_ms", "id as lsn", "false as is_deleted", f"{number} as v")
+        runs.write_run(changes, path, "id", 2, f"batch-{number}")
+    assert runs.fold_runs(spark, path, "id", [F.col("ts_ms"), F.col("id")], base_share=0)["base"] == 2
+    assert len(plans) == 1 and "Aggregate" not in plans[0] and "Exchange" not in plans[0]
+    assert sorted((r.id, r.v) for r in runs.read_runs(spark, path, "id").collect()) == [(i, 2) for i in range(50)]
+
+
+@pytest.mark.parametrize("query,source", [("c2_versioned_feed", "orders"), ("c8_incremental_job", "orders"), ("c7_folded_tiers", "orders"),
+                                          ("c7_folded_base", "orders"), ("t1_compacted_silver", "clicks"), ("e3_late_events", "clicks")])
+def test_parts_of_a_feed_come_from_stored_rows(spark, monkeypatch, query, source):
+    """The joins below a feed that is read part by part run once."""
+    from cartwheel.inventory import QUERIES
+    from cartwheel.sources import domain
+
+    calls, made = [], getattr(domain, source)
+    monkeypatch.setattr(domain, source, lambda *a: calls.append(a) or made(*a))
+    QUERIES[query].run(spark, SMALL)
+    assert len(calls) == 1
